@@ -124,7 +124,8 @@ def page_fields(pages: DataFrame, layout: PageLayout, html_column: str = "html")
     One pass over Arrow batches, a page at a time; a page that cannot be parsed gives null fields.
     """
     names = list(layout.fields)
-    schema = "struct<" + ",".join(f"{n}:string" for n in names) + f",comments:array<{_COMMENT}>,parsed:boolean>"
+    texts = "".join(f"{name}:string," for name in names)
+    schema = f"struct<{texts}comments:array<{_COMMENT}>,parsed:boolean>"
 
     @F.pandas_udf(schema)
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -154,13 +155,13 @@ def typed_comments(comments: Column, parse_date) -> Column:
     """Raw comment texts to the comment type of the raw post document."""
     return F.transform(
         keep_comments(comments),
-        lambda c: F.struct(
-            F.regexp_extract(c["comment_id"], r"(\d+)\D*$", 1).try_cast("long").alias("comment_id"),
-            F.coalesce(normalize_text(c["content"]), F.lit("")).alias("content"),
-            c["is_reply"].cast("string").alias("is_reply"),
-            F.date_format(parse_date(c["created_at"]), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
-            F.regexp_extract(c["upvotes"], r"(\d+)\s*$", 1).try_cast("int").alias("upvote_count"),
-            F.regexp_extract(c["downvotes"], r"(\d+)\s*$", 1).try_cast("int").alias("downvote_count"),
+        lambda c: F.named_struct(
+            F.lit("comment_id"), F.regexp_extract(c["comment_id"], r"(\d+)\D*$", 1).try_cast("long"),
+            F.lit("content"), F.coalesce(normalize_text(c["content"]), F.lit("")),
+            F.lit("is_reply"), c["is_reply"].cast("string"),
+            F.lit("created_at"), F.date_format(parse_date(c["created_at"]), "yyyy-MM-dd'T'HH:mm:ss"),
+            F.lit("upvote_count"), F.regexp_extract(c["upvotes"], r"(\d+)\s*$", 1).try_cast("int"),
+            F.lit("downvote_count"), F.regexp_extract(c["downvotes"], r"(\d+)\s*$", 1).try_cast("int"),
         ),
     )
 

@@ -74,13 +74,13 @@ def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
     lines = F.split("text", "\n")
     comment = F.transform(
         F.slice(lines, 2, F.size(lines)),
-        lambda line, i: F.struct(
-            (number * 100000 + i).alias("comment_id"),
-            line.alias("content"),
-            F.when(i % 2 == 0, "0").otherwise("true").alias("is_reply"),
-            F.date_format(_minutes("2024-01-01 00:00:00", number + i), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
-            F.when(i % 3 != 0, i.cast("int")).alias("upvote_count"),
-            F.lit(0).alias("downvote_count"),
+        lambda line, i: F.named_struct(
+            F.lit("comment_id"), number * 100000 + i,
+            F.lit("content"), line,
+            F.lit("is_reply"), F.when(i % 2 == 0, "0").otherwise("true"),
+            F.lit("created_at"), F.date_format(_minutes("2024-01-01 00:00:00", number + i), "yyyy-MM-dd'T'HH:mm:ss"),
+            F.lit("upvote_count"), F.when(i % 3 != 0, i.cast("int")),
+            F.lit("downvote_count"), F.lit(0),
         ),
     )
     stamp = F.date_format(_minutes("2024-01-01 00:00:00", number), "yyyy-MM-dd'T'HH:mm:ss")

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 URL = (r"https?://\S+", "<URL>")
 HANDLE = (r"(?<=\s|^)@[A-Za-z0-9_가-힣\-]+", "<USER>")
 EMAIL = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<EMAIL>")
-NO_BREAK_SPACE = (r"&nbsp;|\xa0", "")
-WHITESPACE_RUN = (r"\s+", " ")
-HANGUL_SENTENCE_END = (r"([가-힣]+[.?!])(?=[가-힣0-9a-zA-Z])", "$1 ")
-LAUGH_RUN = (r"(ㅋ){4,}", "ㅋㅋㅋㅋ")
+LAUGHS = "ㅋㅋㅋㅋ"
 MIN_SENTENCE_LENGTH = 6
 
-# A separator that cleaned text cannot contain.
-_BREAK = "\u0001"
+# Text without any of these passes the masking rules unchanged; one scan for them is cheaper than
+# the rules, whose look-behind and backtracking start at every character.
+_MASKABLE = r"[@\xa0]|://|&nbsp;"
+# Runs that are not already one space. Matching only those leaves the common case uncopied.
+_WHITESPACE_RUN = r"\s\s+|[\t\n\x0B\f\r]"
+# A space goes in between a Hangul sentence end and the text that follows it.
+_HANGUL_SENTENCE_END = r"(?<=[가-힣][.?!])(?=[가-힣0-9a-zA-Z])"
+_SENTENCE_BREAK = r"(?<=[.!?]) +"
 
 
 def _replace(text: Column, rule: tuple[str, str]) -> Column:
@@ -37,19 +40,21 @@ def mask_emails(text: Column) -> Column:
 
 def drop_no_break_space(text: Column) -> Column:
     """Remove the entity and the character, joining the words around them."""
-    return _replace(text, NO_BREAK_SPACE)
+    without_entity = F.replace(text, F.lit("&nbsp;"), F.lit(""))
+    return F.replace(without_entity, F.lit("\u00a0"), F.lit(""))
 
 
 def collapse_whitespace(text: Column) -> Column:
-    return _replace(text, WHITESPACE_RUN)
+    return F.regexp_replace(text, _WHITESPACE_RUN, " ")
 
 
 def space_sentence_ends(text: Column) -> Column:
-    return _replace(text, HANGUL_SENTENCE_END)
+    return F.regexp_replace(text, _HANGUL_SENTENCE_END, " ")
 
 
 def cap_laughs(text: Column) -> Column:
-    return _replace(text, LAUGH_RUN)
+    """No more than four in a row."""
+    return F.regexp_replace(text, f"{LAUGHS}ㅋ+", LAUGHS)
 
 
 def clean_text(text: Column, strict: bool = False) -> Column:
@@ -61,12 +66,9 @@ def clean_text(text: Column, strict: bool = False) -> Column:
     """
     if strict:
         text = drop_no_break_space(text)
-    for step in (
-        mask_urls, mask_handles, mask_emails, drop_no_break_space, F.trim,
-        collapse_whitespace, space_sentence_ends, cap_laughs,
-    ):
-        text = step(text)
-    return text
+    masked = drop_no_break_space(mask_emails(mask_handles(mask_urls(text))))
+    tidy = F.trim(F.when(text.rlike(_MASKABLE), masked).otherwise(text))
+    return cap_laughs(space_sentence_ends(collapse_whitespace(tidy)))
 
 
 def normalize_text(text: Column) -> Column:
@@ -80,8 +82,8 @@ def split_sentences(text: Column) -> Column:
 
     Null or empty text gives an empty array, so it takes no place in the running index.
     """
-    pieces = F.split(F.regexp_replace(text, r"([.!?]) +", f"$1{_BREAK}"), _BREAK)
-    sentences = F.filter(F.transform(pieces, F.trim), lambda s: F.length(s) > 0)
+    pieces = F.transform(F.split(text, _SENTENCE_BREAK), lambda piece: F.trim(piece))
+    sentences = F.filter(pieces, lambda piece: F.length(piece) > 0)
     return F.coalesce(sentences, F.array().cast("array<string>"))
 
 

@@ -20,7 +20,7 @@ from forumlens.operators.batches import current_and_previous
 from forumlens.operators.delta import snapshot_delta
 from forumlens.operators.sentences import clean_columns, explode_sentences, keyword_rows, union_sources
 from forumlens.operators.sentiment import ScorerFactory, score_sentiment
-from forumlens.runtime import materialize
+from forumlens.runtime import materialize, spread
 from forumlens.sources import config, ledger, pages, raw, tables
 
 
@@ -100,7 +100,7 @@ def run_transform_static(
     for name, paths in (("post_static", post_paths), ("comment_static", comment_paths)):
         table = tables.read_optional(spark, *paths)
         if table is not None:
-            clean_columns(table).write.mode("overwrite").parquet(f"{out}/{name}")
+            clean_columns(spread(table)).write.mode("overwrite").parquet(f"{out}/{name}")
             cleaned[name] = spark.read.parquet(f"{out}/{name}")
     if not cleaned:
         return False

@@ -10,6 +10,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumlens.runtime import spread
+
 # Categories overlap and repeat on purpose: ING is in two, HEIT twice in one.
 LEXICON = {
     "design": ["TION", "MENT", "ING"],
@@ -26,6 +28,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose text is worked on: a single small file is spread over the cores."""
+    return spread(table(spark, sf, name))
+
+
 def ts(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
@@ -36,7 +43,7 @@ def _minutes(base: str, minutes: Column) -> Column:
 
 def posts(spark: SparkSession, sf: str) -> DataFrame:
     text = F.col("text")
-    return table(spark, sf, "documents").select(
+    return text_table(spark, sf, "documents").select(
         F.concat(F.lit("post_"), "doc_id").alias("id"),
         F.concat(F.lit("https://"), "source", F.lit(".example/"), "doc_id").alias("url"),
         F.when(F.col("doc_id") % 5 != 0, F.split_part(text, F.lit("\n"), F.lit(1))).alias("title"),
@@ -46,7 +53,7 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "conversations").select(
+    return text_table(spark, sf, "conversations").select(
         F.concat(F.lit("conv_comment_"), "conv_id", F.lit("_"), "turn").alias("id"),
         F.concat(F.lit("conv_post_"), "conv_id").alias("post_id"),
         F.col("text").alias("content"),
@@ -56,10 +63,10 @@ def comments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cars(number: Column) -> Column:
-    """One car per document, two for every tenth."""
+    """One car per document, two for every seventh."""
     first = F.concat(F.lit("car"), number % 3)
     second = F.concat(F.lit("car"), (number + 1) % 3)
-    return F.explode(F.when(number % 10 == 0, F.array(first, second)).otherwise(F.array(first)))
+    return F.explode(F.when(number % 7 == 0, F.array(first, second)).otherwise(F.array(first)))
 
 
 def post_car(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,7 +91,7 @@ def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
         ),
     )
     stamp = F.date_format(_minutes("2024-01-01 00:00:00", number), "yyyy-MM-dd'T'HH:mm:ss")
-    return table(spark, sf, "documents").select(
+    return text_table(spark, sf, "documents").select(
         F.col("source").alias("community"),
         number.cast("string").alias("post_id"),
         F.concat(F.lit("https://"), "source", F.lit(".example/"), number).alias("post_url"),
@@ -149,7 +156,7 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_CARS_SQL = "unnest(CASE WHEN doc_id % 10 = 0 THEN [doc_id % 3, (doc_id + 1) % 3] ELSE [doc_id % 3] END)"
+_CARS_SQL = "unnest(CASE WHEN doc_id % 7 = 0 THEN [doc_id % 3, (doc_id + 1) % 3] ELSE [doc_id % 3] END)"
 
 SQL = {
     "posts": """SELECT 'post_' || doc_id AS id, 'https://' || source || '.example/' || doc_id AS url,

@@ -31,7 +31,7 @@ def _noisy() -> Column:
 
 def _over_noisy(step: Callable[[Column], Column]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        noisy = B.table(spark, sf, "documents").select("doc_id", _noisy().alias("text"))
+        noisy = B.text_table(spark, sf, "documents").select("doc_id", _noisy().alias("text"))
         return noisy.select("doc_id", step(F.col("text")).alias("content"))
 
     return run
@@ -52,7 +52,7 @@ _register("mask_handles", "H2", text.mask_handles, r"regexp_replace(text, '(^|\s
 _register("mask_emails", "H3", text.mask_emails, r"regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<EMAIL>', 'g')")
 _register("drop_no_break_space", "H4", text.drop_no_break_space, "replace(replace(text, '&nbsp;', ''), chr(160), '')")
 _register("trim_text", "H5", lambda c: F.trim(F.concat(F.lit("  "), c, F.lit("\n  "))), "trim('  ' || text || chr(10) || '  ', ' ')")
-_register("collapse_whitespace", "H6", text.collapse_whitespace, r"regexp_replace(text, '\s+', ' ', 'g')")
+_register("collapse_whitespace", "H6", text.collapse_whitespace, r"regexp_replace(text, '[\s\x0B]+', ' ', 'g')")
 _register(
     "space_sentence_ends", "H7", text.space_sentence_ends,
     r"regexp_replace(regexp_replace(text, '([가-힣]+[.?!])([가-힣0-9a-zA-Z])', '\1 \2', 'g'), '([가-힣]+[.?!])([가-힣0-9a-zA-Z])', '\1 \2', 'g')",
@@ -74,17 +74,17 @@ def clean_comments(spark, sf):
 
 @query("H10", "SELECT doc_id, upper(replace(text, 'ß', 'SS')) AS upper_text FROM documents")
 def upper_text(spark, sf):
-    return B.table(spark, sf, "documents").select("doc_id", F.upper("text").alias("upper_text"))
+    return B.text_table(spark, sf, "documents").select("doc_id", F.upper("text").alias("upper_text"))
 
 
 @query("H13", "SELECT doc_id, length(text) AS characters FROM documents")
 def text_length(spark, sf):
-    return B.table(spark, sf, "documents").select("doc_id", F.length("text").cast("long").alias("characters"))
+    return B.text_table(spark, sf, "documents").select("doc_id", F.length("text").cast("long").alias("characters"))
 
 
 @query("H17", "SELECT source || '_post_' || doc_id AS id FROM documents")
 def entity_ids(spark, sf):
-    return B.table(spark, sf, "documents").select(fields.entity_id(F.col("source"), "post", F.col("doc_id")).alias("id"))
+    return B.text_table(spark, sf, "documents").select(fields.entity_id(F.col("source"), "post", F.col("doc_id")).alias("id"))
 
 
 @query("B7", with_views("SELECT * FROM sources", "sources"))
@@ -102,7 +102,7 @@ def _sentences(spark, sf):
 
 @query("H12 I1", f"SELECT doc_id, unnest({B.split_sql('text')}) AS sentence FROM documents")
 def split_sentences(spark, sf):
-    return B.table(spark, sf, "documents").select("doc_id", F.explode(text.split_sentences(F.col("text"))).alias("sentence"))
+    return B.text_table(spark, sf, "documents").select("doc_id", F.explode(text.split_sentences(F.col("text"))).alias("sentence"))
 
 
 @query("B8 B9 H12 I1 M2", with_views("SELECT * FROM sentence", "sentence"))
@@ -155,7 +155,7 @@ def _word_splitter():
     WHERE length(trim(line, ' ')) > 0 GROUP BY 1""")
 def plugin_sentences(spark, sf):
     split = S.plugin_splitter(_word_splitter)
-    lines = B.table(spark, sf, "documents").select("doc_id", split(F.col("text")).alias("lines"))
+    lines = B.text_table(spark, sf, "documents").select("doc_id", split(F.col("text")).alias("lines"))
     return lines.where(F.size("lines") > 0).select("doc_id", F.size("lines").cast("long").alias("lines"))
 
 
@@ -186,7 +186,7 @@ def rewrite_prefix(spark, sf):
 @query("H41", f"""SELECT doc_id, array_to_string(list_transform({B.split_sql('text')}, lambda s, i: i || '번째 문장 >> "' || s || '"'), chr(10)) AS request FROM documents""")
 def scoring_request(spark, sf):
     lines = sentiment.numbered_lines(text.split_sentences(F.col("text")))
-    return B.table(spark, sf, "documents").select("doc_id", lines.alias("request"))
+    return B.text_table(spark, sf, "documents").select("doc_id", lines.alias("request"))
 
 
 @query("A8 A9 M2", with_views(

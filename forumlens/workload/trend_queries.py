@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from forumlens import schemas
 from forumlens.functions.messages import alert_payload
+from forumlens.operators import sentences as S
 from forumlens.operators import trend as W
 from forumlens.plans import jobs
 from forumlens.runtime import materialize, new_path
@@ -31,7 +32,10 @@ def _rounded(df, *columns):
 
 
 def _sentence(spark, sf):
-    return jobs.transform_static(B.posts(spark, sf), B.comments(spark, sf), B.LEXICON)
+    """Sentences as the transform job leaves them: written once, then tagged and joined from there."""
+    source = S.union_sources(S.clean_columns(B.posts(spark, sf)), S.clean_columns(B.comments(spark, sf)))
+    sentence = materialize(S.explode_sentences(source), "sentence")
+    return {"sentence": sentence, "keyword_category": S.keyword_rows(sentence, B.LEXICON)}
 
 
 def _counts(spark, sf):

@@ -91,9 +91,19 @@ def shift(time: Column, **parts: int) -> Column:
     )
 
 
+def micros_between(start: Column, end: Column) -> Column:
+    """Microseconds from ``start`` to ``end``, without a detour through the session's time zone."""
+    span = end - start
+    days = F.extract(F.lit("DAY"), span).cast("bigint")
+    hours = F.extract(F.lit("HOUR"), span)
+    minutes = F.extract(F.lit("MINUTE"), span)
+    micros = (F.extract(F.lit("SECOND"), span) * 1_000_000).cast("bigint")
+    return ((days * 24 + hours) * 60 + minutes) * 60_000_000 + micros
+
+
 def elapsed(start: Column, end: Column) -> Column:
     """``HH:MM:SS`` between two times; hours do not wrap at a day."""
-    seconds = F.timestamp_diff("SECOND", start, end)
+    seconds = F.floor(micros_between(start, end) / 1_000_000)
     return F.format_string(
         "%02d:%02d:%02d", F.floor(seconds / 3600), F.floor(seconds % 3600 / 60), seconds % 60
     )

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import datetime, timedelta
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forumlens.functions.dates import micros_between
+
 # output column -> delta column it averages
 MEASURES = {
     "total_view": "v_view_count",
@@ -50,6 +52,19 @@ def latest(df: DataFrame, column: str) -> Column:
     return df.agg(F.max(column)).scalar()
 
 
+def latest_value(df: DataFrame, column: str) -> datetime | None:
+    """The largest value itself: one row to the driver.
+
+    A filter on a known value reaches the Parquet scan, one on a subquery does not; over a long
+    history that is the difference between hours and years of rows.
+    """
+    return df.agg(F.max(column)).first()[0]
+
+
+def _time(value: datetime) -> Column:
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def latest_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows of the newest batch."""
     return df.where(F.col(column) == latest(df, column))
@@ -108,72 +123,66 @@ def category_posts(top: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def _slots(deltas: DataFrame, newest: Column, window: TrendWindow, *extra: Column) -> DataFrame:
-    """Sums and counts per (id, slot); slot 0 ends at the newest time, ends included."""
+    """Sums and counts per (id, slot); slot 0 ends at the newest time, ends included.
+
+    A delta falls into one slot and every window is a run of slots, so deltas are summed once, on
+    the map side first: an id with most of the deltas leaves each task as one row per slot.
+    """
     reach = _micros(window.horizon // window.step * window.step + window.width)
     recent = deltas.where(F.col("extracted_at") > _minus(newest, reach))
-    age = F.timestamp_diff("MICROSECOND", F.col("extracted_at"), newest)
-    slot = F.floor(age / _micros(window.slot)).cast("int")
+    slot = F.floor(micros_between(F.col("extracted_at"), newest) / _micros(window.slot)).cast("int")
     measures = list(extra)
     for column in MEASURES.values():
         measures += [F.sum(column).alias(f"s_{column}"), F.count(column).alias(f"n_{column}")]
     return recent.groupBy("id", slot.alias("slot")).agg(*measures)
 
 
-def _cover(slots: DataFrame, window: TrendWindow) -> DataFrame:
-    """Copy each slot row to the buckets that cover it: bucket b spans slots b*step to b*step + width - 1."""
+def _covers(bucket: Column, window: TrendWindow) -> Column:
+    """Whether the window of ``bucket`` holds the row's slot."""
     step, width = window.step // window.slot, window.width // window.slot
-    first = F.greatest(F.lit(0), F.ceil((F.col("slot") - (width - 1)) / F.lit(step))).cast("int")
-    last = F.least(F.lit(window.buckets - 1), F.floor(F.col("slot") / F.lit(step))).cast("int")
-    inside = slots.where(first <= last)
-    return inside.withColumn("bucket", F.explode(F.sequence(first, last))).drop("slot")
+    return F.col("slot").between(bucket * step, bucket * step + (width - 1))
 
 
-def interval_sums(deltas: DataFrame, window: TrendWindow = TrendWindow()) -> DataFrame:
+def _each_bucket(window: TrendWindow) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(window.buckets - 1))).alias("bucket")
+
+
+def _bucket_end(newest: Column, window: TrendWindow) -> Column:
+    return _minus(newest, F.col("bucket") * _micros(window.step))
+
+
+def interval_sums(deltas: DataFrame, newest: datetime, window: TrendWindow = TrendWindow()) -> DataFrame:
     """Deltas and view sum per (bucket, id) for ids with any delta in the bucket's window."""
-    newest = latest(deltas, "extracted_at")
-    slots = _slots(deltas, newest, window, F.count(F.lit(1)).alias("_deltas"))
-    sums = _cover(slots, window).groupBy("bucket", "id").agg(
+    slots = _slots(deltas, _time(newest), window, F.count(F.lit(1)).alias("_deltas"))
+    covered = slots.select("*", _each_bucket(window)).where(_covers(F.col("bucket"), window))
+    sums = covered.groupBy("bucket", "id").agg(
         F.sum("_deltas").alias("deltas"), F.coalesce(F.sum("s_v_view_count"), F.lit(0)).alias("views")
     )
-    end = _minus(newest, F.col("bucket") * _micros(window.step))
-    return sums.select(end.alias("bucket_end"), "id", "deltas", "views")
+    return sums.select(_bucket_end(_time(newest), window).alias("bucket_end"), "id", "deltas", "views")
 
 
-def trend(deltas: DataFrame, posts: DataFrame, window: TrendWindow = TrendWindow()) -> DataFrame:
+def trend(
+    deltas: DataFrame, posts: DataFrame, newest: datetime, window: TrendWindow = TrendWindow()
+) -> DataFrame:
     """Mean change per (bucket, car, category); every pair appears in every bucket.
 
-    ``posts`` is ``car_id, post_id, category, weight``. A delta falls into one slot and every
-    window is a run of slots, so the deltas are summed per slot once, on the map side first, and
-    only the small (slot, car, category) sums are copied to the buckets that cover them.
+    ``posts`` is ``car_id, post_id, category, weight``, ``newest`` the end of the last bucket. One
+    pass: posts meet the slot sums of their id, the result shrinks to (car, category, slot), and
+    only that is copied to all buckets. A post without deltas keeps its pair in the grid.
     """
-    newest = latest(deltas, "extracted_at")
-    slots = _slots(deltas, newest, window).withColumnRenamed("id", "post_id")
-    sums = [
-        F.sum(F.col(f"{kind}_{column}") * F.col("weight")).alias(f"{kind}_{column}")
-        for column in MEASURES.values()
-        for kind in ("s", "n")
-    ]
-    per_slot = slots.join(posts, "post_id").groupBy("car_id", "category", "slot").agg(*sums)
-
-    covered = _cover(per_slot, window)
-
-    # a row of zeros per pair and bucket makes the grid dense without a join
-    pairs = posts.groupBy("car_id", "category").agg(F.count(F.lit(1)).alias("_posts"))
-    every = pairs.select(
-        "car_id", "category", F.explode(F.sequence(F.lit(0), F.lit(window.buckets - 1))).alias("bucket")
+    slots = _slots(deltas, _time(newest), window).withColumnRenamed("id", "post_id")
+    columns = [f"{kind}_{column}" for column in MEASURES.values() for kind in ("s", "n")]
+    per_slot = posts.join(slots, "post_id", "left").groupBy("car_id", "category", "slot").agg(
+        *[F.sum(F.col(c) * F.col("weight")).alias(c) for c in columns]
     )
-    grid = covered.unionByName(every, allowMissingColumns=True)
-
+    grid = per_slot.select("*", _each_bucket(window))
+    inside = {c: F.sum(F.when(_covers(F.col("bucket"), window), F.col(c))) for c in columns}
     means = [
-        F.coalesce(F.sum(f"s_{c}") / F.nullif(F.sum(f"n_{c}"), F.lit(0)), F.lit(0.0)).alias(name)
+        F.coalesce(inside[f"s_{c}"] / F.nullif(inside[f"n_{c}"], F.lit(0)), F.lit(0.0)).alias(name)
         for name, c in MEASURES.items()
     ]
-    means_by_bucket = grid.groupBy("bucket", "car_id", "category").agg(*means)
-    return means_by_bucket.where(newest.isNotNull()).select(
-        _minus(newest, F.col("bucket") * _micros(window.step)).alias("batch_time"),
-        "car_id",
-        "category",
-        *MEASURES,
+    return grid.groupBy("bucket", "car_id", "category").agg(*means).select(
+        _bucket_end(_time(newest), window).alias("batch_time"), "car_id", "category", *MEASURES
     )
 
 

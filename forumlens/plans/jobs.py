@@ -136,20 +136,32 @@ def trend_from_tables(
     deltas: DataFrame,
     window: W.TrendWindow = W.TrendWindow(),
 ) -> DataFrame:
-    """Trend of the newest window from the five warehouse tables (M7)."""
+    """Trend of the newest window from the five warehouse tables (M7); no rows without deltas."""
     top = W.top_category(W.post_category_count(sentence, keyword_category))
-    return W.trend(deltas, W.category_posts(top, W.target_posts(post_static, post_car)), window)
+    posts = W.category_posts(top, W.target_posts(post_static, post_car))
+    newest = W.latest_value(deltas, "extracted_at")
+    if newest is None:
+        return deltas.sparkSession.createDataFrame([], schemas.TREND)
+    return W.trend(deltas, posts, newest, window)
 
 
-def run_trend(spark: SparkSession, folder: str, now: Column, window: W.TrendWindow = W.TrendWindow(), k: float = 2.0) -> DataFrame:
-    """Append the newest trend, drop repeats from the table, and return alert rows with payload (M7-M9)."""
+def run_trend(
+    spark: SparkSession,
+    folder: str,
+    now: Column,
+    window: W.TrendWindow = W.TrendWindow(),
+    k: float = 2.0,
+) -> DataFrame:
+    """Append the newest trend, drop repeats from the table, and return alert rows with payload (M7-M9).
+
+    The fresh trend is written first: the table, the statistics and the alerts read it from there.
+    """
     read = {
         name: spark.read.parquet(f"{folder}/{name}")
         for name in ("sentence", "keyword_category", "post_static", "post_car")
     }
-    fresh = trend_from_tables(**read, deltas=spark.read.parquet(f"{folder}/v_post_dynamic"), window=window)
-    fresh.write.mode("overwrite").parquet(f"{folder}/v_total_trend.fresh")
-    fresh = spark.read.parquet(f"{folder}/v_total_trend.fresh")
+    deltas = spark.read.parquet(f"{folder}/v_post_dynamic")
+    fresh = materialize(trend_from_tables(**read, deltas=deltas, window=window), "trend")
     tables.append_load(fresh, f"{folder}/v_total_trend", schemas.TREND)
     tables.rebuild(spark, f"{folder}/v_total_trend", W.dedupe_trend)
     return W.alerts(fresh, k).withColumn("payload", alert_payload(now))

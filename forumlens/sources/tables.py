@@ -39,7 +39,11 @@ def write_table(
     partition_by: list[str] | None = None,
     rows_per_file: int | None = None,
 ) -> None:
-    """Write under a fixed schema; overwriting replaces only the partitions that are written."""
+    """Write under a fixed schema; overwriting replaces only the partitions that are written.
+
+    Partitioned output is rebalanced by its partition values first, so that a value has few files;
+    adaptive execution splits a value that holds most of the rows over several tasks.
+    """
     if schema is not None:
         extra = [c for c in partition_by or [] if c not in schema.names]
         df = conform(df.select("*"), T.StructType([*schema.fields, *[df.schema[c] for c in extra]]))
@@ -51,6 +55,8 @@ def write_table(
                 for c in df.columns
             ]
         )
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)

@@ -97,7 +97,8 @@ def trend_uneven(spark, sf):
     """SELECT bucket_end, id, count(*) AS deltas, sum(coalesce(v_view_count, 0))::BIGINT AS views FROM buckets JOIN deltas
     ON extracted_at > bucket_end - to_minutes(4320) AND extracted_at <= bucket_end GROUP BY 1, 2""", "buckets", **_WIDE_MINUTES))
 def interval_join(spark, sf):
-    return W.interval_sums(B.deltas(spark, sf), _WIDE)
+    deltas = B.deltas(spark, sf)
+    return W.interval_sums(deltas, W.latest_value(deltas, "extracted_at"), _WIDE)
 
 
 def _wide_trend(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,8 @@ from forumlens.operators.sentiment import ScorerFactory, score_sentiment
 from forumlens.runtime import materialize, spread
 from forumlens.sources import config, ledger, pages, raw, tables
 
+log = logging.getLogger(__name__)
+
 
 def combine_batch(
     posts: DataFrame, seen: DataFrame, batch_time: Column, keep_repeats: bool = False
@@ -42,19 +45,26 @@ def combine_batch(
 
 
 def run_combine(
-    spark: SparkSession, raw_path: str, ledger_path: str, out: str, batch: str, batch_time: Column
+    spark: SparkSession,
+    raw_path: str,
+    ledger_path: str,
+    out: str,
+    batch: str,
+    batch_time: Column,
+    one_per_file: bool = True,
 ) -> None:
     """Read, combine and write one batch; the ledger grows only after the statics are written.
 
     The JSON is parsed once; the five tables read the columns they need from the written posts.
     """
-    posts, rejects = raw.read_raw_posts(spark, raw_path)
+    posts, rejects = raw.read_raw_posts(spark, raw_path, one_per_file)
     posts = materialize(posts, "posts")
     made = combine_batch(posts, ledger.read_ledger(spark, ledger_path), batch_time)
     rejects.write.mode("overwrite").parquet(f"{out}/rejects")
     for name in ("post_static", "comment_static", "post_dynamic", "comment_dynamic", "post_car"):
         schema, _ = schemas.LOAD_KEYS[name]
         tables.write_table(made[name], f"{out}/{name}", schema, mode="overwrite")
+        log.info("%s: %d rows", name, spark.read.parquet(f"{out}/{name}").count())
     for name in ("post_static", "comment_static"):
         written = spark.read.parquet(f"{out}/{name}")
         ledger.append_ledger(written, ledger_path, f"{batch}-{name}")
@@ -125,7 +135,7 @@ def run_delta(spark: SparkSession, before: str | None, after: str, out: str, key
 
 def run_sentiment(spark: SparkSession, source: str, target: str, factory: ScorerFactory) -> None:
     """Score every sentence file below a prefix (M5)."""
-    tables.rewrite_prefix(spark, source, target, lambda df: score_sentiment(df, factory))
+    tables.rewrite_prefix(spark, source, target, lambda df: score_sentiment(df, factory), schemas.SENTENCE)
 
 
 def trend_from_tables(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,13 +66,19 @@ def write_table(
 
 
 def rewrite_prefix(
-    spark: SparkSession, source: str, target: str, transform: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    source: str,
+    target: str,
+    transform: Callable[[DataFrame], DataFrame],
+    schema: T.StructType | None = None,
 ) -> None:
     """Rewrite every Parquet file below one prefix to another in one job.
 
-    Files that are not Parquet are skipped, so one damaged file does not stop the others.
+    A file that is not Parquet is skipped and logged by the executors, so one damaged file does
+    not stop the others; with ``schema`` no file is opened to find the columns.
     """
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    files = files.schema(schema) if schema else files
     transform(files.option("ignoreCorruptFiles", True).parquet(source)).write.mode("overwrite").parquet(target)
 
 
@@ -175,3 +181,10 @@ def load(df: DataFrame, folder: str, table: str, partition_by: str | None = None
         upsert_load(df, path, schema, list(keys), partition_by)
     else:
         append_load(df, path, schema)
+
+
+def write_counted(df: DataFrame, path: str, name: str, mode: str = "append") -> int:
+    """Write and return the row count, observed during the write itself."""
+    seen = Observation(name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    return seen.get["rows"]

@@ -132,12 +132,11 @@ def page_fields(pages: DataFrame, layout: PageLayout, html_column: str = "html")
         for texts in batches:
             rows = []
             for text in texts:
-                record: dict = {"parsed": False, "comments": []}
+                record = {**dict.fromkeys(names), "comments": [], "parsed": bool(text)}
                 if text:
                     page = html.parse(text)
-                    record = {n: _text(page, p) for n, p in layout.fields.items()}
+                    record.update({n: _text(page, where) for n, where in layout.fields.items()})
                     record["comments"] = _comments(page, layout.comments) if layout.comments else []
-                    record["parsed"] = True
                 rows.append(record)
             yield pd.DataFrame(rows, columns=[*names, "comments", "parsed"])
 

@@ -29,18 +29,20 @@ def lexicon_entries(lexicon: Lexicon, distinct: bool = False) -> list[tuple[str,
     return list(dict.fromkeys(entries)) if distinct else entries
 
 
+def literal_entries(entries: list[tuple[str, str]]) -> Column:
+    """The entries as one literal array of ``struct<category, keyword>``."""
+    return F.array(
+        *[F.struct(F.lit(category).alias("category"), F.lit(word).alias("keyword")) for category, word in entries]
+    )
+
+
 def tag_keywords(sentence: Column, lexicon: Lexicon, distinct: bool = False) -> Column:
     """Array of ``struct<category, keyword>`` for every lexicon entry inside ``sentence``.
 
     The entries fold to one literal array. The sentence is bound to a lambda variable so that it
     is upper-cased once, not once per entry.
     """
-    entries = F.array(
-        *[
-            F.struct(F.lit(category).alias("category"), F.lit(word).alias("keyword"))
-            for category, word in lexicon_entries(lexicon, distinct)
-        ]
-    )
+    entries = literal_entries(lexicon_entries(lexicon, distinct))
     hits = F.transform(
         F.array(F.upper(sentence)),
         lambda upper: F.filter(entries, lambda entry: F.contains(upper, entry["keyword"])),

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+
+try:
+    import ahocorasick
+except ImportError:  # long lexicons are then tagged natively
+    ahocorasick = None
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.functions.lexicon import Lexicon, tag_keywords
+from forumlens.functions.lexicon import Lexicon, lexicon_entries, literal_entries, tag_keywords
 from forumlens.functions.text import clean_text, is_from_post, is_long_enough, split_sentences
 
 # Builds, once per task, a function from one text to its sentences.
@@ -71,7 +77,37 @@ def explode_sentences(
     )
 
 
+def automaton_tags(lexicon: Lexicon, distinct: bool = False) -> Callable[[Column], Column]:
+    """``tag_keywords`` for a long lexicon: one pass over each sentence whatever the number of words.
+
+    The automaton is built once per task from the lexicon and sees Arrow batches of upper-cased
+    sentences.
+    """
+    entries = lexicon_entries(lexicon, distinct)
+
+    @F.pandas_udf("array<int>")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton()
+        for word in {word for _, word in entries}:
+            automaton.add_word(word, [i for i, entry in enumerate(entries) if entry[1] == word])
+        automaton.make_automaton()
+        for texts in batches:
+            hits = ({i for _, found in automaton.iter(text) for i in found} if text else () for text in texts)
+            yield pd.Series([np.array(sorted(found), dtype="int32") for found in hits], dtype=object)
+
+    listed = literal_entries(entries)
+    return lambda sentence: F.transform(find(F.upper(sentence)), lambda i: F.get(listed, i))
+
+
+# Above this many entries one pass in Python beats one search per entry in the JVM: 413 entries
+# took 16 s natively and 2 s this way on 400,000 sentences.
+NATIVE_ENTRIES = 50
+
+
 def keyword_rows(sentences: DataFrame, lexicon: Lexicon, distinct: bool = False) -> DataFrame:
     """One row per tag; sentences without a tag vanish."""
-    tags = tag_keywords(F.col("sentence"), lexicon, distinct)
+    if ahocorasick is None or len(lexicon_entries(lexicon, distinct)) <= NATIVE_ENTRIES:
+        tags = tag_keywords(F.col("sentence"), lexicon, distinct)
+    else:
+        tags = automaton_tags(lexicon, distinct)(F.col("sentence"))
     return sentences.select(F.col("id").alias("sentence_id"), F.inline(tags))

@@ -19,6 +19,8 @@ LEXICON = {
     "price": ["HEIT", "KEIT", "LICH", "HEIT"],
     "fault": ["AS", "ESC", "CIÓN"],
 }
+# A long lexicon by rule: every consonant with every vowel and ending.
+LONG_LEXICON = {f"c{vowel}": [c + vowel + end for c in "BCDFHLMNPRST" for end in ("", "N")] for vowel in "AEIOU"}
 BATCH_TIME = datetime(2024, 1, 16)
 BEFORE_TIME = datetime(2024, 1, 15)
 POSITIVE, NEGATIVE = ["ation", "heit", "ment", "ción"], ["ed ", "schaft", "aux", "ada"]
@@ -259,8 +261,8 @@ def split_sql(text: str) -> str:
     return f"coalesce(list_filter({trimmed}, lambda s: length(s) > 0), [])"
 
 
-def _lexicon_sql() -> str:
-    entries = [(c, w) for c, words in LEXICON.items() for w in words]
+def lexicon_sql(lexicon: dict[str, list[str]]) -> str:
+    entries = [(c, w) for c, words in lexicon.items() for w in words]
     return ", ".join(f"({i}, '{c}', '{w}')" for i, (c, w) in enumerate(entries))
 
 
@@ -278,7 +280,7 @@ def with_views(query: str, *views: str, step: int = 30, horizon: int = 360, widt
         visit(view)
     fill = {
         "{clean}": clean_sql("content"), "{split_title}": split_sql("title"),
-        "{split_content}": split_sql("content"), "{lexicon}": _lexicon_sql(),
+        "{split_content}": split_sql("content"), "{lexicon}": lexicon_sql(LEXICON),
         "{step}": str(step), "{horizon}": str(horizon), "{width}": str(width),
     }
     parts = []

@@ -120,3 +120,12 @@ def test_plugin_splitter_builds_one_model_per_task(spark):
 
     df = spark.createDataFrame([("a|b",), (None,)], "t string")
     assert [r[0] for r in df.coalesce(1).select(S.plugin_splitter(factory)(F.col("t"))).collect()] == [["a", "b"], []]
+
+
+def test_automaton_equals_native_tagging(spark):
+    words = {"one": ["AS", "GAS", "AS", "G"], "two": ["AS", "디자인", "자"], "three": [c + d for c in "ABCDEFGH" for d in "AEIOUNRS"]}
+    texts = ["gas 디자인 tank", "", None, "aaasss", "none at all"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    native, passed = lexicon.tag_keywords(F.col("t"), words), S.automaton_tags(words)(F.col("t"))
+    for left, right in df.select(native, passed).collect():
+        assert (left or []) == right

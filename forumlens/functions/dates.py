@@ -50,6 +50,11 @@ def parse_month_day(text: Column, batch_time: Column) -> Column:
     )
 
 
+def iso_text(time: Column) -> Column:
+    """A naive timestamp as ``yyyy-MM-ddTHH:mm:ss``; formatting it would pass through the session's zone."""
+    return F.replace(F.substring(time.cast("string"), 1, 19), F.lit(" "), F.lit("T"))
+
+
 def join_iso(text: Column) -> Column:
     """Date and time separated by whitespace, joined by ``T``."""
     return F.regexp_replace(F.trim(text), r"\s+", "T")

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The texts of an alert.
+# The texts of an alert and of a report line.
 ALERT_TEXT = ":eyes: 소셜 트랜드 이상징후 발견"
 ALERT_HEADER = ":rotating_light: *조회 집계 경고* :rotating_light:"
 ALERT_COLOR = "#ff0000"
+ALERT_BODY = (
+    "*🕒 기준 시간:* %s\n\n🚗 *Car:* `%s`\n\n🏆 *Category:* `%s`\n\n"
+    "📈 *Change:* `%s`\n\n🔢 *Total:* `%s`\n\n"
+)
+REPORT_LINE = "*%s*\n시도: `%s건` | 성공: `%s건` | %s 성공률: `%.1f%%`"
 BAND_MARKS = {"red": "🔴", "yellow": "🟡", "green": "🟢"}
 
 
@@ -19,8 +24,8 @@ def _section(kind: str, **parts: Column) -> Column:
 def alert_payload(now: Column, footer: str = "") -> Column:
     """One JSON message per alert row (``car_id, category, view_change, total_view``)."""
     body = F.format_string(
-        "*🕒 기준 시간:* %s\n\n🚗 *Car:* `%s`\n\n🏆 *Category:* `%s`\n\n📈 *Change:* `%s`\n\n🔢 *Total:* `%s`\n\n",
-        F.date_format(now, "yyyy-MM-dd HH:mm:ss"),
+        ALERT_BODY,
+        F.substring(now.cast("string"), 1, 19),
         F.col("car_id"), F.col("category"),
         F.col("view_change").cast("string"), F.col("total_view").cast("string"),
     )
@@ -48,6 +53,6 @@ def community_line(community: Column, attempted: Column, extracted: Column, rate
     for name, sign in BAND_MARKS.items():
         mark = F.when(band == name, sign).otherwise(mark)
     return F.format_string(
-        "*%s*\n시도: `%s건` | 성공: `%s건` | %s 성공률: `%.1f%%`",
+        REPORT_LINE,
         F.upper(community), F.format_number(attempted, 0), F.format_number(extracted, 0), mark, rate,
     )

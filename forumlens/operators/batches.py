@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forumlens.functions.dates import batch_number, shift, to_local
+from forumlens.functions.dates import batch_number, iso_text, shift, to_local
 
 
 def batch_identity(time: Column, zone: str = "Asia/Seoul", look_back_hours: int = 24) -> list[Column]:
     """``date, time, batch, start_datetime, end_datetime`` of a UTC run time."""
     local = to_local(time, zone)
     return [
-        F.date_format(local, "yyyy-MM-dd").alias("date"),
-        F.date_format(local, "HH:mm:ss").alias("time"),
+        F.substring(iso_text(local), 1, 10).alias("date"),
+        F.substring(iso_text(local), 12, 8).alias("time"),
         batch_number(time, zone).alias("batch"),
         shift(local, hours=-look_back_hours).alias("start_datetime"),
         local.alias("end_datetime"),

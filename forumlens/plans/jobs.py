@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens import schemas
+from forumlens.functions.dates import iso_text
 from forumlens.functions.fields import entity_id
 from forumlens.functions.lexicon import Lexicon
 from forumlens.functions.messages import alert_payload, community_line
@@ -211,7 +212,7 @@ def extract_pages(
         F.col("url").alias("post_url"),
         clean_title.alias("title"),
         pages.normalize_text(raw_text("content")).alias("content"),
-        F.date_format("_posted", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
+        iso_text(F.col("_posted")).alias("created_at"),
         *[number(n) for n in ("view_count", "upvote_count", "downvote_count", "comment_count")],
         pages.typed_comments(F.col("comments"), dates).alias("comments"),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions import html
+from forumlens.functions.dates import iso_text
 from forumlens.functions.fields import last_segment, resolve_href
 from forumlens.functions.text import normalize_text
 
@@ -158,7 +159,7 @@ def typed_comments(comments: Column, parse_date) -> Column:
             F.lit("comment_id"), F.regexp_extract(c["comment_id"], r"(\d+)\D*$", 1).try_cast("long"),
             F.lit("content"), F.coalesce(normalize_text(c["content"]), F.lit("")),
             F.lit("is_reply"), c["is_reply"].cast("string"),
-            F.lit("created_at"), F.date_format(parse_date(c["created_at"]), "yyyy-MM-dd'T'HH:mm:ss"),
+            F.lit("created_at"), iso_text(parse_date(c["created_at"])),
             F.lit("upvote_count"), F.regexp_extract(c["upvotes"], r"(\d+)\s*$", 1).try_cast("int"),
             F.lit("downvote_count"), F.regexp_extract(c["downvotes"], r"(\d+)\s*$", 1).try_cast("int"),
         ),

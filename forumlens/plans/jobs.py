@@ -53,12 +53,13 @@ def run_combine(
     batch: str,
     batch_time: Column,
     one_per_file: bool = True,
+    base: str | None = None,
 ) -> None:
     """Read, combine and write one batch; the ledger grows only after the statics are written.
 
     The JSON is parsed once; the five tables read the columns they need from the written posts.
     """
-    posts, rejects = raw.read_raw_posts(spark, raw_path, one_per_file)
+    posts, rejects = raw.read_raw_posts(spark, raw_path, one_per_file, base=base)
     posts = materialize(posts, "posts")
     made = combine_batch(posts, ledger.read_ledger(spark, ledger_path), batch_time)
     rejects.write.mode("overwrite").parquet(f"{out}/rejects")

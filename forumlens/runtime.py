@@ -71,11 +71,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_written: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` once to the shared folder and read it back.
 
     A written table survives lost executors, and later reads prune columns.
     """
-    path = new_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = new_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete what this application materialized; frames that read it are of no use afterwards."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

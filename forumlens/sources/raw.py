@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from forumlens.schemas import RAW_POST
 
-# Fixed value: where the community stands in a path of one file per post.
+# Where community and car stand in a path of one file per post.
 COMMUNITY_IN_PATH = r"raw/([^/]+)/[^/]+\.json$"
+CAR_IN_PATH = r"([^/]+)/[^/]+/[^/]+/raw/[^/]+/[^/]+\.json$"
 LAYOUT = ["car_id", "date", "batch", "community"]
 _CORRUPT = "_corrupt"
 
@@ -19,12 +20,21 @@ def community_from_path(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, COMMUNITY_IN_PATH, 1), F.lit(""))
 
 
+def car_from_path(path: Column) -> Column:
+    return F.nullif(F.regexp_extract(path, CAR_IN_PATH, 1), F.lit(""))
+
+
 def read_raw_posts(
-    spark: SparkSession, path: str | list[str], one_per_file: bool = True, glob: str = "*.json"
+    spark: SparkSession,
+    path: str | list[str],
+    one_per_file: bool = True,
+    glob: str = "*.json",
+    base: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(posts, rejects) from every file of ``glob`` below ``path``.
 
-    A post carries its community, from the path or from a ``community=`` partition. Documents
+    A post carries its car and community, from the path or from partition folders; with ``base``
+    the partitions above a globbed path count as well. Documents
     that are JSON ``null``, malformed or off any known path go to the rejects with their text and
     path, and do not fail the batch.
     """
@@ -37,12 +47,15 @@ def read_raw_posts(
         .option("pathGlobFilter", glob)
         .option("inferTimestamp", False)
     )
+    if base:
+        reader = reader.option("basePath", base)
     probe = reader.load(path, format="json")
     if "community" in probe.columns:
         read = probe
     else:
         flat = reader.option("recursiveFileLookup", True).load(path, format="json")
-        read = flat.withColumn("community", community_from_path(F.col("_metadata.file_path")))
+        file = F.col("_metadata.file_path")
+        read = flat.withColumns({"community": community_from_path(file), "car_id": car_from_path(file)})
     read = read.withColumn("path", F.col("_metadata.file_path"))
     good = F.col(_CORRUPT).isNull() & F.col("post_id").isNotNull() & F.col("community").isNotNull()
     return read.where(good).drop(_CORRUPT), read.where(~good).select("path", F.col(_CORRUPT).alias("document"))

@@ -94,24 +94,36 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def swap(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a staged folder in the place of a table.
+    """Put a staged folder in the place of a table or partition.
 
-    The old table is moved aside first and removed last, so a failure in between loses nothing.
+    The old folder is moved aside first, under a hidden name, and removed last: a failure in
+    between loses nothing, and the next swap of the same target starts by putting it back.
     """
     fs, new = _file_system(spark, staged)
     _, old = _file_system(spark, target)
-    _, aside = _file_system(spark, f"{target}.replaced")
+    _, aside = _file_system(spark, f"{old.getParent().toString()}/.{old.getName()}.replaced")
+    if fs.exists(aside) and not fs.exists(old):
+        fs.rename(aside, old)
+    fs.mkdirs(old.getParent())
     if fs.exists(old):
         fs.delete(aside, True)
         if not fs.rename(old, aside):
             raise OSError(f"cannot move {target} aside")
-    else:
-        fs.mkdirs(old.getParent())
     if not fs.rename(new, old):
         raise OSError(f"cannot move {staged} to {target}")
     fs.delete(aside, True)
 
 
+def swap_partitions(spark: SparkSession, staged: str, target: str) -> None:
+    """Put every partition folder of a staged table in the place of the table's own."""
+    fs, folder = _file_system(spark, staged)
+    for entry in fs.listStatus(folder):
+        name = entry.getPath().getName()
+        if entry.isDirectory() and "=" in name:
+            swap(spark, f"{staged}/{name}", f"{target}/{name}")
+    fs.delete(folder, True)
+
+
 def rebuild(spark: SparkSession, path: str, transform: Callable[[DataFrame], DataFrame]) -> None:
     """Write ``transform(table)`` beside the table and swap it in."""
     staged = f"{path}.staged"
@@ -149,8 +161,8 @@ def upsert_load(
 
     ``partition_by`` names a column that the key determines, such as the day of ``extracted_at``.
     Then only partitions that the source touches are read and replaced; a batch of one day
-    rewrites one day, not the table. The result is staged, since a folder cannot be overwritten
-    while it is read.
+    rewrites one day, not the table. The result is staged beside the table, since a folder cannot
+    be overwritten while it is read, and its folders are moved into place.
     """
     spark = df.sparkSession
     columns = [*schema.names, *([partition_by] if partition_by and partition_by not in schema.names else [])]
@@ -168,7 +180,7 @@ def upsert_load(
     staged = f"{path}.staged"
     write_table(merge_rows(target, df, keys), staged, schema, "overwrite", partitions)
     if partition_by:
-        write_table(spark.read.parquet(staged).select(*columns), path, schema, "overwrite", partitions)
+        swap_partitions(spark, staged, path)
     else:
         swap(spark, staged, path)
 

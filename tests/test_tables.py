@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from forumlens import schemas
+from forumlens import runtime, schemas
 from forumlens.operators import posts as P
 from forumlens.plans import jobs
 from forumlens.sources import config, ledger, raw, tables
@@ -72,7 +72,14 @@ def test_rebuild_swaps(spark, folder):
     spark.range(5).write.parquet(f"{folder}/t")
     tables.rebuild(spark, f"{folder}/t", lambda df: df.where("id < 2"))
     assert spark.read.parquet(f"{folder}/t").count() == 2
-    assert not tables.exists(spark, f"{folder}/t.staged") and not tables.exists(spark, f"{folder}/t.replaced")
+    assert not tables.exists(spark, f"{folder}/t.staged") and not tables.exists(spark, f"{folder}/.t.replaced")
+
+
+def test_swap_recovers_a_table_left_aside(spark, folder):
+    spark.range(5).write.parquet(f"{folder}/.t.replaced")
+    spark.range(3).write.parquet(f"{folder}/t.staged")
+    tables.swap(spark, f"{folder}/t.staged", f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 3 and not tables.exists(spark, f"{folder}/.t.replaced")
 
 
 def test_chunks_exclude_other_tables(spark, folder):
@@ -120,7 +127,8 @@ def test_raw_posts_and_rejects(spark, raw_folder):
 
 def test_combine_writes_tables_and_ledger(spark, raw_folder, folder):
     posts, _ = raw.read_raw_posts(spark, raw_folder)
-    both = posts.crossJoin(spark.createDataFrame([("x",), ("y",)], "car_id string"))
+    assert {r.car_id for r in posts.collect()} == {"car"}
+    both = posts.withColumn("car_id", F.explode(F.array(F.lit("x"), F.lit("y"))))
     raw.write_raw_posts(both.drop("path").withColumns({"date": F.lit("2025-02-10"), "batch": F.lit(30)}), f"{folder}/raw.out")
     for number in (1, 2):
         out = f"{folder}/combined-{number}"
@@ -176,3 +184,11 @@ def test_static_job_with_one_side_missing(spark, folder):
         assert rows(spark.read.parquet(f"{out}/sentence").select("id", "sentence")) == [("c_0", "The led lamp."), ("c_1", "mail <EMAIL>")]
         assert rows(spark.read.parquet(f"{out}/keyword_category")) == [("c_0", "d", "LED")]
         assert tables.read_optional(spark, f"{out}/post_static") is None
+
+
+def test_materialized_tables_can_be_dropped(spark):
+    kept = runtime.materialize(spark.range(3), "t")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert kept.count() == 3 and tables.exists(spark, path)
+    runtime.drop_materialized(spark)
+    assert not tables.exists(spark, path)

@@ -20,10 +20,21 @@ def sliding_means(
     must be an instant, so naive times are read in the session's zone and written back in it.
     State is one row per open window and id, and the watermark lets it go.
     """
-    timed = deltas.withColumn("extracted_at", F.col("extracted_at").cast("timestamp")).withWatermark("extracted_at", late)
-    inside = F.timestamp_add("MICROSECOND", F.lit(-1), F.col("extracted_at"))
+    inside = F.timestamp_add("MICROSECOND", F.lit(-1), F.col("extracted_at").cast("timestamp"))
     return (
-        timed.groupBy(F.window(inside, width, step, anchor).alias("_window"), "id")
+        deltas.withColumn("_inside", inside)
+        .withWatermark("_inside", late)
+        .groupBy(F.window("_inside", width, step, anchor).alias("_window"), "id")
         .agg(F.count("v_view_count").alias("deltas"), F.avg("v_view_count").alias("mean_view"))
         .select(F.col("_window.end").cast("timestamp_ntz").alias("bucket_end"), "id", "deltas", "mean_view")
     )
+
+
+def first_seen_within(stream: DataFrame, key: str, time: str, late: str) -> DataFrame:
+    """First row per key inside the watermark (L2).
+
+    State is one key per row of the last ``late``. Ids that must stay known forever belong in the
+    ledger instead: see ``sinks.first_seen``.
+    """
+    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+    return timed.dropDuplicatesWithinWatermark([key]).withColumn(time, F.col(time).cast("timestamp_ntz"))

@@ -11,8 +11,14 @@ from forumlens.workload.bindings import with_views
 from forumlens.workload.registry import query
 
 
-def _stream(spark, path):
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _feed(parts, path, sink, transform=None, mode="append"):
+    """Each part of the table is added to the source folder and processed by a run of its own."""
+    spark = parts[0].sparkSession
+    offsets = new_path(spark, "offsets")
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(part.schema).parquet(path)
+        sinks.run_available(transform(stream) if transform else stream, sink, offsets, mode)
 
 
 @query("L1", with_views(
@@ -20,20 +26,23 @@ def _stream(spark, path):
     FROM deltas, (SELECT unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', INTERVAL 30 MINUTE)) AS bucket_end) b
     WHERE extracted_at <= bucket_end AND extracted_at > bucket_end - INTERVAL 3 HOUR GROUP BY 1, 2""", "deltas"))
 def stream_sliding_means(spark, sf):
-    source, out = new_path(spark, "delta_stream"), new_path(spark, "means")
-    B.deltas(spark, sf).repartitionByRange(2, "extracted_at").sortWithinPartitions("extracted_at").write.parquet(source)
-    means = windows.sliding_means(_stream(spark, source), late="40 days")
-    sinks.run_available(means, sinks.versioned(out), new_path(spark, "offsets"), mode="update")
+    """Earlier days first, then the rest: windows across the cut are updated."""
+    out, rows = new_path(spark, "means"), B.deltas(spark, sf)
+    early = F.col("extracted_at") < B.ts(B.BEFORE_TIME)
+    _feed(
+        [rows.where(early), rows.where(~early)], new_path(spark, "delta_stream"), sinks.versioned(out),
+        lambda stream: windows.sliding_means(stream, late="40 days"), "update",
+    )
     return sinks.newest_versions(spark.read.parquet(out), ["bucket_end", "id"]).withColumn("mean_view", F.round("mean_view", 6))
 
 
 @query("L2", "SELECT source AS id FROM documents GROUP BY 1")
 def stream_first_seen(spark, sf):
-    """The same sources come in three files; each is passed on once."""
-    source, out, ledger = new_path(spark, "posts"), new_path(spark, "first"), new_path(spark, "ledger")
-    rows = B.table(spark, sf, "documents").select(F.col("source").alias("id"))
-    rows.repartition(3).write.parquet(source)
-    sinks.run_available(_stream(spark, source), sinks.first_seen(out, ledger), new_path(spark, "offsets"))
+    """The same sources come in every part; each is passed on once."""
+    out, ledger = new_path(spark, "first"), new_path(spark, "ledger")
+    docs = B.table(spark, sf, "documents").select(F.col("source").alias("id"), "lang")
+    english = F.col("lang") == "en"
+    _feed([docs.where(english), docs.where(~english)], new_path(spark, "posts"), sinks.first_seen(out, ledger))
     return spark.read.parquet(out).select("id")
 
 
@@ -42,8 +51,7 @@ def stream_first_seen(spark, sf):
     SELECT a.id, a.extracted_at, a.view_count - coalesce(b.view_count, 0) FROM after a LEFT JOIN before b USING (id)""", "before", "after"))
 def stream_delta(spark, sf):
     """Two snapshots arrive as two micro-batches."""
-    source, out, state = new_path(spark, "snapshots"), new_path(spark, "moves"), new_path(spark, "state")
-    for time in (B.BEFORE_TIME, B.BATCH_TIME):
-        B.snapshot(spark, sf, time).coalesce(1).write.mode("append").parquet(source)
-        sinks.run_available(_stream(spark, source), sinks.stream_delta(out, state, ["id"]), f"{state}-offsets")
+    out = new_path(spark, "moves")
+    snapshots = [B.snapshot(spark, sf, time) for time in (B.BEFORE_TIME, B.BATCH_TIME)]
+    _feed(snapshots, new_path(spark, "snapshots"), sinks.stream_delta(out, new_path(spark, "state"), ["id"]))
     return spark.read.parquet(out).select("id", "extracted_at", "v_view_count")

@@ -1,15 +1,15 @@
 from datetime import datetime
 
-from forumlens.streaming import sinks
+from forumlens.streaming import sinks, windows
 
 T = [datetime(2025, 2, d) for d in (10, 11, 12)]
 
 
-def feed(spark, folder, batches, columns, sink):
+def feed(spark, folder, batches, columns, sink, transform=lambda stream: stream):
     for rows in batches:
         spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(columns).parquet(f"{folder}/in")
-        sinks.run_available(stream, sink, f"{folder}/offsets")
+        sinks.run_available(transform(stream), sink, f"{folder}/offsets")
 
 
 def test_first_seen_passes_each_id_once(spark, folder):
@@ -34,3 +34,22 @@ def test_delta_forgets_ids_that_skip_a_batch(spark, folder):
     feed(spark, folder, batches, "id string, extracted_at timestamp_ntz, view_count int", sink)
     got = sorted((r.extracted_at, r.id, r.v_view_count) for r in spark.read.parquet(f"{folder}/out").collect())
     assert got == [(T[0], "a", 5), (T[0], "b", 1), (T[1], "b", 3), (T[2], "a", 9), (T[2], "b", 0)]
+
+
+def test_first_seen_within_watermark(spark, folder):
+    batches = [[("a", T[0]), ("a", T[0]), ("b", T[0])], [("b", T[0]), ("c", T[1])]]
+    transform = lambda stream: windows.first_seen_within(stream, "id", "at", "1 hour")
+    feed(spark, folder, batches, "id string, at timestamp_ntz", sinks.versioned(f"{folder}/out"), transform)
+    got = sorted((r.id, r["at"]) for r in spark.read.parquet(f"{folder}/out").collect())
+    assert got == [("a", T[0]), ("b", T[0]), ("c", T[1])]
+
+
+def test_closed_windows_are_emitted_once_and_late_rows_dropped(spark, folder):
+    at = [datetime(2025, 2, 10, 12), datetime(2025, 2, 10, 12, 0, 0, 1), datetime(2025, 2, 12)]
+    batches = [[("a", at[0], 4), ("a", at[1], 8)], [("b", at[2], 1)], [("a", at[0], 100), ("b", at[2], 1)], [("c", at[2], 1)]]
+    transform = lambda stream: windows.sliding_means(stream, late="1 hour")
+    feed(spark, folder, batches, "id string, extracted_at timestamp_ntz, v_view_count int", sinks.versioned(f"{folder}/out"), transform)
+    got = {r.bucket_end: (r.deltas, r.mean_view) for r in spark.read.parquet(f"{folder}/out").where("id = 'a'").collect()}
+    # noon belongs to the buckets ending at noon up to 14:30, a microsecond later to 12:30 up to 15:00
+    assert got[at[0]] == (1, 4.0) and got[datetime(2025, 2, 10, 12, 30)] == (2, 6.0)
+    assert got[datetime(2025, 2, 10, 15)] == (1, 8.0) and len(got) == 7

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from forumlens import schemas
 from forumlens.functions.dates import iso_text
-from forumlens.functions.fields import entity_id
 from forumlens.functions.lexicon import Lexicon
 from forumlens.functions.messages import alert_payload, community_line
 from forumlens.functions.text import split_sentences
@@ -23,7 +22,7 @@ from forumlens.operators.delta import snapshot_delta
 from forumlens.operators.sentences import clean_columns, explode_sentences, keyword_rows, union_sources
 from forumlens.operators.sentiment import ScorerFactory, score_sentiment
 from forumlens.runtime import materialize, spread
-from forumlens.sources import config, ledger, pages, raw, tables
+from forumlens.sources import ledger, pages, raw, tables
 
 log = logging.getLogger(__name__)
 
@@ -58,18 +57,20 @@ def run_combine(
     """Read, combine and write one batch; the ledger grows only after the statics are written.
 
     The JSON is parsed once; the five tables read the columns they need from the written posts.
+    Running a batch again replaces its outputs and its part of the ledger.
     """
     posts, rejects = raw.read_raw_posts(spark, raw_path, one_per_file, base=base)
-    posts = materialize(posts, "posts")
-    made = combine_batch(posts, ledger.read_ledger(spark, ledger_path), batch_time)
     rejects.write.mode("overwrite").parquet(f"{out}/rejects")
-    for name in ("post_static", "comment_static", "post_dynamic", "comment_dynamic", "post_car"):
+    posts = materialize(posts, "posts")
+    statics = {name: f"{batch}-{name}" for name in ("post_static", "comment_static")}
+    seen = ledger.read_ledger(spark, ledger_path, tuple(statics.values()))
+    made = combine_batch(posts, seen, batch_time)
+    for name in (*statics, "post_dynamic", "comment_dynamic", "post_car"):
         schema, _ = schemas.LOAD_KEYS[name]
         tables.write_table(made[name], f"{out}/{name}", schema, mode="overwrite")
         log.info("%s: %d rows", name, spark.read.parquet(f"{out}/{name}").count())
-    for name in ("post_static", "comment_static"):
-        written = spark.read.parquet(f"{out}/{name}")
-        ledger.append_ledger(written, ledger_path, f"{batch}-{name}")
+    for name, part in statics.items():
+        ledger.append_ledger(spark.read.parquet(f"{out}/{name}"), ledger_path, part)
 
 
 def transform_static(
@@ -227,9 +228,3 @@ def batch_ledger(spark: SparkSession, path: str, current: DataFrame) -> DataFram
     current.select("date", "time", "batch").write.mode("append").parquet(path)
     return current_and_previous(spark.read.parquet(path))
 
-
-__all__ = [
-    "combine_batch", "run_combine", "transform_static", "run_transform_static", "run_delta",
-    "run_sentiment", "trend_from_tables", "run_trend", "extraction_report", "extract_pages",
-    "batch_ledger", "entity_id", "config",
-]

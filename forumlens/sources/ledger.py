@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forumlens.sources.tables import read_optional
+from forumlens.sources.tables import exists
 
 _SCHEMA = T.StructType([T.StructField("id", T.StringType())])
 
@@ -17,10 +17,16 @@ def import_text_ledger(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("id <> ''").distinct()
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Every id seen so far; an absent ledger is empty."""
-    ledger = read_optional(spark, path)
-    return spark.createDataFrame([], _SCHEMA) if ledger is None else ledger.select("id")
+def read_ledger(spark: SparkSession, path: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """Every id seen so far; an absent ledger is empty.
+
+    ``without`` leaves out the ids of batches that are being run again, so that a rerun finds the
+    same rows new as the first run did.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], _SCHEMA)
+    ledger = spark.read.schema("id string, batch string").parquet(path)
+    return ledger.where(~F.col("batch").isin(*without)).select("id") if without else ledger.select("id")
 
 
 def append_ledger(new_ids: DataFrame, path: str, batch: str) -> None:

@@ -41,7 +41,7 @@ def first_seen(out: str, ledger: str, key: str = "id") -> BatchSink:
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        seen = spark.read.parquet(ledger).where(F.col("batch") != str(number)) if exists(spark, ledger) else read_ledger(spark, ledger)
+        seen = read_ledger(spark, ledger, (str(number),))
         target = f"{out}/epoch={number}"
         first_unseen(batch, seen, key).write.mode("overwrite").parquet(target)
         append_ledger(spark.read.parquet(target).select(F.col(key).alias("id")), ledger, str(number))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forumlens.functions import dates, fields
-from forumlens.functions.messages import community_line
 from forumlens.operators import batches
 from forumlens.operators import report as R
 from forumlens.plans import jobs

@@ -30,10 +30,12 @@ log = logging.getLogger(__name__)
 def combine_batch(
     posts: DataFrame, seen: DataFrame, batch_time: Column, keep_repeats: bool = False
 ) -> dict[str, DataFrame]:
-    """Raw posts of one batch, all cars, to the five flat tables and the new ids (M1)."""
+    """Raw posts of one batch, all cars, to the five flat tables, the new ids and rejects."""
+    post, no_post = P.split_required(P.post_static(posts), schemas.POST_STATIC)
+    comment, no_comment = P.split_required(P.comment_static(posts), schemas.COMMENT_STATIC)
     statics = {
-        "post_static": P.first_unseen(P.post_static(posts), seen, keep_repeats=keep_repeats),
-        "comment_static": P.first_unseen(P.comment_static(posts), seen, keep_repeats=keep_repeats),
+        "post_static": P.first_unseen(post, seen, keep_repeats=keep_repeats),
+        "comment_static": P.first_unseen(comment, seen, keep_repeats=keep_repeats),
     }
     return {
         **statics,
@@ -41,6 +43,8 @@ def combine_batch(
         "comment_dynamic": P.comment_dynamic(posts, batch_time),
         "post_car": P.post_car(posts).distinct(),
         "new_ids": statics["post_static"].select("id").unionByName(statics["comment_static"].select("id")),
+        "post_rejects": no_post,
+        "comment_rejects": no_comment,
     }
 
 
@@ -59,9 +63,9 @@ def run_combine(
     The JSON is parsed once; the five tables read the columns they need from the written posts.
     Running a batch again replaces its outputs and its part of the ledger.
     """
-    posts, rejects = raw.read_raw_posts(spark, raw_path, one_per_file, base=base)
+    scanned = materialize(raw.scan_raw_posts(spark, raw_path, one_per_file, base=base), "raw")
+    posts, rejects = raw.split_rejects(scanned)
     rejects.write.mode("overwrite").parquet(f"{out}/rejects")
-    posts = materialize(posts, "posts")
     statics = {name: f"{batch}-{name}" for name in ("post_static", "comment_static")}
     seen = ledger.read_ledger(spark, ledger_path, tuple(statics.values()))
     made = combine_batch(posts, seen, batch_time)
@@ -69,6 +73,8 @@ def run_combine(
         schema, _ = schemas.LOAD_KEYS[name]
         tables.write_table(made[name], f"{out}/{name}", schema, mode="overwrite")
         log.info("%s: %d rows", name, spark.read.parquet(f"{out}/{name}").count())
+    for name in ("post_rejects", "comment_rejects"):
+        made[name].write.mode("overwrite").parquet(f"{out}/{name}")
     for name, part in statics.items():
         ledger.append_ledger(spark.read.parquet(f"{out}/{name}"), ledger_path, part)
 

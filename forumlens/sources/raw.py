@@ -24,19 +24,17 @@ def car_from_path(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, CAR_IN_PATH, 1), F.lit(""))
 
 
-def read_raw_posts(
+def scan_raw_posts(
     spark: SparkSession,
     path: str | list[str],
     one_per_file: bool = True,
     glob: str = "*.json",
     base: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(posts, rejects) from every file of ``glob`` below ``path``.
+) -> DataFrame:
+    """Every document of the files matching ``glob`` below ``path``, good or not (A1, A2).
 
     A post carries its car and community, from the path or from partition folders; with ``base``
-    the partitions above a globbed path count as well. Documents
-    that are JSON ``null``, malformed or off any known path go to the rejects with their text and
-    path, and do not fail the batch.
+    the partitions above a globbed path count as well. Text that is no post is kept beside it.
     """
     schema = T.StructType([*RAW_POST.fields, T.StructField(_CORRUPT, T.StringType())])
     reader = (
@@ -45,20 +43,27 @@ def read_raw_posts(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("pathGlobFilter", glob)
-        .option("inferTimestamp", False)
     )
     if base:
         reader = reader.option("basePath", base)
-    probe = reader.load(path, format="json")
-    if "community" in probe.columns:
-        read = probe
-    else:
+    read = reader.load(path, format="json")
+    file = F.col("_metadata.file_path")
+    if "community" not in read.columns:
         flat = reader.option("recursiveFileLookup", True).load(path, format="json")
-        file = F.col("_metadata.file_path")
         read = flat.withColumns({"community": community_from_path(file), "car_id": car_from_path(file)})
-    read = read.withColumn("path", F.col("_metadata.file_path"))
+    return read.withColumn("path", file)
+
+
+def split_rejects(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(posts, rejects): JSON ``null``, malformed text and files off any known path are rejects."""
     good = F.col(_CORRUPT).isNull() & F.col("post_id").isNotNull() & F.col("community").isNotNull()
-    return read.where(good).drop(_CORRUPT), read.where(~good).select("path", F.col(_CORRUPT).alias("document"))
+    rejects = scanned.where(~good).select("path", F.col(_CORRUPT).alias("document"))
+    return scanned.where(good).drop(_CORRUPT), rejects
+
+
+def read_raw_posts(spark: SparkSession, path: str | list[str], **options) -> tuple[DataFrame, DataFrame]:
+    """(posts, rejects) of ``scan_raw_posts``, lazily: each side parses the files for itself."""
+    return split_rejects(scan_raw_posts(spark, path, **options))
 
 
 def write_raw_posts(raw: DataFrame, path: str, mode: str = "append") -> None:

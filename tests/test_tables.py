@@ -192,3 +192,20 @@ def test_materialized_tables_can_be_dropped(spark):
     assert kept.count() == 3 and tables.exists(spark, path)
     runtime.drop_materialized(spark)
     assert not tables.exists(spark, path)
+
+
+def test_rows_that_break_the_contract_are_set_aside(spark):
+    comment = "array<struct<comment_id:bigint,content:string,is_reply:string,created_at:string,upvote_count:int,downvote_count:int>>"
+    columns = f"community string, car_id string, post_id string, post_url string, title string, content string, created_at string, view_count int, upvote_count int, downvote_count int, comment_count int, comments {comment}"
+    good, bad = (1, "x", "0", "2025-02-10T00:00:00", None, None), (2, None, "0", "2025-02-10T00:00:00", None, None)
+    rows = [
+        ("a", "x", "1", "u", "t", "c", "2025-02-10T00:00:00", 1, 1, 1, 1, [good, bad]),
+        ("a", "x", "2", "u", "t", "c", "someday", 1, 1, 1, 1, []),
+    ]
+    seen = spark.createDataFrame([], "id string")
+    made = jobs.combine_batch(spark.createDataFrame(rows, columns), seen, F.lit("2025-02-10").cast("timestamp_ntz"))
+    assert {name: [r[0] for r in df.collect()] for name, df in made.items() if name not in ("post_car",)} == {
+        "post_static": ["a_post_1"], "comment_static": ["a_comment_1"], "new_ids": ["a_post_1", "a_comment_1"],
+        "post_rejects": ["a_post_2"], "comment_rejects": ["a_comment_2"],
+        "post_dynamic": ["a_post_1", "a_post_2"], "comment_dynamic": ["a_comment_1", "a_comment_2"],
+    }

@@ -33,20 +33,20 @@ def _ranges(df: DataFrame, order_by: list[str], value: Column, ranges: int | Non
     Rows that tie on ``order_by`` are ordered by a hash and a row number, which also lets one hot
     key spread over several ranges.
     """
-    spark = df.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tied = df.withColumn("_value", value.cast("bigint")).withColumn(
         _TIE, F.struct(F.xxhash64(*order_by, "_value"), F.monotonically_increasing_id())
     )
     order = [*order_by, _TIE]
+    # without a number, adaptive execution merges neighbouring ranges of a small table
+    ranged = tied.repartitionByRange(ranges, *order) if ranges else tied.repartitionByRange(*order)
     local = (
-        tied.repartitionByRange(ranges, *order)
+        ranged
         .sortWithinPartitions(*order)
         .drop(_TIE)
         .select("*", F.spark_partition_id().alias(_RANGE), _running_in_partition("_value").alias(_LOCAL))
     )
     fixed = materialize(local, "ranges")
-    # one row per range: `ranges` rows whatever the size of the table
+    # one row per range, at most spark.sql.shuffle.partitions of them whatever the size of the table
     totals = fixed.groupBy(_RANGE).agg(F.sum("_value").alias("_sum"))
     earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -81,11 +81,14 @@ def balance_by_length(
     """Add ``partition_id``, the running length over ``limit``, and spread rows by length.
 
     ``partition_id`` is a logical number that grows with the data. The rows go to ``tasks``
-    partitions that hold the same number of characters each, up to one row.
+    partitions that hold the same number of characters each, up to one row; by default one per
+    ``limit`` characters, but no more than the session's shuffle partitions.
     """
-    spark = df.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = _ranges(df, order_by, F.length(text), ranges)
+    if tasks is None:
+        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        total = ranged.agg(F.max(_TOTAL)).first()[0] or 0
+        tasks = min(most, total // limit + 1)
     cumulative = F.col(_LOCAL) + F.col(_BEFORE)
     start = cumulative - F.coalesce(F.col("_value"), F.lit(0))
     task = F.least(F.floor(start * tasks / F.greatest(F.col(_TOTAL), F.lit(1))), F.lit(tasks - 1))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import exactdedup, mixing, packing
+from forumlens.llm import ann, exactdedup, langid, mixing, packing
 from forumlens.llm.common import table
 from forumlens.runtime import ship_package
 
@@ -92,3 +92,13 @@ FROM norm WINDOW same AS (PARTITION BY t)
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     rows = exactdedup.classes(table(spark, sf, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(table(spark, sf, "documents"))
+
+
+@query()
+def op9_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.search(table(spark, sf, "embeddings"))

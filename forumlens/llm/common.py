@@ -25,6 +25,11 @@ def single_spaced(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
+def locator(file: str, row: str) -> tuple[Column, Column]:
+    """Where a row of a frame that is read from Parquet files lies; the same in every scan, unlike a row number."""
+    return F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)
+
+
 def ranked(rows: DataFrame, keys: list, name: str, index: str) -> DataFrame:
     """``rows`` with a dense zero-based position in the order of ``keys``, without a single-task sort.
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import ann, chat, exactdedup, langid, licenses, linededup, mixing, neardup, packing
+from forumlens.llm import ann, chat, exactdedup, langid, licenses, linededup, mixing, neardup, packing, suffixes
 from forumlens.llm.common import table
 from forumlens.runtime import ship_package
 
@@ -241,3 +241,8 @@ def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op3_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     rows = neardup.classes_of(table(spark, sf, "documents"))
     return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query()
+def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf, "documents"))

@@ -12,25 +12,25 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import single_spaced
+from forumlens.llm.common import locator, single_spaced
 from forumlens.runtime import materialize, new_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each small store holds megabytes of empty disk
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",  # of all stores of an executor
+}
 SALT_ROWS = 256  # rows compared with one copy of the kept text
 
 
 
-def locator(file: str, row: str) -> tuple[Column, Column]:
-    """Where a row's content lies."""
-    return F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)
-
-
 def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -40,8 +40,21 @@ def fingerprints(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -
     return docs.select("doc_id", *locator("file", "row"), digest(single_spaced(F.col("text"))).alias("digest"))
 
 
-def keyed_state(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Stream the fingerprints in ``folder`` through the keyed state and return what it holds.
+@contextmanager
+def disk_backed(spark: SparkSession) -> Iterator[None]:
+    """The session with its state on disk."""
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def keyed_state(spark: SparkSession, folder: str, least: int = 1, files_per_trigger: int = 1000) -> DataFrame:
+    """Stream the fingerprints in ``folder`` through the keyed state; the groups of at least ``least`` rows it holds.
 
     ``digest``, ``keep`` (the row that stays: id, then locator) and ``group_size``. The checkpoint lies in
     the shared folder, so a lost executor's partitions are loaded again from there.
@@ -51,17 +64,14 @@ def keyed_state(spark: SparkSession, folder: str, files_per_trigger: int = 1000)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row"))
     state = stream.groupBy("digest").agg(first.alias("keep"), F.count("*").alias("group_size"))
     checkpoint = new_path(spark, "exact-state")
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
+    with disk_backed(spark):
         state.writeStream.outputMode("update").format("noop").trigger(availableNow=True).option(
             "checkpointLocation", checkpoint
         ).start().awaitTermination()
-    finally:
-        spark.conf.set(PROVIDER, before)
-    held = spark.read.format("statestore").load(checkpoint)
-    keep, size = held.schema["value"].dataType.names[-2:]
-    return held.select("key.digest", F.col("value")[keep].alias("keep"), F.col("value")[size].alias("group_size"))
+        held = spark.read.format("statestore").load(checkpoint)
+        keep, size = held.schema["value"].dataType.names[-2:]
+        held = held.select("key.digest", F.col("value")[keep].alias("keep"), F.col("value")[size].alias("group_size"))
+        return materialize(held.where(F.col("group_size") >= least), "exact-groups")
 
 
 def classes(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_trigger: int = 1000) -> DataFrame:
@@ -70,8 +80,7 @@ def classes(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_
     prints = materialize(fingerprints(docs, digest), "exact-prints")
     if prints.isEmpty():
         return prints.select("*", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    state = keyed_state(spark, prints.inputFiles()[0].rsplit("/", 1)[0], files_per_trigger)
-    several = materialize(state.where("group_size > 1"), "exact-groups")
+    several = keyed_state(spark, prints.inputFiles()[0].rsplit("/", 1)[0], 2, files_per_trigger)
     # one row per digest on the right; a hot digest on the left is split by the adaptive skew join
     rows = prints.join(several, "digest", "left")
     alone = F.col("keep").isNull()

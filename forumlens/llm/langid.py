@@ -79,7 +79,7 @@ def codewords(languages: int) -> np.ndarray:
     """A row of +1 and -1 for each language: every split of up to five, else the best of random codes."""
     if languages <= 5:
         bits = max(2 ** (languages - 1) - 1, 1)
-        code = [[1] * bits] + [[1 if (b + 1) >> i & 1 else -1 for b in range(bits)] for i in range(languages - 1)]
+        code = [[1] * bits] + [[-1 if (b + 1) >> i & 1 else 1 for b in range(bits)] for i in range(languages - 1)]
         return np.array(code[:languages], np.float32)
     bits = int(np.ceil(10 * np.log2(languages)))
     draws = (np.where(np.random.default_rng(seed).random((languages, bits)) < 0.5, 1, -1) for seed in range(100))

@@ -10,10 +10,12 @@ _ISO_OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
 
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text to a naive timestamp; a zone suffix moves it to UTC first."""
-    instant = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz")
-    )
-    return F.when(text.rlike(_ISO_OFFSET), instant).otherwise(text.try_cast("timestamp_ntz"))
+    offset = F.regexp_extract(text, _ISO_OFFSET, 1)
+    digits = F.regexp_replace(offset, r"\D", "")
+    minutes = F.coalesce(F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
+    ahead = F.when(offset.startswith("-"), -minutes).otherwise(minutes)
+    naive = F.regexp_replace(text, _ISO_OFFSET, "").try_cast("timestamp_ntz")
+    return F.when(text.rlike(_ISO_OFFSET), naive - F.make_dt_interval(mins=ahead)).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def _part(text: Column, pattern: str, group: int) -> Column:

@@ -17,9 +17,14 @@ def query_id(url: Column, parameter: str = "No") -> Column:
 
 
 def resolve_href(href: Column, base: Column) -> Column:
-    """Absolute link of an href that may be relative to the site root."""
+    """Absolute link of an href that may be relative to the site root, or to the scheme only."""
+    scheme = F.split_part(base, F.lit("//"), F.lit(1))
     slash = F.when(href.startswith("/"), "").otherwise("/")
-    return F.when(href.rlike(r"^https?://"), href).otherwise(F.concat(base, slash, href))
+    return (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(scheme, href))
+        .otherwise(F.concat(base, slash, href))
+    )
 
 
 def strip_query(url: Column) -> Column:

@@ -25,7 +25,11 @@ def read_lexicon(spark: SparkSession, path: str) -> Lexicon:
 
 
 def lexicon_entries(lexicon: Lexicon, distinct: bool = False) -> list[tuple[str, str]]:
+    """(category, keyword) in the order given; an empty keyword, which every sentence holds, is refused."""
     entries = [(category, word) for category, words in lexicon.items() for word in words]
+    empty = sorted({category for category, word in entries if not word})
+    if empty:
+        raise ValueError(f"empty keyword in {', '.join(empty)}")
     return list(dict.fromkeys(entries)) if distinct else entries
 
 

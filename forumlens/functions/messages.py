@@ -21,8 +21,11 @@ def _section(kind: str, **parts: Column) -> Column:
     return F.struct(F.lit(kind).alias("type"), *[value.alias(name) for name, value in parts.items()])
 
 
-def alert_payload(now: Column, footer: str = "") -> Column:
-    """One JSON message per alert row (``car_id, category, view_change, total_view``)."""
+def alert_payload(now: Column, footer: str | None = None) -> Column:
+    """One JSON message per alert row (``car_id, category, view_change, total_view``).
+
+    The closing note is left out where there is none.
+    """
     body = F.format_string(
         ALERT_BODY,
         F.substring(now.cast("string"), 1, 19),
@@ -37,11 +40,12 @@ def alert_payload(now: Column, footer: str = "") -> Column:
     )
     empty = F.nullif(none_fields, none_fields)
     note = F.struct(F.lit("mrkdwn").alias("type"), F.lit(footer).alias("text"))
+    closing = [_section("context", text=none_title, fields=empty, elements=F.array(note))] if footer else []
     blocks = F.array(
         _section("header", text=title, fields=empty, elements=empty),
         _section("divider", text=none_title, fields=empty, elements=empty),
         _section("section", text=none_title, fields=F.array(text), elements=empty),
-        _section("context", text=none_title, fields=empty, elements=F.array(note)),
+        *closing,
     )
     attachment = F.struct(F.lit(ALERT_COLOR).alias("color"), blocks.alias("blocks"))
     return F.to_json(F.struct(F.lit(ALERT_TEXT).alias("text"), F.array(attachment).alias("attachments")))

@@ -24,8 +24,8 @@ def _running_in_partition(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield sums
 
 
-def _ranges(df: DataFrame, order_by: list[str], value: Column, ranges: int | None) -> DataFrame:
-    """Rows with their range number, the running sum inside it, and each range's offset.
+def _ranges(df: DataFrame, order_by: list[str], value: Column, ranges: int | None) -> tuple[DataFrame, DataFrame]:
+    """Rows with their range number, the running sum inside it, and each range's offset; the sum of each range.
 
     A window over the whole table would run in one task. Here every range keeps its own running
     sum right after the range exchange, in the same stage; only the length column visits Python.
@@ -54,14 +54,14 @@ def _ranges(df: DataFrame, order_by: list[str], value: Column, ranges: int | Non
         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias(_BEFORE),
         F.sum("_sum").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(_TOTAL),
     )
-    return fixed.join(F.broadcast(offsets), _RANGE)
+    return fixed.join(F.broadcast(offsets), _RANGE), totals
 
 
 def prefix_sum(
     df: DataFrame, order_by: list[str], value: Column, out: str = "cumulative", ranges: int | None = None
 ) -> DataFrame:
     """Running sum of ``value`` over the whole table in ``order_by`` order."""
-    ranged = _ranges(df, order_by, value, ranges)
+    ranged, _ = _ranges(df, order_by, value, ranges)
     return ranged.select(*df.columns, (F.col(_LOCAL) + F.col(_BEFORE)).alias(out))
 
 
@@ -81,14 +81,13 @@ def balance_by_length(
     """Add ``partition_id``, the running length over ``limit``, and spread rows by length.
 
     ``partition_id`` is a logical number that grows with the data. The rows go to ``tasks``
-    partitions that hold the same number of characters each, up to one row; by default one per
-    ``limit`` characters, but no more than the session's shuffle partitions.
+    partitions that hold the same number of characters each, up to one row. By default there is
+    one per ``limit`` characters, whatever the session's settings, so a task holds less than
+    ``limit`` characters and one row more; give ``tasks`` to choose another number.
     """
-    ranged = _ranges(df, order_by, F.length(text), ranges)
+    ranged, totals = _ranges(df, order_by, F.length(text), ranges)
     if tasks is None:
-        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        total = ranged.agg(F.max(_TOTAL)).first()[0] or 0
-        tasks = min(most, total // limit + 1)
+        tasks = (totals.agg(F.sum("_sum")).first()[0] or 0) // limit + 1
     cumulative = F.col(_LOCAL) + F.col(_BEFORE)
     start = cumulative - F.coalesce(F.col("_value"), F.lit(0))
     task = F.least(F.floor(start * tasks / F.greatest(F.col(_TOTAL), F.lit(1))), F.lit(tasks - 1))

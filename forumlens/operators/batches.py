@@ -43,9 +43,13 @@ def previous_batch(batches: DataFrame) -> DataFrame:
     )
 
 
-def current_and_previous(ledger: DataFrame) -> DataFrame:
-    """The newest batch of the ledger with its predecessor; a rerun batch counts once."""
-    ledger = ledger.distinct()
-    newest = F.struct("date", "batch")
-    top = ledger.agg(F.max(newest).alias("_now")).select("_now.*")
-    return previous_batch(ledger).join(F.broadcast(top), ["date", "batch"])
+def current_and_previous(ledger: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """The batch ``current`` of the ledger, by default the newest, with its predecessor.
+
+    A batch that ran several times counts once, with the earliest of its times. A rerun of an older
+    batch finds that batch and the one before it, whatever ran since.
+    """
+    ledger = ledger.groupBy("date", "batch").agg(F.min("time").alias("time")).select("date", "time", "batch")
+    if current is None:
+        current = ledger.agg(F.max(F.struct("date", "batch")).alias("_now")).select("_now.*")
+    return previous_batch(ledger).join(F.broadcast(current.select("date", "batch").distinct()), ["date", "batch"])  # one row

@@ -14,8 +14,18 @@ def _post_id() -> Column:
     return entity_id(F.col("community"), "post", F.col("post_id"))
 
 
-def post_static(raw: DataFrame) -> DataFrame:
+#: Where a row came from: the file, then the place in it.
+PLACE = ["_path", "_position"]
+
+
+def _path(raw: DataFrame) -> Column:
+    return F.col("path") if "path" in raw.columns else F.lit(None).cast("string")
+
+
+def post_static(raw: DataFrame, placed: bool = False) -> DataFrame:
+    """One row per raw post; with ``placed`` also where it came from."""
     return raw.select(
+        *([_path(raw).alias("_path"), F.lit(0).cast("long").alias("_position")] if placed else []),
         _post_id().alias("id"),
         F.col("post_url").alias("url"),
         "title",
@@ -41,7 +51,8 @@ def post_car(raw: DataFrame) -> DataFrame:
 
 def _comments(raw: DataFrame) -> DataFrame:
     return raw.select(
-        "community", _post_id().alias("post_id"), F.explode("comments").alias("comment")
+        "community", _post_id().alias("post_id"), _path(raw).alias("_path"),
+        F.posexplode("comments").alias("_position", "comment"),
     )
 
 
@@ -49,8 +60,10 @@ def _comment_id() -> Column:
     return entity_id(F.col("community"), "comment", F.col("comment.comment_id"))
 
 
-def comment_static(raw: DataFrame) -> DataFrame:
+def comment_static(raw: DataFrame, placed: bool = False) -> DataFrame:
+    """One row per raw comment; with ``placed`` also where it came from."""
     return _comments(raw).select(
+        *(["_path", F.col("_position").cast("long").alias("_position")] if placed else []),
         _comment_id().alias("id"),
         "post_id",
         "comment.content",
@@ -84,15 +97,16 @@ def unseen(df: DataFrame, seen: DataFrame, key: str = "id") -> DataFrame:
     return df.join(seen.select(key), key, "left_anti")
 
 
-def first_unseen(df: DataFrame, seen: DataFrame, key: str = "id", keep_repeats: bool = False) -> DataFrame:
-    """Static rows to add: unseen ids, one row each unless ``keep_repeats``.
+def first_unseen(
+    df: DataFrame, seen: DataFrame, key: str = "id", order: list[str] | None = None, keep_repeats: bool = False
+) -> DataFrame:
+    """Static rows to add: unseen ids, one row each unless ``keep_repeats``, the first in ``order``.
 
-    Repeats collapse first; the anti join then reuses the same hash partitioning by id, so the
-    text crosses the network once.
+    Known ids go first, since most are known. The repeats of the others then collapse in the same
+    hash partitioning by id, so the text crosses the network once.
     """
-    if not keep_repeats:
-        df = first_per_key(df, [key], [c for c in df.columns if c != key])
-    return unseen(df, seen, key)
+    new = unseen(df, seen, key)
+    return new if keep_repeats else first_per_key(new, [key], order or [c for c in df.columns if c != key])
 
 
 def split_required(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:

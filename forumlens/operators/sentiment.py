@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from forumlens import schemas
 from forumlens.operators.posts import conform
 
+# Sentences of a request, tries, and the base of the waits between them in seconds.
 BATCH_SIZE = 20
 MAX_TRIES = 10
 BACK_OFF = 1.5
@@ -29,13 +30,13 @@ def score_batch(score: Scorer, sentences: list[str], wait: Callable[[float], Non
     """Scores of one batch, or None when the scorer failed or answered with the wrong count."""
     for attempt in range(MAX_TRIES):
         try:
-            scores = score(sentences)
+            scores = list(score(sentences))
         except RateLimited:
             wait(BACK_OFF**attempt)
             continue
-        except Exception:
+        except Exception:  # no answer at all included
             return None
-        return list(scores) if len(scores) == len(sentences) else None
+        return scores if len(scores) == len(sentences) and None not in scores else None
     return None
 
 

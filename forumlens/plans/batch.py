@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumlens import schemas
 from forumlens.functions.dates import to_local
 from forumlens.functions.lexicon import Lexicon
+from forumlens.functions.text import split_sentences
 from forumlens.operators.batches import batch_identity
 from forumlens.operators.sentiment import ScorerFactory
 from forumlens.operators.trend import TrendWindow
@@ -36,6 +39,11 @@ class Settings:
     threshold: float = 2.0
     balance_chars: int | None = None
     zone: str = "Asia/Seoul"
+    splitter: Callable[[Column], Column] = split_sentences
+    strict: bool = False  # the stricter masking rules
+    distinct: bool = False  # a keyword listed twice tags once
+    keep_repeats: bool = False  # static rows of an id that occurs twice in a batch
+    footer: str | None = None  # of an alert
 
 
 def run_batch(spark: SparkSession, folders: Folders, run_time: datetime, settings: Settings) -> DataFrame:
@@ -53,11 +61,12 @@ def run_batch(spark: SparkSession, folders: Folders, run_time: datetime, setting
 
     posts = f"{folders.raw}/car_id=*/date={ran.date}/batch={ran.batch}"
     jobs.run_combine(
-        spark, posts, folders.ledger, here, f"{ran.date}-{ran.batch}", local, one_per_file=False, base=folders.raw
+        spark, posts, folders.ledger, here, f"{ran.date}-{ran.batch}", local, one_per_file=False, base=folders.raw,
+        keep_repeats=settings.keep_repeats,
     )
     jobs.run_transform_static(
         spark, [f"{here}/post_static"], [f"{here}/comment_static"], f"{here}/transformed", settings.lexicon,
-        settings.balance_chars,
+        settings.balance_chars, settings.splitter, settings.strict, settings.distinct,
     )
     for name in ("post", "comment"):
         old = f"{before}/{name}_dynamic" if before else None
@@ -77,5 +86,8 @@ def run_batch(spark: SparkSession, folders: Folders, run_time: datetime, setting
         if "extracted_at" in rows.columns:
             tables.load(rows.withColumn("day", F.to_date("extracted_at")), folders.warehouse, table, "day")
         else:
-            tables.load(rows, folders.warehouse, table)
-    return jobs.run_trend(spark, folders.warehouse, local, settings.window, settings.threshold)
+            tables.load(rows, folders.warehouse, table, batch=f"{ran.date}-{ran.batch}")
+    scored = spark.read.parquet(f"{here}/transformed/sentence_sentiment")
+    failed = scored.where("not scored").select(*schemas.SENTENCE.names)
+    tables.append_load(failed, f"{folders.warehouse}/sentence_unscored", schemas.SENTENCE, f"{ran.date}-{ran.batch}")
+    return jobs.run_trend(spark, folders.warehouse, local, settings.window, settings.threshold, settings.footer)

@@ -21,7 +21,7 @@ from forumlens.operators.batches import current_and_previous
 from forumlens.operators.delta import snapshot_delta
 from forumlens.operators.sentences import clean_columns, explode_sentences, keyword_rows, union_sources
 from forumlens.operators.sentiment import ScorerFactory, score_sentiment
-from forumlens.runtime import materialize, spread
+from forumlens.runtime import materialize
 from forumlens.sources import ledger, pages, raw, tables
 
 log = logging.getLogger(__name__)
@@ -30,21 +30,32 @@ log = logging.getLogger(__name__)
 def combine_batch(
     posts: DataFrame, seen: DataFrame, batch_time: Column, keep_repeats: bool = False
 ) -> dict[str, DataFrame]:
-    """Raw posts of one batch, all cars, to the five flat tables, the new ids and rejects."""
-    post, no_post = P.split_required(P.post_static(posts), schemas.POST_STATIC)
-    comment, no_comment = P.split_required(P.comment_static(posts), schemas.COMMENT_STATIC)
-    statics = {
-        "post_static": P.first_unseen(post, seen, keep_repeats=keep_repeats),
-        "comment_static": P.first_unseen(comment, seen, keep_repeats=keep_repeats),
-    }
-    return {
-        **statics,
+    """Raw posts of one batch, all cars, to the five flat tables, the new ids and rejects.
+
+    Every table is split by its contract, so one row without an id stops nothing. Of repeated ids
+    the first by path and place counts.
+    """
+    made = {
+        "post_static": P.post_static(posts, placed=True),
+        "comment_static": P.comment_static(posts, placed=True),
         "post_dynamic": P.post_dynamic(posts, batch_time),
         "comment_dynamic": P.comment_dynamic(posts, batch_time),
         "post_car": P.post_car(posts).distinct(),
-        "new_ids": statics["post_static"].select("id").unionByName(statics["comment_static"].select("id")),
-        "post_rejects": no_post,
-        "comment_rejects": no_comment,
+    }
+    good, bad = {}, {}
+    for name, rows in made.items():
+        good[name], bad[name] = P.split_required(rows, schemas.LOAD_KEYS[name][0])
+    for name in ("post_static", "comment_static"):
+        good[name] = P.first_unseen(good[name], seen, order=P.PLACE, keep_repeats=keep_repeats).drop(*P.PLACE)
+        bad[name] = bad[name].drop(*P.PLACE)
+    return {
+        **good,
+        "new_ids": good["post_static"].select("id").unionByName(good["comment_static"].select("id")),
+        "post_rejects": bad["post_static"],
+        "comment_rejects": bad["comment_static"],
+        "post_dynamic_rejects": bad["post_dynamic"],
+        "comment_dynamic_rejects": bad["comment_dynamic"],
+        "post_car_rejects": bad["post_car"],
     }
 
 
@@ -57,6 +68,7 @@ def run_combine(
     batch_time: Column,
     one_per_file: bool = True,
     base: str | None = None,
+    keep_repeats: bool = False,
 ) -> None:
     """Read, combine and write one batch; the ledger grows only after the statics are written.
 
@@ -68,12 +80,12 @@ def run_combine(
     rejects.write.mode("overwrite").parquet(f"{out}/rejects")
     statics = {name: f"{batch}-{name}" for name in ("post_static", "comment_static")}
     seen = ledger.read_ledger(spark, ledger_path, tuple(statics.values()))
-    made = combine_batch(posts, seen, batch_time)
+    made = combine_batch(posts, seen, batch_time, keep_repeats)
     for name in (*statics, "post_dynamic", "comment_dynamic", "post_car"):
         schema, _ = schemas.LOAD_KEYS[name]
         tables.write_table(made[name], f"{out}/{name}", schema, mode="overwrite")
         log.info("%s: %d rows", name, spark.read.parquet(f"{out}/{name}").count())
-    for name in ("post_rejects", "comment_rejects"):
+    for name in (n for n in made if n.endswith("_rejects")):
         made[name].write.mode("overwrite").parquet(f"{out}/{name}")
     for name, part in statics.items():
         ledger.append_ledger(spark.read.parquet(f"{out}/{name}"), ledger_path, part)
@@ -109,6 +121,8 @@ def run_transform_static(
     lexicon: Lexicon,
     balance_chars: int | None = None,
     splitter: Callable[[Column], Column] = split_sentences,
+    strict: bool = False,
+    distinct: bool = False,
 ) -> bool:
     """Write the four outputs; False when neither input exists.
 
@@ -119,7 +133,7 @@ def run_transform_static(
     for name, paths in (("post_static", post_paths), ("comment_static", comment_paths)):
         table = tables.read_optional(spark, *paths)
         if table is not None:
-            clean_columns(spread(table)).write.mode("overwrite").parquet(f"{out}/{name}")
+            clean_columns(table, strict=strict).write.mode("overwrite").parquet(f"{out}/{name}")
             cleaned[name] = spark.read.parquet(f"{out}/{name}")
     if not cleaned:
         return False
@@ -128,7 +142,7 @@ def run_transform_static(
         source = balance_by_length(source, "content", ["source_id"], balance_chars)
     explode_sentences(source, splitter).write.mode("overwrite").parquet(f"{out}/sentence")
     sentence = spark.read.parquet(f"{out}/sentence")
-    keyword_rows(sentence, lexicon).write.mode("overwrite").parquet(f"{out}/keyword_category")
+    keyword_rows(sentence, lexicon, distinct).write.mode("overwrite").parquet(f"{out}/keyword_category")
     return True
 
 
@@ -142,9 +156,12 @@ def run_delta(spark: SparkSession, before: str | None, after: str, out: str, key
     return True
 
 
-def run_sentiment(spark: SparkSession, source: str, target: str, factory: ScorerFactory) -> None:
-    """Score every sentence file below a prefix (M5)."""
-    tables.rewrite_prefix(spark, source, target, lambda df: score_sentiment(df, factory), schemas.SENTENCE)
+def run_sentiment(spark: SparkSession, source: str, target: str, factory: ScorerFactory) -> int:
+    """Score every sentence file below a prefix (M5); how many files gave no row.
+
+    The output tells by ``scored`` a neutral sentence from one whose request failed.
+    """
+    return tables.rewrite_prefix(spark, source, target, lambda df: score_sentiment(df, factory, keep_flag=True), schemas.SENTENCE)
 
 
 def trend_from_tables(
@@ -170,6 +187,7 @@ def run_trend(
     now: Column,
     window: W.TrendWindow = W.TrendWindow(),
     k: float = 2.0,
+    footer: str | None = None,
 ) -> DataFrame:
     """Append the newest trend, drop repeats from the table, and return alert rows with payload (M7-M9).
 
@@ -183,12 +201,15 @@ def run_trend(
     fresh = materialize(trend_from_tables(**read, deltas=deltas, window=window), "trend")
     tables.append_load(fresh, f"{folder}/v_total_trend", schemas.TREND)
     tables.rebuild(spark, f"{folder}/v_total_trend", W.dedupe_trend)
-    return W.alerts(fresh, k).withColumn("payload", alert_payload(now))
+    return W.alerts(fresh, k).withColumn("payload", alert_payload(now, footer))
 
 
-def extraction_report(results: DataFrame) -> DataFrame:
-    """Per community: totals, success rate, band and report line."""
-    rated = R.with_rates(R.community_totals(results))
+def extraction_report(results: DataFrame, communities: DataFrame | None = None) -> DataFrame:
+    """Per community: totals, success rate, band and report line.
+
+    With the configured ``communities`` one without results is reported too, at a rate of 0.
+    """
+    rated = R.with_rates(R.community_totals(results, communities))
     line = community_line(*[F.col(c) for c in ("community", "attempted", "extracted", "success_rate", "band")])
     return rated.withColumn("line", line)
 
@@ -229,8 +250,9 @@ def extract_pages(
 def batch_ledger(spark: SparkSession, path: str, current: DataFrame) -> DataFrame:
     """Append the current batch to the list and return it with its predecessor.
 
-    The first run finds no list and has no predecessor.
+    The first run finds no list and has no predecessor; a rerun finds the predecessor it had.
     """
-    current.select("date", "time", "batch").write.mode("append").parquet(path)
-    return current_and_previous(spark.read.parquet(path))
+    current = current.select("date", "time", "batch")
+    current.write.mode("append").parquet(path)
+    return current_and_previous(spark.read.parquet(path), current)
 

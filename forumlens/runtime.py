@@ -56,16 +56,6 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a plain scan with fewer splits than cores one partition per core.
-
-    Text work costs far more per byte than a shuffle, so a small file must not leave cores idle.
-    A large table has more splits than the cluster has cores and is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def read_cars(spark: SparkSession, path: str) -> DataFrame:
-    """``car_id, keywords`` from a JSON array or JSON lines."""
+    """``car_id, keywords`` from one JSON array."""
     return spark.read.schema("car_id string, keywords array<string>").option("multiLine", True).json(path)
 
 

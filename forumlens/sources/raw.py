@@ -35,8 +35,10 @@ def scan_raw_posts(
 
     A post carries its car and community, from the path or from partition folders; with ``base``
     the partitions above a globbed path count as well. Text that is no post is kept beside it.
+    Fields are read as text and cast one by one, so a counter or comment id of another type is
+    null and the rest of its post stays, whichever columns a query reads.
     """
-    schema = T.StructType([*RAW_POST.fields, T.StructField(_CORRUPT, T.StringType())])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*RAW_POST.names, _CORRUPT)])
     reader = (
         spark.read.schema(schema)
         .option("multiLine", one_per_file)
@@ -51,7 +53,16 @@ def scan_raw_posts(
     if "community" not in read.columns:
         flat = reader.option("recursiveFileLookup", True).load(path, format="json")
         read = flat.withColumns({"community": community_from_path(file), "car_id": car_from_path(file)})
-    return read.withColumn("path", file)
+    return _typed(read.withColumn("path", file))
+
+
+def _typed(read: DataFrame) -> DataFrame:
+    """Text fields in the types of a raw post; comments are parsed from their own text."""
+    comment = RAW_POST["comments"].dataType.elementType
+    texts = F.from_json("comments", T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in comment.names])))
+    typed = F.transform(texts, lambda c: F.struct(*[c[f.name].try_cast(f.dataType).alias(f.name) for f in comment]))
+    fields = {f.name: F.col(f.name).try_cast(f.dataType) for f in RAW_POST if f.name != "comments"}
+    return read.withColumns({**fields, "comments": typed})
 
 
 def split_rejects(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,18 +14,25 @@ from forumlens.operators.posts import conform
 
 
 def read_optional(spark: SparkSession, *paths: str) -> DataFrame | None:
-    """Parquet of the given paths or globs, or None when a path is missing.
+    """Parquet of those of the given paths or globs that exist, or None when none does.
 
-    Only a missing path is tolerated; any other analysis error is raised.
+    Only a missing or empty path is tolerated; any other analysis error is raised.
     """
+    there = [path for path in paths if _matches(spark, path)]
+    if not there:
+        return None
     try:
-        return spark.read.parquet(*paths)
+        return spark.read.parquet(*there)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+#: The partition of a table that batches append to.
+BATCH = "loaded_batch"
+
+
 def read_chunks(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
     """Every numbered chunk ``{name}_0``, ``{name}_1``, ... and no other table."""
     return read_optional(spark, f"{folder}/{name}_[0-9]*")
@@ -71,15 +78,29 @@ def rewrite_prefix(
     target: str,
     transform: Callable[[DataFrame], DataFrame],
     schema: T.StructType | None = None,
-) -> None:
-    """Rewrite every Parquet file below one prefix to another in one job.
+    skipped: str | None = None,
+) -> int:
+    """Rewrite every Parquet file below one prefix to another in one job (A11); how many files gave no row.
 
-    A file that is not Parquet is skipped and logged by the executors, so one damaged file does
-    not stop the others; with ``schema`` no file is opened to find the columns.
+    A file that is not Parquet does not stop the others; with ``schema`` no file is opened to find
+    the columns. Files that gave no row, damaged or empty, are listed in ``skipped`` with their
+    size, by default beside the target.
     """
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    below = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    files = spark.read.options(**below)
     files = files.schema(schema) if schema else files
-    transform(files.option("ignoreCorruptFiles", True).parquet(source)).write.mode("overwrite").parquet(target)
+    rows = files.option("ignoreCorruptFiles", True).parquet(source)
+    transform(rows).write.mode("overwrite").parquet(target)
+    listed = spark.read.options(**below).format("binaryFile").load(source).select(_plain("path").alias("path"), "length")
+    read = rows.select(_plain("_metadata.file_path").alias("path")).distinct()
+    skipped = skipped or f"{target}.skipped"
+    listed.join(read, "path", "left_anti").write.mode("overwrite").parquet(skipped)
+    return spark.read.parquet(skipped).count()
+
+
+def _plain(path: str) -> Column:
+    """A file path without its scheme, which readers write in different ways."""
+    return F.regexp_replace(F.url_decode(F.col(path)), "^[a-z0-9]+:/+", "/")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -88,25 +109,59 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def _matches(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return bool(fs.globStatus(hadoop_path))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+_ASIDE = ".replaced"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish swaps of a table or of its partitions that a failure cut off.
+
+    A folder that was moved aside and has no successor is put back; one whose successor is in
+    place is removed. Everything that reads or writes a table calls this first, so a table that
+    lies aside is never taken for a new one.
+    """
+    fs, table = _file_system(spark, path)
+    for folder, only in ((table.getParent(), table.getName()), (table, None)):
+        if not fs.exists(folder):
+            continue
+        for entry in fs.listStatus(folder):
+            hidden = entry.getPath().getName()
+            name = hidden[1 : -len(_ASIDE)]
+            if not (hidden.startswith(".") and hidden.endswith(_ASIDE)) or only not in (None, name):
+                continue
+            _, place = _file_system(spark, f"{folder.toString()}/{name}")
+            if fs.exists(place):
+                fs.delete(entry.getPath(), True)
+            elif not fs.rename(entry.getPath(), place):
+                raise OSError(f"cannot put {name} back")
+
+
 def swap(spark: SparkSession, staged: str, target: str) -> None:
     """Put a staged folder in the place of a table or partition.
 
     The old folder is moved aside first, under a hidden name, and removed last: a failure in
-    between loses nothing, and the next swap of the same target starts by putting it back.
+    between loses nothing, see ``recover``.
     """
+    recover(spark, target)
     fs, new = _file_system(spark, staged)
     _, old = _file_system(spark, target)
-    _, aside = _file_system(spark, f"{old.getParent().toString()}/.{old.getName()}.replaced")
-    if fs.exists(aside) and not fs.exists(old):
-        fs.rename(aside, old)
+    _, aside = _file_system(spark, f"{old.getParent().toString()}/.{old.getName()}{_ASIDE}")
     fs.mkdirs(old.getParent())
     if fs.exists(old):
-        fs.delete(aside, True)
         if not fs.rename(old, aside):
             raise OSError(f"cannot move {target} aside")
     if not fs.rename(new, old):
@@ -126,14 +181,25 @@ def swap_partitions(spark: SparkSession, staged: str, target: str) -> None:
 
 def rebuild(spark: SparkSession, path: str, transform: Callable[[DataFrame], DataFrame]) -> None:
     """Write ``transform(table)`` beside the table and swap it in."""
+    recover(spark, path)
     staged = f"{path}.staged"
     transform(spark.read.parquet(path)).write.mode("overwrite").parquet(staged)
     swap(spark, staged, path)
 
 
-def append_load(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Append the table's columns by name."""
-    write_table(df, path, schema, mode="append")
+def append_load(df: DataFrame, path: str, schema: T.StructType, batch: str | None = None) -> None:
+    """Append the table's columns by name.
+
+    With ``batch`` the rows become the partition of that batch and replace what an earlier run of
+    it loaded, so a load can be repeated.
+    """
+    recover(df.sparkSession, path)
+    if batch is None:
+        write_table(df, path, schema, mode="append")
+    elif df.isEmpty():  # an overwrite without rows would leave the earlier ones
+        remove(df.sparkSession, f"{path}/{BATCH}={batch}")
+    else:
+        write_table(df.withColumn(BATCH, F.lit(batch)), path, schema, "overwrite", [BATCH])
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -165,6 +231,7 @@ def upsert_load(
     be overwritten while it is read, and its folders are moved into place.
     """
     spark = df.sparkSession
+    recover(spark, path)
     columns = [*schema.names, *([partition_by] if partition_by and partition_by not in schema.names else [])]
     df = df.select(*columns)
     partitions = [partition_by] if partition_by else None
@@ -185,14 +252,17 @@ def upsert_load(
         swap(spark, staged, path)
 
 
-def load(df: DataFrame, folder: str, table: str, partition_by: str | None = None) -> None:
-    """Load a batch into a table of the contract: upsert where it has a key, else append (M6)."""
+def load(df: DataFrame, folder: str, table: str, partition_by: str | None = None, batch: str | None = None) -> None:
+    """Load a batch into a table of the contract: upsert where it has a key, else append (M6).
+
+    ``batch`` names the batch of appended rows, which makes the load repeatable.
+    """
     schema, keys = schemas.LOAD_KEYS[table]
     path = f"{folder}/{table}"
     if keys:
         upsert_load(df, path, schema, list(keys), partition_by)
     else:
-        append_load(df, path, schema)
+        append_load(df, path, schema, batch)
 
 
 def write_counted(df: DataFrame, path: str, name: str, mode: str = "append") -> int:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forumlens.operators.delta import snapshot_delta
 from forumlens.operators.posts import first_unseen
 from forumlens.sources.ledger import append_ledger, read_ledger
-from forumlens.sources.tables import exists
+from forumlens.sources.tables import exists, remove
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -32,36 +32,51 @@ def newest_versions(table: DataFrame, keys: list[str]) -> DataFrame:
     return table.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def first_seen(out: str, ledger: str, key: str = "id") -> BatchSink:
+def first_seen(out: str, ledger: str, key: str = "id", run: str = "0") -> BatchSink:
     """Rows whose id no earlier micro-batch had (L2).
 
     The ledger lives in a table, not in streaming state, so it may outgrow executor memory. Ids
     of this very batch are left out when reading it, which makes a replay give the same rows.
+    Micro-batches are numbered from 0 by each checkpoint, so a query that starts with a new one
+    needs another ``run``; outputs and ids are kept by run and number.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        seen = read_ledger(spark, ledger, (str(number),))
-        target = f"{out}/epoch={number}"
+        name = f"{run}-{number}"
+        seen = read_ledger(spark, ledger, (name,))
+        target = f"{out}/run={run}/epoch={number}"
         first_unseen(batch, seen, key).write.mode("overwrite").parquet(target)
-        append_ledger(spark.read.parquet(target).select(F.col(key).alias("id")), ledger, str(number))
+        append_ledger(spark.read.parquet(target).select(F.col(key).alias("id")), ledger, name)
 
     return sink
 
 
-def stream_delta(out: str, state: str, keys: list[str]) -> BatchSink:
-    """Each micro-batch is a snapshot; write its change against the one before (L3).
+def stream_delta(out: str, state: str, keys: list[str], time: str = "extracted_at") -> BatchSink:
+    """Rows of one time are a snapshot; write the change of each against the one before (L3).
 
-    Only the previous snapshot is kept, so an id that skips one batch is new in the next.
+    A micro-batch may hold several snapshots and a snapshot may come in several micro-batches in
+    a row. The two newest snapshots are kept, so an id that skips one is new in the next. Snapshots come in
+    the order of their times.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        here = f"{state}/epoch={number}"
-        batch.write.mode("overwrite").parquet(here)
-        before = f"{state}/epoch={number - 1}"
-        old = spark.read.parquet(before) if exists(spark, before) else None
-        snapshot_delta(old, spark.read.parquet(here), keys).write.mode("overwrite").parquet(f"{out}/epoch={number}")
+        here, before = f"{state}/epoch={number}", f"{state}/epoch={number - 1}"
+        fresh = f"{state}/fresh"
+        batch.write.mode("overwrite").parquet(fresh)
+        rows = spark.read.schema(batch.schema).parquet(fresh)
+        known = spark.read.schema(batch.schema).parquet(before) if exists(spark, before) else rows.limit(0)
+        both = known.unionByName(rows)
+        # one row per snapshot in the state and the batch
+        times = both.select(time).distinct().withColumn("_before", F.lag(time).over(Window.orderBy(time)))
+        now = rows.join(F.broadcast(times), time).withColumnRenamed("_before", "_snapshot")
+        old = both.withColumn("_snapshot", F.col(time))
+        changes = snapshot_delta(old, now, [*keys, "_snapshot"], time)
+        changes.drop("_snapshot").write.mode("overwrite").parquet(f"{out}/epoch={number}")
+        newest = times.orderBy(F.desc(time)).limit(2).select(time)
+        both.join(F.broadcast(newest), time, "left_semi").select(*batch.columns).write.mode("overwrite").parquet(here)
+        remove(spark, f"{state}/epoch={number - 2}")  # a replay needs the one before only
 
     return sink
 

@@ -163,9 +163,10 @@ def query_id(spark, sf):
     return B.table(spark, sf, "pages").select("page_id", fields.query_id(url).alias("id"))
 
 
-@query("H23", r"""SELECT page_id, CASE WHEN page_id % 2 = 0 THEN url ELSE 'https://site.example' || regexp_replace(url, '^https?://[^/]+', '') END AS link FROM pages""")
+@query("H23", r"""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN url WHEN page_id % 4 = 2 THEN regexp_replace(url, '^https?:', 'https:') ELSE 'https://site.example' || regexp_replace(url, '^https?://[^/]+', '') END AS link FROM pages""")
 def resolve_href(spark, sf):
-    href = F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(F.regexp_replace("url", r"^https?://[^/]+", ""))
+    href = F.when(F.col("page_id") % 4 == 0, F.col("url")).when(F.col("page_id") % 4 == 2, F.regexp_replace("url", "^https?:", ""))
+    href = href.otherwise(F.regexp_replace("url", r"^https?://[^/]+", ""))
     return B.table(spark, sf, "pages").select("page_id", fields.resolve_href(href, F.lit("https://site.example")).alias("link"))
 
 
@@ -237,7 +238,7 @@ def months_after(spark, sf):
     len(regexp_extract_all(html, '<li>')) AS links FROM pages""")
 def page_posts(spark, sf):
     layout = pages.PageLayout({"title": "h1"}, pages.CommentLayout(row="nav li", content="a", created_at="time", id_attribute="href", id_at="a"))
-    cut = pages.page_fields(B.text_table(spark, sf, "pages"), layout)
+    cut = pages.page_fields(B.table(spark, sf, "pages"), layout)
     return cut.select("page_id", F.length("title").cast("long").alias("title_length"), F.size("comments").cast("long").alias("links"))
 
 
@@ -245,7 +246,7 @@ def page_posts(spark, sf):
     FROM (SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a (href="[^"]*">[^<]*)</a>', 1)) AS hit FROM pages)""")
 def page_comments(spark, sf):
     layout = pages.PageLayout({}, pages.CommentLayout(row="nav li", content="a", created_at="time", id_attribute="href", id_at="a"))
-    cut = pages.page_fields(B.text_table(spark, sf, "pages"), layout)
+    cut = pages.page_fields(B.table(spark, sf, "pages"), layout)
     found = cut.select("page_id", F.explode("comments").alias("c"))
     return found.select("page_id", "c.comment_id", "c.content")
 
@@ -254,7 +255,7 @@ def page_comments(spark, sf):
     split_part(split_part(href, '?', 1), '/', -1) AS link_id
     FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)""")
 def page_links(spark, sf):
-    return pages.page_links(B.text_table(spark, sf, "pages"))
+    return pages.page_links(B.table(spark, sf, "pages"))
 
 
 @query("M11 K3 B15 H18", r"""SELECT page_id::VARCHAR AS post_id, url AS post_url, '2024-02-10T08:25:00' AS created_at, page_id::INTEGER AS view_count FROM pages""")
@@ -263,7 +264,7 @@ def extract_pages(spark, sf):
     frame = F.concat(F.lit('<div class="post"><span class="date">조회 1 | 2024.02.10 (토) 08:25</span><b class="views">'),
                      "page_id", F.lit("</b></div>"), "html")
     layout = pages.PageLayout({"title": "h1", "content": "article", "created_at": "div.post .date", "view_count": ".views"})
-    saved = B.text_table(spark, sf, "pages").select(F.col("page_id").alias("post_id"), "url", frame.alias("html"))
+    saved = B.table(spark, sf, "pages").select(F.col("page_id").alias("post_id"), "url", frame.alias("html"))
     start, end = (F.lit(d).cast("timestamp_ntz") for d in ("2024-02-10 00:00:00", "2024-02-11 00:00:00"))
     posts = jobs.extract_pages(saved, layout, lambda c: dates.parse_dotted(fields.last_field(c)), start, end)
     return posts.select("post_id", "post_url", "created_at", "view_count")

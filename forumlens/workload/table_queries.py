@@ -101,18 +101,24 @@ def community_from_path(spark, sf):
     return B.table(spark, sf, "documents").select("doc_id", raw.community_from_path(path).alias("community"))
 
 
-@query("B25", "SELECT count(*) FILTER (doc_id % 5 < 3) AS posts, count(*) FILTER (doc_id % 5 >= 3) AS rejects FROM documents")
+@query("B25", """SELECT CASE WHEN doc_id % 5 < 3 THEN doc_id::VARCHAR END AS post_id, CASE WHEN doc_id % 5 < 3 AND doc_id % 3 = 0 THEN 7 END::INTEGER AS views,
+    CASE WHEN doc_id % 5 < 3 THEN CASE WHEN doc_id % 2 = 0 THEN doc_id::BIGINT END END AS comment_id, doc_id % 5 < 3 AS good FROM documents""")
 def corrupt_records(spark, sf):
-    """Two documents in five are JSON null or cut off."""
+    """Two documents in five are JSON null or cut off; others have counters out of range and ids of no number."""
     path = new_path(spark, "mixed")
-    whole = F.to_json(F.struct(F.col("doc_id").alias("post_id"), F.col("text").alias("content")))
+    odd = F.col("doc_id") % 2 != 0
+    comment = F.struct(F.when(odd, "none").otherwise(F.col("doc_id").cast("string")).alias("comment_id"), F.lit("x").alias("content"))
+    views = F.when(F.col("doc_id") % 3 == 0, F.lit(7).cast("long")).otherwise(F.lit(7 << 40))
+    whole = F.to_json(F.struct(F.col("doc_id").alias("post_id"), F.col("text").alias("content"), views.alias("view_count"), F.array(comment).alias("comments")))
     kind = F.col("doc_id") % 5
     line = F.when(kind == 3, "null").when(kind == 4, F.substring(whole, 1, 12)).otherwise(whole)
     lines = B.table(spark, sf, "documents").select(line.alias("value"), F.col("source").alias("community"))
     lines.write.partitionBy("community").text(path)
     posts, rejects = raw.read_raw_posts(spark, path, one_per_file=False, glob="*.txt")
-    kinds = posts.select(F.lit(True).alias("good")).unionByName(rejects.select(F.lit(False).alias("good")))
-    return kinds.agg(F.count_if("good").alias("posts"), F.count_if(~F.col("good")).alias("rejects"))
+    good = posts.select("post_id", F.col("view_count").alias("views"), F.col("comments")[0]["comment_id"].alias("comment_id"), F.lit(True).alias("good"))
+    assert good.count() == posts.count()
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("post_id", "string"), ("views", "int"), ("comment_id", "long"))]
+    return good.unionByName(rejects.select(*none, F.lit(False).alias("good")))
 
 
 @query("A4 A5", "SELECT DISTINCT source AS id FROM documents UNION SELECT 'doc_' || doc_id FROM documents")
@@ -210,9 +216,9 @@ def config_keywords(spark, sf):
     path = new_path(spark, "cars")
     cars = B.table(spark, sf, "nation").select(
         F.concat(F.lit("car"), "n_nationkey").alias("car_id"), F.array("n_name", F.lower("n_name")).alias("keywords"))
-    cars.write.json(path)
-    read = spark.read.schema("car_id string, keywords array<string>").json(path)
-    return config.car_keywords(read)
+    listed = cars.agg(F.to_json(F.collect_list(F.struct("car_id", "keywords"))).alias("value"))  # configuration: 25 nations
+    listed.write.text(path)
+    return config.car_keywords(config.read_cars(spark, path))
 
 
 _DAYS_SQL = """SELECT DISTINCT strftime(date_trunc('hour', o_orderdate), '%Y-%m-%d') AS date, (doc.n % 48) * 30 AS batch
@@ -287,6 +293,38 @@ def balanced_partition_id(spark, sf):
     return balance.balance_by_length(title_default(spark, sf), "content", ["source_id"]).select("source_id", "partition_id")
 
 
+@query("J1", with_views("SELECT true AS within, sum(length(content))::BIGINT AS characters FROM sources", "sources"))
+def balanced_tasks(spark, sf):
+    """No task holds more than the limit and one row, far below what the session's partitions would give."""
+    from forumlens.workload.text_queries import title_default
+
+    limit, source = 20_000, title_default(spark, sf)
+    rows = balance.balance_by_length(source, "content", ["source_id"], limit).select(F.length("content").alias("n"), F.spark_partition_id().alias("task"))
+    tasks = rows.groupBy("task").agg(F.sum("n").alias("n"), F.max("n").alias("longest"))
+    return tasks.agg(F.bool_and(F.col("n") <= limit + F.col("longest")).alias("within"), F.sum("n").alias("characters"))
+
+
+@query("D12", "SELECT source, count(*) AS rows_written FROM documents GROUP BY source")
+def counted_writes(spark, sf):
+    """The count observed while writing is that of the table written."""
+    path, docs = new_path(spark, "counted"), B.table(spark, sf, "documents")
+    written = tables.write_counted(docs, path, "documents")
+    read = spark.read.parquet(path)
+    assert written == read.count()
+    return read.groupBy("source").agg(F.count(F.lit(1)).alias("rows_written"))
+
+
+@query("A12 M6", with_views("SELECT id, url, coalesce(title, '') AS title, content, created_at FROM posts", "posts"))
+def reload_batch(spark, sf):
+    """Two batches are loaded, the first of them twice."""
+    folder = new_path(spark, "warehouse")
+    rows = B.posts(spark, sf).withColumn("title", F.coalesce("title", F.lit("")))
+    even = F.col("id").substr(6, 20).cast("long") % 2 == 0
+    for part, batch in ((rows.where(even), "1"), (rows.where(~even), "2"), (rows.where(even), "1")):
+        tables.load(part, folder, "post_static", batch=batch)
+    return spark.read.parquet(f"{folder}/post_static").drop(tables.BATCH)
+
+
 @query("H15", "SELECT l_orderkey, l_linenumber, floor(l_partkey / 1000)::INTEGER AS bucket FROM lineitem")
 def integer_bucket(spark, sf):
     return B.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", balance.bucket(F.col("l_partkey"), 1000).alias("bucket"))

@@ -1,0 +1,252 @@
+"""Crashes, reruns and damaged input: nothing is lost and nothing doubles."""
+
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from forumlens import schemas
+from forumlens.functions import dates, fields
+from forumlens.functions.messages import alert_payload
+from forumlens.operators import batches
+from forumlens.operators import posts as P
+from forumlens.operators import sentiment as K
+from forumlens.operators.balance import balance_by_length
+from forumlens.operators.sentiment import word_scorer
+from forumlens.plans import jobs
+from forumlens.plans.batch import Folders, Settings, run_batch
+from forumlens.sources import raw, tables
+from forumlens.streaming import sinks
+from test_batch import post
+
+START = datetime(2025, 2, 10, 0, 0)
+KEYS = ["id", "extracted_at"]
+
+
+def moves(spark, *ids):
+    rows = [(i, START + timedelta(days=day), n, 0, 0, 0) for i, day, n in ids]
+    columns = schemas.V_POST_DYNAMIC.simpleString()[7:-1]
+    return spark.createDataFrame(rows, columns).withColumn("day", F.to_date("extracted_at"))
+
+
+def ids(spark, path):
+    return sorted(r.id for r in spark.read.parquet(path).collect())
+
+
+def set_aside(path):
+    folder, name = os.path.split(path)
+    os.rename(path, f"{folder}/.{name}.replaced")
+
+
+def test_a_table_left_aside_is_put_back_before_it_is_used(spark, folder):
+    for name, use in (
+        ("upsert", lambda p: tables.upsert_load(moves(spark, ("c", 0, 1)), p, schemas.V_POST_DYNAMIC, KEYS)),
+        ("append", lambda p: tables.append_load(moves(spark, ("c", 0, 1)), p, schemas.V_POST_DYNAMIC)),
+    ):
+        path = f"{folder}/{name}"
+        tables.upsert_load(moves(spark, ("a", 0, 1), ("b", 0, 1)), path, schemas.V_POST_DYNAMIC, KEYS)
+        set_aside(path)
+        use(path)
+        assert ids(spark, path) == ["a", "b", "c"]
+        set_aside(path)
+        tables.rebuild(spark, path, lambda t: t)
+        assert ids(spark, path) == ["a", "b", "c"]
+
+
+def test_a_day_left_aside_is_put_back(spark, folder):
+    path = f"{folder}/moves"
+    tables.upsert_load(moves(spark, ("a", 0, 1), ("b", 1, 1), ("c", 1, 1)), path, schemas.V_POST_DYNAMIC, KEYS, "day")
+    set_aside(f"{path}/day=2025-02-11")
+    tables.upsert_load(moves(spark, ("d", 1, 1)), path, schemas.V_POST_DYNAMIC, KEYS, "day")
+    assert ids(spark, path) == ["a", "b", "c", "d"]
+    assert not [n for n in os.listdir(path) if n.endswith(".replaced")]
+
+
+@pytest.fixture
+def deployment(spark, folder):
+    folders = Folders(*[f"{folder}/{n}" for n in ("raw", "work", "warehouse", "ledger", "batches")])
+
+    def factory():
+        def score(sentences):
+            if any("broken" in s for s in sentences):
+                raise OSError("no answer")
+            return [0] * len(sentences)
+
+        return score
+
+    settings = Settings({"design": ["LED", "LAMP", "LED"]}, factory, threshold=0.5, distinct=True, footer="the board")
+    times = [START + timedelta(minutes=30 * i) for i in range(2)]
+    for number, time in enumerate(times):
+        local = time + timedelta(hours=9)
+        date, batch = local.strftime("%Y-%m-%d"), local.hour * 60 + local.minute
+        raw.write_raw_posts(post(spark, number + 1, "ev", 10, batch, date), folders.raw)
+    return folders, settings, times
+
+
+def contents(spark, folders):
+    names = [*schemas.LOAD_KEYS, "v_total_trend", "sentence_unscored"]
+    read = {n: tables.read_optional(spark, f"{folders.warehouse}/{n}") for n in names}
+    return {n: sorted(str(r) for r in t.collect()) if t is not None else [] for n, t in read.items()}
+
+
+def test_batches_run_again_give_the_same_tables(spark, deployment):
+    folders, settings, times = deployment
+    for time in times:
+        run_batch(spark, folders, time, settings)
+    before = contents(spark, folders)
+    assert len(before["post_static"]) == 2 and len(before["keyword_category"]) == 4
+    for time in (times[1], times[0]):  # the newest again, then an older one
+        run_batch(spark, folders, time, settings).collect()
+        assert contents(spark, folders) == before
+
+
+def test_a_batch_that_gives_nothing_any_more_is_emptied(spark, folder):
+    for rows, batch in ((2, "x"), (1, "y"), (0, "x")):
+        frame = moves(spark, *[(f"{batch}{i}", 0, 1) for i in range(2)]).limit(rows)
+        tables.append_load(frame, f"{folder}/t", schemas.V_POST_DYNAMIC, batch)
+    assert ids(spark, f"{folder}/t") == ["y0"]
+
+
+def test_a_rerun_of_an_older_batch_works_on_that_batch(spark):
+    ledger = spark.createDataFrame([("2025-02-10", "t", 0), ("2025-02-10", "t", 30), ("2025-02-10", "u", 30), ("2025-02-10", "t", 60)], "date string, time string, batch int")
+    current = spark.createDataFrame([("2025-02-10", "late", 30)], "date string, time string, batch int")
+    row = batches.current_and_previous(ledger.union(current), current).collect()
+    assert [(r.batch, r.prev_batch) for r in row] == [(30, 0)]
+    assert batches.current_and_previous(ledger).first().batch == 60
+
+
+def test_failed_requests_are_told_from_neutral_ones(spark, folder):
+    def factory():
+        return lambda texts: None if "bad" in texts else [0] * len(texts)
+
+    for name in ("good", "bad"):
+        frame = spark.createDataFrame([(name, "s", True, name, START)], schemas.SENTENCE.simpleString()[7:-1])
+        frame.coalesce(1).write.parquet(f"{folder}/in/{name}")
+    assert jobs.run_sentiment(spark, f"{folder}/in", f"{folder}/out", factory) == 0
+    got = {r.sentence: (r.sentiment, r.scored) for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert got == {"good": (0, True), "bad": (0, False)}
+    assert K.score_batch(lambda texts: None, ["a"]) is None and K.score_batch(lambda texts: [None], ["a"]) is None
+
+
+def test_damaged_files_are_listed(spark, folder):
+    spark.range(4).coalesce(1).write.parquet(f"{folder}/in/a")
+    with open(f"{folder}/in/a/broken.parquet", "w") as out:
+        out.write("not parquet")
+    assert tables.rewrite_prefix(spark, f"{folder}/in", f"{folder}/out", lambda df: df, spark.range(1).schema) == 1
+    assert [r.path.rsplit("/", 1)[1] for r in spark.read.parquet(f"{folder}/out.skipped").collect()] == ["broken.parquet"]
+
+
+def test_paths_that_exist_are_read(spark, folder):
+    spark.range(3).write.parquet(f"{folder}/some")
+    assert tables.read_optional(spark, f"{folder}/none", f"{folder}/some", f"{folder}/no*").count() == 3
+
+
+DOCS = [
+    '{"post_id": "1", "view_count": 3, "comments": [{"comment_id": "x1", "content": "c"}]}',
+    '{"post_id": 2, "view_count": 99999999999, "comments": [{"comment_id": 7, "content": 5, "upvote_count": "many"}]}',
+    '{"post_id": 3, "comments": "none"}', '{"post_id": {"a": 1}}', "null", '{"post_id": 4,',
+]
+
+
+def test_rejects_do_not_depend_on_the_columns_read(spark, folder):
+    os.makedirs(f"{folder}/raw/community=a/car_id=x")
+    with open(f"{folder}/raw/community=a/car_id=x/p.json", "w") as out:
+        out.write("\n".join(DOCS))
+    posts, rejects = raw.read_raw_posts(spark, f"{folder}/raw", one_per_file=False)
+    got = {r.post_id: r for r in posts.collect()}
+    assert set(got) == {"1", "2", "3", '{"a": 1}'} and posts.count() == 4 and rejects.count() == len(rejects.collect()) == 2
+    assert got["2"].view_count is None and got["1"].view_count == 3 and got["3"].comments is None
+    assert [c.comment_id for c in got["1"].comments] == [None] and got["2"].comments[0].content == "5"
+    assert posts.select("title").count() == 4
+
+
+def test_one_comment_without_an_id_stops_nothing(spark, folder):
+    os.makedirs(f"{folder}/raw/community=a/car_id=x")
+    with open(f"{folder}/raw/community=a/car_id=x/p.json", "w") as out:
+        out.write('{"post_id": 1, "post_url": "u", "title": "t", "content": "c", "created_at": "2025-02-10T00:00:00", '
+                  '"comments": [{"comment_id": null, "content": "c", "is_reply": "0", "created_at": "2025-02-10T00:00:00"}]}')
+    jobs.run_combine(spark, f"{folder}/raw", f"{folder}/ledger", f"{folder}/out", "b", F.lit("2025-02-10").cast("timestamp_ntz"), one_per_file=False)
+    assert spark.read.parquet(f"{folder}/out/comment_dynamic").count() == 0
+    assert spark.read.parquet(f"{folder}/out/comment_dynamic_rejects").count() == 1
+    assert spark.read.parquet(f"{folder}/out/post_dynamic").count() == 1
+
+
+def test_the_first_by_path_and_place_counts(spark):
+    rows = [("a", "z-url", "p1", 0), ("a", "a-url", "p2", 0), ("b", "second", "p1", 5), ("b", "first", "p1", 2), ("c", "known", "p0", 0)]
+    frame = spark.createDataFrame(rows, "id string, url string, _path string, _position long").repartition(3)
+    seen = spark.createDataFrame([("c",)], "id string")
+    assert sorted((r.id, r.url) for r in P.first_unseen(frame, seen, order=P.PLACE).collect()) == [("a", "z-url"), ("b", "first")]
+
+
+def test_known_comments_are_left_out(spark):
+    comment = (3, "c", "0", "2025-02-10T00:00:00", 1, 1)
+    columns = schemas.RAW_POST.simpleString()[7:-1] + ",community:string,car_id:string"
+    posts = spark.createDataFrame([("1", "u", "t", "c", "2025-02-10T00:00:00", 1, 1, 1, 1, [comment, (4, *comment[1:])], "a", "x")], columns)
+    seen = spark.createDataFrame([("a_comment_3",)], "id string")
+    made = jobs.combine_batch(posts, seen, F.lit("2025-02-10").cast("timestamp_ntz"))
+    assert [r.id for r in made["comment_static"].collect()] == ["a_comment_4"]
+
+
+def test_iso_texts_do_not_pass_through_the_sessions_zone(spark, column):
+    texts = ["2024-11-03T05:30:00Z", "2024-11-03T06:30:00Z", "2024-03-10T02:30:00", "2025-01-01T00:00:00.25+09:00", "2025-01-01T00:00:00-0330", "no"]
+    want = [datetime(2024, 11, 3, 5, 30), datetime(2024, 11, 3, 6, 30), datetime(2024, 3, 10, 2, 30), datetime(2024, 12, 31, 15, 0, 0, 250000), datetime(2025, 1, 1, 3, 30), None]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert column(dates.parse_iso, *texts) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_links_to_other_hosts(column):
+    resolve = lambda c: fields.resolve_href(c, F.lit("https://h"))
+    assert column(resolve, "//cdn.x/a", "HTTP://x/a", "mailto:me", "/p", "p?q=a:b") == ["https://cdn.x/a", "HTTP://x/a", "mailto:me", "https://h/p", "https://h/p?q=a:b"]
+
+
+def test_a_task_for_every_limit_of_characters(spark):
+    frame = spark.createDataFrame([(f"k{i:05d}", "x" * 10) for i in range(5000)], "id string, content string")
+    load = balance_by_length(frame, "content", ["id"], limit=500, ranges=4).groupBy(F.spark_partition_id()).agg(F.sum(F.length("content")).alias("n")).collect()
+    assert len(load) >= 100 and max(r.n for r in load) <= 510
+
+
+def test_a_community_without_results_is_reported(spark):
+    results = spark.createDataFrame([("x", "alpha", 10, 9)], "car_id string, community string, attempted_posts_count long, extracted_posts_count long")
+    listed = spark.createDataFrame([("alpha",), ("silent",)], "community string")
+    got = {r.community: (r.success_rate, r.band) for r in jobs.extraction_report(results, listed).collect()}
+    assert got == {"alpha": (90.0, "green"), "silent": (0.0, "red")}
+
+
+def test_alerts_without_a_note_have_no_closing_block(spark):
+    frame = spark.createDataFrame([("ev", "design", 1.0, 2.0)], "car_id string, category string, view_change double, total_view double")
+    now = F.lit("2025-02-10 00:00:00").cast("timestamp_ntz")
+    plain, noted = frame.select(alert_payload(now), alert_payload(now, "the board")).first()
+    assert "context" not in plain and "the board" in noted
+
+
+T = [datetime(2025, 2, d) for d in (10, 11, 12, 13)]
+SNAP = "id string, extracted_at timestamp_ntz, view_count int"
+
+
+def delta_of(spark, folder, parts):
+    sink = sinks.stream_delta(f"{folder}/out", f"{folder}/state", ["id"])
+    for number, part in enumerate(parts):
+        sink(spark.createDataFrame(part, SNAP), number)
+        sink(spark.createDataFrame(part, SNAP), number)  # replayed
+    return sorted((r.extracted_at, r.id, r.v_view_count) for r in spark.read.parquet(f"{folder}/out").collect())
+
+
+def test_several_snapshots_in_one_micro_batch(spark, folder):
+    got = delta_of(spark, folder, [[("a", T[0], 5)], [("a", T[1], 7), ("b", T[1], 1), ("a", T[2], 20)], [("a", T[3], 21), ("b", T[3], 9)]])
+    assert got == [(T[0], "a", 5), (T[1], "a", 2), (T[1], "b", 1), (T[2], "a", 13), (T[3], "a", 1), (T[3], "b", 9)]
+
+
+def test_a_snapshot_over_two_micro_batches(spark, folder):
+    got = delta_of(spark, folder, [[("a", T[0], 5), ("b", T[0], 50)], [("a", T[1], 6)], [("b", T[1], 51)], [("b", T[2], 51), ("a", T[2], 9)]])
+    assert got == [(T[0], "a", 5), (T[0], "b", 50), (T[1], "a", 1), (T[1], "b", 1), (T[2], "a", 3), (T[2], "b", 0)]
+    assert sorted(n for n in os.listdir(f"{folder}/state") if "=" in n) == ["epoch=2", "epoch=3"]
+
+
+def test_a_new_checkpoint_keeps_earlier_ids_and_rows(spark, folder):
+    for run, rows in (("first", [("a",)]), ("second", [("a",), ("b",)])):
+        sinks.first_seen(f"{folder}/out", f"{folder}/ledger", run=run)(spark.createDataFrame(rows, "id string"), 0)
+    assert ids(spark, f"{folder}/out") == ["a", "b"] and ids(spark, f"{folder}/ledger") == ["a", "b"]

@@ -208,4 +208,5 @@ def test_rows_that_break_the_contract_are_set_aside(spark):
         "post_static": ["a_post_1"], "comment_static": ["a_comment_1"], "new_ids": ["a_post_1", "a_comment_1"],
         "post_rejects": ["a_post_2"], "comment_rejects": ["a_comment_2"],
         "post_dynamic": ["a_post_1", "a_post_2"], "comment_dynamic": ["a_comment_1", "a_comment_2"],
+        "post_dynamic_rejects": [], "comment_dynamic_rejects": [], "post_car_rejects": [],
     }

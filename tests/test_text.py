@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -122,10 +123,14 @@ def test_plugin_splitter_builds_one_model_per_task(spark):
     assert [r[0] for r in df.coalesce(1).select(S.plugin_splitter(factory)(F.col("t"))).collect()] == [["a", "b"], []]
 
 
-def test_automaton_equals_native_tagging(spark):
-    words = {"one": ["AS", "GAS", "AS", "G"], "two": ["AS", "디자인", "자"], "three": [c + d for c in "ABCDEFGH" for d in "AEIOUNRS"]}
-    texts = ["gas 디자인 tank", "", None, "aaasss", "none at all"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
-    native, passed = lexicon.tag_keywords(F.col("t"), words), S.automaton_tags(words)(F.col("t"))
-    for left, right in df.select(native, passed).collect():
-        assert (left or []) == right
+def test_long_lexicons_are_tagged_as_short_ones(spark):
+    words = {"one": ["AS", "GAS", "AS"], "two": ["디자인"], "three": [c + d for c in "ABCDEFGH" for d in "AEIOUNRS"]}
+    df = spark.createDataFrame([("a", "gas 디자인 tank"), ("b", ""), ("c", None)], "id string, sentence string")
+    tags = [(r.sentence_id, r.category, r.keyword) for r in S.keyword_rows(df, words).collect()]
+    upper = "gas 디자인 tank".upper()
+    assert tags == [("a", c, w) for c, listed in words.items() for w in listed if w in upper]
+
+
+def test_an_empty_keyword_is_refused():
+    with pytest.raises(ValueError, match="empty keyword in two"):
+        lexicon.lexicon_entries({"one": ["A"], "two": ["B", ""]})

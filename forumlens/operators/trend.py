@@ -122,15 +122,18 @@ def category_posts(top: DataFrame, targets: DataFrame) -> DataFrame:
     return targets.join(top, "post_id").select("car_id", "post_id", "category", "weight")
 
 
-def _slots(deltas: DataFrame, newest: Column, window: TrendWindow, *extra: Column) -> DataFrame:
+def _slots(deltas: DataFrame, newest: datetime, window: TrendWindow, *extra: Column) -> DataFrame:
     """Sums and counts per (id, slot); slot 0 ends at the newest time, ends included.
 
     A delta falls into one slot and every window is a run of slots, so deltas are summed once, on
-    the map side first: an id with most of the deltas leaves each task as one row per slot.
+    the map side first: an id with most of the deltas leaves each task as one row per slot. Deltas
+    kept by ``day`` are read from the days that the windows reach.
     """
-    reach = _micros(window.horizon // window.step * window.step + window.width)
-    recent = deltas.where(F.col("extracted_at") > _minus(newest, reach))
-    slot = F.floor(micros_between(F.col("extracted_at"), newest) / _micros(window.slot)).cast("int")
+    earliest = newest - (window.horizon // window.step * window.step + window.width)
+    recent = deltas.where(F.col("extracted_at") > _time(earliest))
+    if "day" in deltas.columns:
+        recent = recent.where(F.col("day") >= F.lit(earliest.date()))
+    slot = F.floor(micros_between(F.col("extracted_at"), _time(newest)) / _micros(window.slot)).cast("int")
     measures = list(extra)
     for column in MEASURES.values():
         measures += [F.sum(column).alias(f"s_{column}"), F.count(column).alias(f"n_{column}")]
@@ -153,7 +156,7 @@ def _bucket_end(newest: Column, window: TrendWindow) -> Column:
 
 def interval_sums(deltas: DataFrame, newest: datetime, window: TrendWindow = TrendWindow()) -> DataFrame:
     """Deltas and view sum per (bucket, id) for ids with any delta in the bucket's window."""
-    slots = _slots(deltas, _time(newest), window, F.count(F.lit(1)).alias("_deltas"))
+    slots = _slots(deltas, newest, window, F.count(F.lit(1)).alias("_deltas"))
     covered = slots.select("*", _each_bucket(window)).where(_covers(F.col("bucket"), window))
     sums = covered.groupBy("bucket", "id").agg(
         F.sum("_deltas").alias("deltas"), F.coalesce(F.sum("s_v_view_count"), F.lit(0)).alias("views")
@@ -170,7 +173,7 @@ def trend(
     pass: posts meet the slot sums of their id, the result shrinks to (car, category, slot), and
     only that is copied to all buckets. A post without deltas keeps its pair in the grid.
     """
-    slots = _slots(deltas, _time(newest), window).withColumnRenamed("id", "post_id")
+    slots = _slots(deltas, newest, window).withColumnRenamed("id", "post_id")
     columns = [f"{kind}_{column}" for column in MEASURES.values() for kind in ("s", "n")]
     per_slot = posts.join(slots, "post_id", "left").groupBy("car_id", "category", "slot").agg(
         *[F.sum(F.col(c) * F.col("weight")).alias(c) for c in columns]

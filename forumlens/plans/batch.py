@@ -87,7 +87,10 @@ def run_batch(spark: SparkSession, folders: Folders, run_time: datetime, setting
             tables.load(rows.withColumn("day", F.to_date("extracted_at")), folders.warehouse, table, "day")
         else:
             tables.load(rows, folders.warehouse, table, batch=f"{ran.date}-{ran.batch}")
-    scored = spark.read.parquet(f"{here}/transformed/sentence_sentiment")
+    transformed = f"{here}/transformed"
+    top = jobs.post_categories(*(spark.read.parquet(f"{transformed}/{n}") for n in ("sentence", "keyword_category")))
+    tables.append_load(top, f"{folders.warehouse}/post_category", schemas.POST_CATEGORY, f"{ran.date}-{ran.batch}")
+    scored = spark.read.parquet(f"{transformed}/sentence_sentiment")
     failed = scored.where("not scored").select(*schemas.SENTENCE.names)
     tables.append_load(failed, f"{folders.warehouse}/sentence_unscored", schemas.SENTENCE, f"{ran.date}-{ran.batch}")
     return jobs.run_trend(spark, folders.warehouse, local, settings.window, settings.threshold, settings.footer)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,12 +174,27 @@ def trend_from_tables(
     window: W.TrendWindow = W.TrendWindow(),
 ) -> DataFrame:
     """Trend of the newest window from the five warehouse tables (M7); no rows without deltas."""
-    top = W.top_category(W.post_category_count(sentence, keyword_category))
-    posts = W.category_posts(top, W.target_posts(post_static, post_car))
-    newest = W.latest_value(deltas, "extracted_at")
+    top = post_categories(sentence, keyword_category)
+    return trend_of(top, post_static, post_car, deltas, W.latest_value(deltas, "extracted_at"), window)
+
+
+def trend_of(
+    top: DataFrame,
+    post_static: DataFrame,
+    post_car: DataFrame,
+    deltas: DataFrame,
+    newest: datetime | None,
+    window: W.TrendWindow = W.TrendWindow(),
+) -> DataFrame:
+    """Trend up to ``newest`` for posts whose top category is known (M7)."""
     if newest is None:
         return deltas.sparkSession.createDataFrame([], schemas.TREND)
-    return W.trend(deltas, posts, newest, window)
+    return W.trend(deltas, W.category_posts(top, W.target_posts(post_static, post_car)), newest, window)
+
+
+def post_categories(sentence: DataFrame, keyword_category: DataFrame) -> DataFrame:
+    """``post_id, category``: the top category of each post, which does not change once a post is stored."""
+    return W.top_category(W.post_category_count(sentence, keyword_category))
 
 
 def run_trend(
@@ -192,13 +208,22 @@ def run_trend(
     """Append the newest trend, drop repeats from the table, and return alert rows with payload (M7-M9).
 
     The fresh trend is written first: the table, the statistics and the alerts read it from there.
+    Of deltas kept by day only the newest day is read for the newest time, and the days of the
+    windows for the rest. Top categories come from ``post_category`` where batches have stored them,
+    else from all sentences and tags.
     """
-    read = {
-        name: spark.read.parquet(f"{folder}/{name}")
-        for name in ("sentence", "keyword_category", "post_static", "post_car")
-    }
+    for name in ("post_category", "post_static", "post_car", "v_post_dynamic"):
+        tables.recover(spark, f"{folder}/{name}")
+    read = {name: spark.read.parquet(f"{folder}/{name}") for name in ("post_static", "post_car")}
+    if tables.exists(spark, f"{folder}/post_category"):
+        top = spark.read.parquet(f"{folder}/post_category").select("post_id", "category")
+    else:
+        top = post_categories(*(spark.read.parquet(f"{folder}/{n}") for n in ("sentence", "keyword_category")))
     deltas = spark.read.parquet(f"{folder}/v_post_dynamic")
-    fresh = materialize(trend_from_tables(**read, deltas=deltas, window=window), "trend")
+    day = tables.newest_partition(spark, f"{folder}/v_post_dynamic", "day")
+    newest = W.latest_value(deltas.where(F.col("day") == F.lit(day).cast("date")) if day else deltas, "extracted_at")
+    made = trend_of(top, **read, deltas=deltas, newest=newest, window=window)
+    fresh = materialize(made, "trend")
     tables.append_load(fresh, f"{folder}/v_total_trend", schemas.TREND)
     tables.rebuild(spark, f"{folder}/v_total_trend", W.dedupe_trend)
     return W.alerts(fresh, k).withColumn("payload", alert_payload(now, footer))

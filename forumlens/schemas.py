@@ -70,6 +70,8 @@ TREND = _struct(
     ("total_upvote", _D), ("total_downvote", _D),
 )
 
+POST_CATEGORY = _struct(("post_id", _S), ("category", _S))
+
 EXTRACTION_BODY = _struct(
     ("success", _B), ("error", _S), ("attempted_posts_count", T.LongType()),
     ("extracted_posts_count", T.LongType()),

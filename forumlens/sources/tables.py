@@ -119,6 +119,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def newest_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """The largest value of a table's partition column, from its folder names; no file is opened."""
+    fs, hadoop_path = _file_system(spark, path)
+    names = [entry.getPath().getName() for entry in fs.listStatus(hadoop_path)]
+    return max((n.split("=", 1)[1] for n in names if n.startswith(f"{column}=") and "__HIVE" not in n), default=None)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

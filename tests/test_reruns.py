@@ -12,6 +12,7 @@ from forumlens.functions.messages import alert_payload
 from forumlens.operators import batches
 from forumlens.operators import posts as P
 from forumlens.operators import sentiment as K
+from forumlens.operators import trend as W
 from forumlens.operators.balance import balance_by_length
 from forumlens.operators.sentiment import word_scorer
 from forumlens.plans import jobs
@@ -250,3 +251,17 @@ def test_a_new_checkpoint_keeps_earlier_ids_and_rows(spark, folder):
     for run, rows in (("first", [("a",)]), ("second", [("a",), ("b",)])):
         sinks.first_seen(f"{folder}/out", f"{folder}/ledger", run=run)(spark.createDataFrame(rows, "id string"), 0)
     assert ids(spark, f"{folder}/out") == ["a", "b"] and ids(spark, f"{folder}/ledger") == ["a", "b"]
+
+
+def test_the_trend_reads_only_the_days_it_needs(spark, folder):
+    path = f"{folder}/v_post_dynamic"
+    tables.upsert_load(moves(spark, *[(f"p{d}", d, 1) for d in range(9)]), path, schemas.V_POST_DYNAMIC, KEYS, "day")
+    assert tables.newest_partition(spark, path, "day") == "2025-02-18"
+    posts = spark.createDataFrame([("ev", f"p{d}", "design", 1) for d in range(9)], "car_id string, post_id string, category string, weight long")
+    deltas = spark.read.parquet(path)
+    made = W.trend(deltas, posts, START + timedelta(days=8))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "day" in filters and ">= 2025-02-17" in filters
+    whole = W.trend(deltas.drop("day"), posts, START + timedelta(days=8))
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, whole.collect()))

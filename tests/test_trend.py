@@ -133,7 +133,7 @@ def test_run_trend_end_to_end(spark, folder):
         df.write.parquet(f"{folder}/{'v_post_dynamic' if name == 'deltas' else name}")
     now = F.lit("2025-02-10 21:00:00").cast("timestamp_ntz")
     for _ in range(2):
-        alerts = jobs.run_trend(spark, folder, now, k=-9.0)
+        alerts = jobs.run_trend(spark, folder, now, k=-9.0, footer="the board")
         found = alerts.collect()
     assert spark.read.parquet(f"{folder}/v_total_trend").count() == 39
     message = json.loads(found[0].payload)

@@ -10,6 +10,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumlens.operators.trend import MEASURES
+
 # Categories overlap and repeat on purpose: ING is in two, HEIT twice in one.
 LEXICON = {
     "design": ["TION", "MENT", "ING"],
@@ -201,19 +203,21 @@ SQL = {
     "lexicon": "SELECT * FROM (VALUES {lexicon}) l(ord, category, keyword)",
     "keyword_category": """SELECT id AS sentence_id, category, keyword
         FROM sentence JOIN lexicon ON contains(upper(replace(sentence, 'ß', 'SS')), keyword)""",
-    "target_posts": "SELECT car_id, ps.id AS post_id FROM posts ps JOIN post_car pc ON ps.id = pc.post_id",
-    "post_category_count": """SELECT s.source_id AS post_id, category, count(category) AS category_count
-        FROM sentence s JOIN keyword_category kc ON s.id = kc.sentence_id WHERE s.from_post GROUP BY 1, 2""",
-    "top_category": """SELECT post_id, category FROM (SELECT *, row_number() OVER (
-        PARTITION BY post_id ORDER BY category_count DESC, category) AS rn FROM post_category_count) WHERE rn = 1""",
+    # the cars of stored posts
+    "target_posts": "SELECT car_id, post_id FROM post_car WHERE post_id IN (SELECT id FROM posts)",
+    # tags are counted per sentence, then summed per post
+    "tag_counts": "SELECT sentence_id, category, count(*) AS tags FROM keyword_category GROUP BY ALL",
+    "post_category_count": """SELECT source_id AS post_id, category, sum(tags)::BIGINT AS category_count
+        FROM (FROM sentence WHERE from_post) INNER JOIN tag_counts ON sentence_id = id GROUP BY ALL""",
+    "top_category": "SELECT post_id, arg_min(category, (-category_count, category)) AS category FROM post_category_count GROUP BY post_id",
     "category_posts": "SELECT car_id, post_id, category FROM top_category JOIN target_posts USING (post_id)",
     "buckets": """SELECT m - to_minutes(i * {step}) AS bucket_end, m - to_minutes({horizon}) AS window_start
         FROM (SELECT max(extracted_at) AS m FROM deltas), range({horizon} // {step} + 1) r(i)""",
-    "trend": """SELECT bucket_end AS batch_time, car_id, category,
-        coalesce(avg(v_view_count), 0) AS total_view, coalesce(avg(v_comment_count), 0) AS total_comment,
-        coalesce(avg(v_upvote_count), 0) AS total_upvote, coalesce(avg(v_downvote_count), 0) AS total_downvote
-        FROM buckets CROSS JOIN category_posts cp LEFT JOIN deltas d ON d.extracted_at <= bucket_end
-        AND d.extracted_at > bucket_end - to_minutes({width}) AND d.id = cp.post_id GROUP BY 1, 2, 3""",
+    # every movement of a pair is held against every bucket; a pair without any keeps its rows
+    "moves": "SELECT * FROM category_posts LEFT JOIN deltas ON post_id = id",
+    "placed": """SELECT *, coalesce(extracted_at BETWEEN bucket_end - to_minutes({width}) + INTERVAL 1 MICROSECOND AND bucket_end, false) AS inside
+        FROM moves, buckets""",
+    "trend": """SELECT bucket_end AS batch_time, car_id, category, {means} FROM placed GROUP BY ALL""",
     "changes": """SELECT *, total_view - lag(total_view) OVER (PARTITION BY car_id, category ORDER BY batch_time)
         AS view_change FROM trend""",
     "threshold": """SELECT avg(view_change) AS mean, stddev_samp(view_change) AS std,
@@ -227,9 +231,9 @@ _NEEDS = {
     "raw_comments": ["raw_posts"], "before": ["snapshots"], "after": ["snapshots"], "clean_posts": ["posts"],
     "clean_comments": ["comments"], "sources": ["clean_posts", "clean_comments"], "pieces": ["sources"],
     "all_sentences": ["pieces"], "sentence": ["all_sentences"], "keyword_category": ["sentence", "lexicon"],
-    "target_posts": ["posts", "post_car"], "post_category_count": ["sentence", "keyword_category"],
+    "target_posts": ["posts", "post_car"], "tag_counts": ["keyword_category"], "post_category_count": ["sentence", "tag_counts"],
     "top_category": ["post_category_count"], "category_posts": ["top_category", "target_posts"],
-    "buckets": ["deltas"], "trend": ["buckets", "category_posts", "deltas"], "changes": ["trend"],
+    "buckets": ["deltas"], "moves": ["category_posts", "deltas"], "placed": ["moves", "buckets"], "trend": ["placed"], "changes": ["trend"],
     "threshold": ["changes"], "peaks": ["changes"],
 }
 
@@ -274,6 +278,7 @@ def with_views(query: str, *views: str, step: int = 30, horizon: int = 360, widt
     fill = {
         "{clean}": clean_sql("content"), "{split_title}": split_sql("title"),
         "{split_content}": split_sql("content"), "{lexicon}": lexicon_sql(LEXICON),
+        "{means}": ", ".join(f"coalesce(avg({c}) FILTER (inside), 0) AS {name}" for name, c in MEASURES.items()),
         "{step}": str(step), "{horizon}": str(horizon), "{width}": str(width),
     }
     parts = []

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from forumlens import schemas
-from forumlens.functions.messages import alert_payload
+from forumlens.functions.messages import ALERT_BODY, ALERT_HEADER, ALERT_TEXT, alert_payload
 from forumlens.operators import sentences as S
 from forumlens.operators import trend as W
 from forumlens.plans import jobs
@@ -146,16 +146,22 @@ def alerts(spark, sf):
     return _rounded(W.alerts(_wide_trend(spark, sf), k=0.1), "view_change", "total_view")
 
 
+_BODY_SQL = "'" + ALERT_BODY.replace("\n", "' || chr(10) || '") % (
+    "2024-01-16 00:00:00", *(f"' || {c} || '" for c in ("car_id", "category", "floor(view_change)", "floor(total_view)"))
+) + "'"
+
+
 @query("H37 M9", with_views(
-    """SELECT car_id, category, ':eyes: 소셜 트랜드 이상징후 발견' AS text, 4 AS blocks FROM peaks
+    f"""SELECT car_id, category, '{ALERT_TEXT}' AS text, '{ALERT_HEADER}' AS title, {_BODY_SQL} AS body, 'the dashboard' AS note FROM peaks
     WHERE view_change > (SELECT mean + 0.1 * std FROM threshold)""", "peaks", "threshold", **_WIDE_MINUTES))
 def alert_messages(spark, sf):
-    payload = alert_payload(B.ts(B.BATCH_TIME), "the dashboard")
-    rows = W.alerts(_wide_trend(spark, sf), k=0.1).withColumn("payload", payload)
-    return rows.select(
-        "car_id", "category", F.get_json_object("payload", "$.text").alias("text"),
-        F.json_array_length(F.get_json_object("payload", "$.attachments[0].blocks")).alias("blocks"),
-    )
+    """The whole message of each alert, its figures in whole numbers."""
+    rows = W.alerts(_wide_trend(spark, sf), k=0.1)
+    whole = rows.withColumns({c: F.floor(c).cast("double") for c in ("view_change", "total_view")})
+    blocks = "$.attachments[0].blocks"
+    parts = {"text": "$.text", "title": f"{blocks}[0].text.text", "body": f"{blocks}[2].fields[0].text", "note": f"{blocks}[3].elements[0].text"}
+    payload = whole.withColumn("payload", alert_payload(B.ts(B.BATCH_TIME), "the dashboard"))
+    return payload.select("car_id", "category", *[F.get_json_object("payload", path).alias(name) for name, path in parts.items()])
 
 
 _REPEATED_SQL = """SELECT DISTINCT batch_time, car_id, category, round(total_view, 6) + 1 AS total_view FROM trend"""
@@ -185,5 +191,5 @@ def query_result(spark, sf):
     B.posts(spark, sf).createOrReplaceTempView("post_static")
     B.post_car(spark, sf).createOrReplaceTempView("post_car")
     return spark.sql(
-        "SELECT pc.car_id, count(*) AS posts FROM post_static ps JOIN post_car pc ON ps.id = pc.post_id GROUP BY pc.car_id"
+        "SELECT car_id, count(*) AS posts FROM post_car LEFT SEMI JOIN post_static ON id = post_id GROUP BY car_id"
     )

@@ -169,11 +169,16 @@ def typed_comments(comments: Column, parse_date) -> Column:
 def page_links(pages: DataFrame, base: Column | None = None, html_column: str = "html") -> DataFrame:
     """One row per distinct link of a page: ``page_id, url, link_id``.
 
-    ``base`` is the site root of relative links, by default the one of the page's own URL.
+    ``base`` is the site root of relative links, by default the one of the page's own URL. Links are
+    those of the parsed page, in whatever way their attributes are written.
     """
     root = base if base is not None else F.regexp_extract("url", r"^https?://[^/]+", 0)
-    hrefs = F.array_distinct(F.regexp_extract_all(html_column, F.lit(r'<a href="([^"]*)"'), 1))
-    found = pages.select("page_id", root.alias("root"), F.explode(hrefs).alias("href"))
+
+    @F.pandas_udf("array<string>")
+    def hrefs(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: [a.get("href") for a in html.select(html.parse(text or ""), "a") if a.get("href")])
+
+    found = pages.select("page_id", root.alias("root"), F.explode(F.array_distinct(hrefs(F.col(html_column)))).alias("href"))
     url = resolve_href(F.col("href"), F.col("root"))
     return found.select("page_id", url.alias("url"), last_segment(F.col("href")).alias("link_id"))
 

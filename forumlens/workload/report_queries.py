@@ -268,3 +268,86 @@ def extract_pages(spark, sf):
     start, end = (F.lit(d).cast("timestamp_ntz") for d in ("2024-02-10 00:00:00", "2024-02-11 00:00:00"))
     posts = jobs.extract_pages(saved, layout, lambda c: dates.parse_dotted(fields.last_field(c)), start, end)
     return posts.select("post_id", "post_url", "created_at", "view_count")
+
+
+def _shown(text):
+    """Text as a page holds it."""
+    for mark, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(mark), F.lit(entity))
+    return text
+
+
+def _frame(html_text: str):
+    """A page of one layout around a document: ``$title``, ``$body``, ``$n`` and ``$id`` are filled in."""
+    parts = {"$title": F.concat("source", F.lit(" &amp; "), "lang"), "$body": _shown(F.col("text")),
+             "$n": F.format_number("n_chars", 0), "$id": F.col("doc_id").cast("string")}
+    page = F.lit(html_text)
+    for mark, value in parts.items():
+        page = F.replace(page, F.lit(mark), value)
+    return page
+
+
+_STACKED_PAGE = """<div class="content_view"><h3 class="post_subject"><span class="category">c</span><span>$title</span></h3>
+<span class="view_count date">2025-02-10 08:25:00 edited</span><span class="view_count"><strong>$n</strong></span>
+<a class="symph_count"><strong>$id</strong></a><a class="post_reply">2</a><div class="post_article"><script>x()</script>$body</div>
+<div class="comment_row re" data-comment-sn="$id"><span class="timestamp">2025-02-10 09:00:00 / edited</span><button class="comment_symph">3</button><div class="comment_view">$body</div></div>
+<div class="comment_row blocked" data-comment-sn="0"><div class="comment_view">hidden</div></div></div>"""
+_PROFILE_PAGE = """<div class="writerProfile"><dl><dt><strong>$title <em>[2]</em></strong></dt><dd><p class="countGroup">
+<em class="txtType">$n</em> | <em class="txtType">$id</em> | 2025.02.10 (월) 08:25</p></dd></dl></div><div class="bodyCont">$body</div>
+<ul class="basiclist" id="cmt_reply"><li class="re"><dl><dt><span class="date">25.02.10 09:00</span></dt><dd id="small_cmt_$id">$body</dd></dl>
+<div class="updownbox"><a class="first">추천 3</a><a class="last">반대 1</a></div></li><li>no header</li></ul>"""
+_GALLERY_PAGE = """<span class="title_subject">$title</span><span class="gall_count">조회 $n</span><p class="up_num font_red">$id</p>
+<p class="down_num">1</p><span class="gall_comment"><a>댓글 2</a></span><div class="write_div">$body</div>
+<ul class="cmt_list"><li><div class="reply_box"><ul class="reply_list"><li class="ub-content" id="reply_li_$id"><p class="usertxt ub-word">$body</p>
+<span class="date_time">2025.02.10 09:00:00</span></li></ul></div></li><li class="ub-content dory" id="comment_li_0"><p class="usertxt ub-word">ad</p></li></ul>"""
+_NORMAL = r"trim(regexp_replace(replace(text, chr(160), ' '), '[\s\x0B]+', ' ', 'g'), ' ')"
+
+
+def _layout_sql(remainder: int, posted: str, upvotes: str, downvotes: str) -> str:
+    return f"""SELECT doc_id::VARCHAR AS post_id, source || ' & ' || lang AS title, {_NORMAL} AS content, {posted} AS created_at,
+        n_chars::INTEGER AS view_count, doc_id::INTEGER AS upvote_count, 2::INTEGER AS comment_count, doc_id AS comment_id, {_NORMAL} AS comment,
+        'true' AS is_reply, '2025-02-10T09:00:00' AS commented_at, {upvotes}::INTEGER AS comment_upvotes, {downvotes}::INTEGER AS comment_downvotes
+        FROM documents WHERE doc_id % 3 = {remainder}"""
+
+
+def _layout(spark, sf, remainder, html_text, layout, parse, **extra):
+    docs = B.table(spark, sf, "documents").where(F.col("doc_id") % 3 == remainder)
+    saved = docs.select(F.col("doc_id").alias("post_id"), F.lit("https://x/").alias("url"), _frame(html_text).alias("html"))
+    posts = jobs.extract_pages(saved.withColumns({k: F.lit(v) for k, v in extra.items()}), layout, parse)
+    return posts.select("post_id", "title", "content", "created_at", "view_count", "upvote_count", "comment_count", F.explode("comments").alias("c")).select(
+        "post_id", "title", "content", "created_at", "view_count", "upvote_count", "comment_count", "c.comment_id", F.col("c.content").alias("comment"), "c.is_reply",
+        F.col("c.created_at").alias("commented_at"), F.col("c.upvote_count").alias("comment_upvotes"), F.col("c.downvote_count").alias("comment_downvotes"))
+
+
+@query("K3 K4 M11 H20", _layout_sql(0, "'2025-02-10T08:25:00'", "3", "NULL"))
+def stacked_pages(spark, sf):
+    """A third of the documents as pages of the first layout: every field and comment is compared."""
+    return _layout(spark, sf, 0, _STACKED_PAGE, pages.STACKED, lambda c: dates.first_two_words(c).try_cast("timestamp_ntz"))
+
+
+@query("K3 K4 M11 H18 H29", _layout_sql(1, "'2025-02-10T08:25:00'", "3", "1"))
+def profile_pages(spark, sf):
+    return _layout(spark, sf, 1, _PROFILE_PAGE, pages.PROFILE, lambda c: dates.parse_dotted(fields.last_field(c)))
+
+
+@query("K3 K4 M11 H19", _layout_sql(2, "'2025-02-10T07:00:00'", "NULL", "NULL"))
+def gallery_pages(spark, sf):
+    batch = F.lit("2025-02-11 00:00:00").cast("timestamp_ntz")
+    return _layout(
+        spark, sf, 2, _GALLERY_PAGE, pages.GALLERY,
+        lambda c: F.coalesce(dates.parse_month_day(c, batch), c.try_cast("timestamp_ntz")), created_at="2025-02-10 07:00:00")
+
+
+_LISTED_ROW = """<tr class="ub-content us-post"><td class="gall_date" title="%s"></td><td class="gall_tit ub-word"><a class='x' href='/view?p=1&amp;No=%s'>t</a></td></tr>"""
+
+
+@query("K5 B15 H22", """SELECT doc_id AS id, 'https://h/view?p=1&No=' || doc_id AS url, TIMESTAMP '2025-02-10' + to_minutes(doc_id % 97) AS date
+    FROM documents WHERE doc_id % 97 BETWEEN 10 AND 60""")
+def listing_rows(spark, sf):
+    """Documents listed twice on pages of their source; those inside the range are found once."""
+    docs = B.table(spark, sf, "documents")
+    posted = F.lit("2025-02-10").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("doc_id") % 97).cast("int"))
+    row = F.format_string(_LISTED_ROW, posted.cast("string"), F.col("doc_id").cast("string"))
+    listed = docs.select(F.concat(F.lit("<table>"), row, row, F.lit("</table>")).alias("html"))
+    start, end = (F.lit(f"2025-02-10 {t}:00").cast("timestamp_ntz") for t in ("00:10", "01:00"))
+    return pages.listing_rows(listed, pages.GALLERY_LIST, "https://h", fields.query_id, lambda c: c.try_cast("timestamp_ntz"), start, end)

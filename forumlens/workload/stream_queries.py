@@ -31,7 +31,7 @@ def stream_sliding_means(spark, sf):
     early = F.col("extracted_at") < B.ts(B.BEFORE_TIME)
     _feed(
         [rows.where(early), rows.where(~early)], new_path(spark, "delta_stream"), sinks.versioned(out),
-        lambda stream: windows.sliding_means(stream, late="40 days"), "update",
+        lambda stream: windows.sliding_means(stream, late="3 hours"), "update",
     )
     return sinks.newest_versions(spark.read.parquet(out), ["bucket_end", "id"]).withColumn("mean_view", F.round("mean_view", 6))
 

@@ -109,3 +109,9 @@ def test_tree_survives_bad_markup():
     assert [html.text_of(e) for e in html.select(tree, "div p")] == ["ab"]
     deep = html.parse("<b>" * 5000 + "x")
     assert html.text_of(deep) == "x"
+
+
+def test_links_in_any_writing(spark):
+    body = """<a class="x" href='/a?b=1&amp;c=2'>1</a><A HREF=/d>2</A><a href="//o/e">3</a><a>none</a><a href="/d">again</a><!-- <a href="/no"> -->"""
+    df = spark.createDataFrame([(1, "https://h/p", body), (2, "https://h/q", None)], "page_id int, url string, html string")
+    assert [r.url for r in pages.page_links(df).collect()] == ["https://h/a?b=1&c=2", "https://h/d", "https://o/e"]

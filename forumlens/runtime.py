@@ -56,12 +56,14 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+_written: dict[str, list[str]] = {}
 
 
-_written: dict[str, list[str]] = {}
+def new_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder, removed by ``drop_materialized``."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -72,7 +74,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

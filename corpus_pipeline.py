@@ -19,7 +19,7 @@ from forumlens.runtime import materialize, ship_package  # noqa: E402
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or between two languages, go."""
+    """Documents without a letter, or at a tie of two languages, go; merely ambiguous ones stay."""
     ship_package(spark)
     return langid.accepted(docs)
 

@@ -27,7 +27,8 @@ BUCKETS = 4096  # of hashed n-grams
 LONGEST = 3  # n-gram
 ROUNDS, RATE, PENALTY = 120, 4.0, 1e-4  # of the logistic fits
 SHARPNESS = 4.0  # of the score over losses
-AMBIGUOUS = 0.1  # least lead of the best score over the next
+AMBIGUOUS = 0.1  # a text is flagged when the best score leads the next by less
+TIE = 0.01  # and belongs to no language when it leads by less than this
 ROWS = 256  # texts whose counts are held at once
 
 _letter: list[np.ndarray] = []
@@ -145,7 +146,7 @@ def fit(labelled: list[tuple[str, str]]) -> Model | None:
     return Model(languages, code, weights, trust / trust.sum(axis=1, keepdims=True))
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+def predict(docs: DataFrame, model: Model | None, least_lead: float = AMBIGUOUS) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``ambiguous`` in place of ``text``, whole texts at a time."""
     others = [c for c in docs.columns if c != "text"]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*others).schema)
@@ -163,7 +164,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                         best[known], score[known], lead[known] = model.decode(rows[known])
                 names = [model.languages[i] if i >= 0 else UNKNOWN for i in best]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(names), pa.array(score), pa.array(lead < AMBIGUOUS)],
+                    [*batch.columns[:-1], pa.array(names), pa.array(score), pa.array(lead < least_lead)],
                     [*batch.schema.names[:-1], "lang_pred", "score", "ambiguous"],
                 )
 
@@ -177,11 +178,14 @@ def identify(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def accepted(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` without those of no language: null texts, texts without a letter, and ties of two codewords."""
+    """``docs`` without those of no language: null texts, texts without a letter, and ties of two codewords.
+
+    A text that is half in one language and half in another is only flagged, and kept.
+    """
     model = fit(sample(docs, rows))
     names = docs.columns
     whole = docs.select(F.struct(*[docs[n] for n in names]).alias("_doc"), "text")
     fields = ", ".join(f"_{i}: {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
-    guessed = predict(whole.withColumn("_doc", F.col("_doc").cast(f"struct<{fields}>")), model)
+    guessed = predict(whole.withColumn("_doc", F.col("_doc").cast(f"struct<{fields}>")), model, TIE)
     kept = guessed.where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous"))
     return kept.select(*[F.col(f"_doc._{i}").alias(n) for i, n in enumerate(names)])

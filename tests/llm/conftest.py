@@ -1,11 +1,8 @@
-import re
 import uuid
-from pathlib import Path
 
 import pytest
 
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
@@ -29,12 +26,3 @@ def documents(written):
         return written([(i, t, lang, source, len(t) if t else None) for i, t, lang, source in filled], DOC_SCHEMA, files)
 
     return build
-
-
-def word_list(text):
-    lowered = (text or "").translate({c: c + 32 for c in range(65, 91)})
-    return re.findall(r"[^\x20\x09-\x0D]+", lowered)
-
-
-def sf_exists():
-    return Path(SF).exists()

@@ -2,7 +2,7 @@ import math
 import random
 
 import numpy as np
-from conftest import SF
+from llm_helpers import SF
 
 from forumlens.llm import ann
 

@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import SF
+from llm_helpers import SF
 
 from forumlens.llm import langid
 

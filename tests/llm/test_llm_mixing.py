@@ -1,7 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import word_list
+from llm_helpers import word_list
 
 from forumlens.llm import mixing
 

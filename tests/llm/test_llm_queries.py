@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import SF, sf_exists, word_list
+from llm_helpers import SF, sf_exists, word_list
 
 import __spark_entry__ as entry
 import corpus_pipeline

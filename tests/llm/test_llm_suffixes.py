@@ -1,7 +1,7 @@
 import random
 from collections import defaultdict
 
-from conftest import word_list
+from llm_helpers import word_list
 
 from forumlens.llm import suffixes
 

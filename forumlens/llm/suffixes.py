@@ -90,6 +90,7 @@ def suffixes(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     kept = materialize(anchors(docs, least), "suffix-anchors")
     each = kept.select("row", F.explode(F.arrays_zip("keys", "at")).alias("s")).select("row", F.col("s.keys").alias("key"), F.col("s.at").alias("at"))
     shared = each.groupBy("key").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first != last").select("key")
+    shared = materialize(shared, "suffix-keys")  # apart from its aggregate, the join can split a key that many rows hold
     wanted = each.join(shared, "key").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("s"))
     wanted = materialize(wanted.join(kept.select("row", "doc_id", "file", "nth"), "row"), "suffix-wanted")
 

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,9 +74,10 @@ def scan(files: DataFrame, keys: list[str], templates: dict[str, str] = TEMPLATE
     lined = lined.withColumn("inside", within).select(
         *keys, "inside", F.filter("all", lambda t: ~t.isin(vocabulary)).alias("other")
     )
-    total = lined.count()
-    held = lined.select(F.explode(F.array_distinct("inside")).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    lines_with = {r["term"]: r["n"] for r in held.collect()}  # at most the vocabulary
+    # one pass counts the lines (under the empty term) and those with each term of the vocabulary
+    held = lined.select(F.explode(F.array_union(F.array(F.lit("")), F.array_distinct("inside"))).alias("term"))
+    lines_with = {r["term"]: r["n"] for r in held.groupBy("term").agg(F.count("*").alias("n")).collect()}
+    total = lines_with.get("", 0)
     unseen = math.log(1 + total)
     weight = {t: math.log((1 + total) / (1 + lines_with.get(t, 0))) for t in vocabulary}
     squares = {t: w * w for t, w in weight.items()}
@@ -86,6 +86,7 @@ def scan(files: DataFrame, keys: list[str], templates: dict[str, str] = TEMPLATE
     near = lined.where(F.size("inside") > 0).withColumn("outside_terms", F.size(F.array_distinct("other")))
     reach = F.size("inside") * most_inside  # (sum of tf * w)^2 bound over repeated terms
     near = near.where(reach >= least * least * (most_inside + F.col("outside_terms") * unseen * unseen))
+    near = materialize(near.select(*keys, "inside", "other"), "license-lines")  # few lines are left
     counts = lambda column: F.transform(
         F.array_distinct(column), lambda t: F.struct(t.alias("term"), F.size(F.filter(column, lambda x: x == t)).cast("double").alias("tf"))
     )
@@ -100,11 +101,10 @@ def scan(files: DataFrame, keys: list[str], templates: dict[str, str] = TEMPLATE
         parts = {t: float(n) * squares[t] / length for t, n in table.items()} if length else {}
         if parts:
             dot = _dot("inside", parts)
-            cosines.append(F.struct(F.round(dot / F.col("norm"), 6).alias("cosine"), F.lit(name).alias("license")))
+            cosines.append(F.struct(F.round(dot / F.col("norm"), 6).alias("cosine"), F.lit(-len(cosines)).alias("nth"), F.lit(name).alias("license")))
     if not cosines:
         return files.select(*keys, F.lit("").alias("license"), F.lit(0.0).alias("cosine")).limit(0)
-    better = lambda a, b: F.when(b["cosine"] > a["cosine"], b).otherwise(a)
-    near = near.where("size(inside) > 0").withColumn("norm", norm).withColumn("best", reduce(better, cosines))
+    near = near.withColumn("norm", norm).withColumn("best", F.array_max(F.array(*cosines)))
     hits = near.where(F.col("best.cosine") >= least).select(*keys, "best.cosine", "best.license")
     first = F.min(F.struct((-F.col("cosine")).alias("worse"), "license"))
     return hits.groupBy(*keys).agg(first.alias("b")).select(*keys, "b.license", (-F.col("b.worse")).alias("cosine"))

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.runtime import materialize
+
 RATIO = (3, 10)  # more than 3 of 10 pages of a host
 LEAST_PAGES = 3
 
@@ -45,7 +47,7 @@ def _key(line: Column) -> Column:
 def boilerplate(pages: DataFrame, ratio: tuple[int, int] = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``host`` and the keys of its boilerplate lines."""
     by_host = pages.select(host(F.col("url")).alias("host"), lines(F.col("html")).alias("lines"))
-    totals = pages.groupBy(host(F.col("url")).alias("host")).agg(F.count("*").alias("pages"))
+    totals = materialize(pages.groupBy(host(F.col("url")).alias("host")).agg(F.count("*").alias("pages")), "line-hosts")
     keys = by_host.select("host", F.explode(F.array_distinct(F.transform("lines", _key))).alias("line"))
     counts = keys.groupBy("host", "line").agg(F.count("*").alias("with_line")).where(F.col("with_line") >= least_pages)
     often = counts.join(totals, "host").where(F.col("with_line") * ratio[1] > F.col("pages") * ratio[0])
@@ -54,7 +56,8 @@ def boilerplate(pages: DataFrame, ratio: tuple[int, int] = RATIO, least_pages: i
 
 def without_boilerplate(pages: DataFrame, ratio: tuple[int, int] = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``page_id``, ``host``, ``n_lines``, ``n_dropped`` and the ``text`` that is left of each page."""
-    found = boilerplate(pages, ratio, least_pages)
+    # written, its size is known: the pages are joined where they are while it is small, else a hot host is split
+    found = materialize(boilerplate(pages, ratio, least_pages), "line-boilerplate")
     rows = pages.select("page_id", host(F.col("url")).alias("host"), "html").join(found, "host", "left")
     rows = rows.select("page_id", "host", lines(F.col("html")).alias("lines"), "drop")
     left = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(

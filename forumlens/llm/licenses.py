@@ -4,9 +4,9 @@ Every line of every file is compared with license notices by the cosine of spars
 texts and not only their tops. A file's own license is its best line's. Files without one inherit that of the
 nearest directory above them which holds a license file.
 
-Weights: ``tf * ln((1 + lines) / (1 + lines with the term))`` over all lines of all files. Terms in no template
-get the weight of a term that no line holds, so only the templates' vocabulary is counted. A line whose terms
-outside that vocabulary already keep its cosine below the bound is never brought to the templates.
+Weights: ``tf * ln((1 + lines) / (1 + lines with the term))`` over all lines of all files, for every term of
+every line. A line that shares too little weight with each template to reach the bound, whatever else it
+holds, is never brought to the templates; the weights of all terms are joined to the others.
 
 Cases: null texts have no lines, null paths lie in no directory and inherit nothing. Equal cosines go to the
 template first in order; among license files of one directory the best cosine, then the first path, counts. Rows
@@ -55,56 +55,48 @@ def _number(table: dict[str, float], term: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), term)
 
 
-def _dot(column: str, table: dict[str, float]) -> Column:
-    return F.aggregate(column, F.lit(0.0), lambda s, x: s + x["tf"] * F.coalesce(_number(table, x["term"]), F.lit(0.0)))
-
-
-def line_terms(files: DataFrame, keys: list[str]) -> DataFrame:
-    """The terms of each line that has any, as ``all``."""
-    split = files.select(*keys, F.explode(F.split("text", "\n")).alias("line")).where("line != ''")
-    return split.select(*keys, terms(F.col("line")).alias("all")).where(F.size("all") > 0)
-
-
 def scan(files: DataFrame, keys: list[str], templates: dict[str, str] = TEMPLATES, least: float = LEAST_COSINE) -> DataFrame:
     """``keys``, ``license`` and ``cosine`` of the files that hold a license line."""
     counted = template_terms(templates)
     vocabulary = sorted({t for table in counted.values() for t in table})
-    lined = line_terms(files, keys)
-    within = F.filter("all", lambda t: t.isin(vocabulary))
-    lined = lined.withColumn("inside", within).select(
-        *keys, "inside", F.filter("all", lambda t: ~t.isin(vocabulary)).alias("other")
-    )
-    # one pass counts the lines (under the empty term) and those with each term of the vocabulary
-    held = lined.select(F.explode(F.array_union(F.array(F.lit("")), F.array_distinct("inside"))).alias("term"))
-    lines_with = {r["term"]: r["n"] for r in held.groupBy("term").agg(F.count("*").alias("n")).collect()}
-    total = lines_with.get("", 0)
-    unseen = math.log(1 + total)
-    weight = {t: math.log((1 + total) / (1 + lines_with.get(t, 0))) for t in vocabulary}
-    squares = {t: w * w for t, w in weight.items()}
-    # at least: every distinct term outside counts once
-    most_inside = F.aggregate("inside", F.lit(0.0), lambda s, t: s + _number(squares, t))
-    near = lined.where(F.size("inside") > 0).withColumn("outside_terms", F.size(F.array_distinct("other")))
-    reach = F.size("inside") * most_inside  # (sum of tf * w)^2 bound over repeated terms
-    near = near.where(reach >= least * least * (most_inside + F.col("outside_terms") * unseen * unseen))
-    near = materialize(near.select(*keys, "inside", "other"), "license-lines")  # few lines are left
-    counts = lambda column: F.transform(
-        F.array_distinct(column), lambda t: F.struct(t.alias("term"), F.size(F.filter(column, lambda x: x == t)).cast("double").alias("tf"))
-    )
-    near = near.withColumn("inside", counts(F.col("inside"))).withColumn("other", counts(F.col("other")))
-    norm = F.sqrt(
-        F.aggregate("inside", F.lit(0.0), lambda s, x: s + x["tf"] * x["tf"] * _number(squares, x["term"]))
-        + F.aggregate("other", F.lit(0.0), lambda s, x: s + x["tf"] * x["tf"]) * (unseen * unseen)
-    )
-    cosines = []
-    for name, table in counted.items():
-        length = math.sqrt(sum(n * n * squares[t] for t, n in table.items()))
-        parts = {t: float(n) * squares[t] / length for t, n in table.items()} if length else {}
-        if parts:
-            dot = _dot("inside", parts)
-            cosines.append(F.struct(F.round(dot / F.col("norm"), 6).alias("cosine"), F.lit(-len(cosines)).alias("nth"), F.lit(name).alias("license")))
-    if not cosines:
+    # lower case before the lines are cut, so that the many conditions below read a finished column
+    lines = files.select(*keys, F.explode(F.split(F.lower("text"), "\n")).alias("line")).where("line != ''")
+    # one pass counts the lines (under the empty term) and those with each term
+    distinct = lines.select(F.array_distinct(terms(F.col("line"))).alias("held")).where(F.size("held") > 0)
+    held = distinct.select(F.explode(F.concat(F.array(F.lit("")), "held")).alias("term"))
+    lines_with = materialize(held.groupBy("term").agg(F.count("*").alias("n")), "license-terms")
+    known = {r["term"]: r["n"] for r in lines_with.where(F.col("term").isin("", *vocabulary)).collect()}  # the templates' terms
+    total = known.get("", 0)
+    squares = {t: math.log((1 + total) / (1 + known.get(t, 0))) ** 2 for t in vocabulary}
+    lengths = {name: math.sqrt(sum(n * n * squares[t] for t, n in table.items())) for name, table in counted.items()}
+    counted = {name: table for name, table in counted.items() if lengths[name]}
+    if not counted:
         return files.select(*keys, F.lit("").alias("license"), F.lit(0.0).alias("cosine")).limit(0)
-    near = near.withColumn("norm", norm).withColumn("best", F.array_max(F.array(*cosines)))
+    # no line's cosine is above the length of the template's part that the line holds
+    reaches = F.lit(False)
+    for name, table in counted.items():
+        shares = [F.when(F.contains("line", F.lit(t)), n * n * squares[t] / lengths[name] ** 2).otherwise(0.0) for t, n in table.items()]
+        reaches = reaches | (sum(shares[1:], shares[0]) >= least * least - 1e-6)
+    near = lines.where(reaches).select(*keys, terms(F.col("line")).alias("all"), F.monotonically_increasing_id().alias("_line"))
+    near = materialize(near.where(F.size("all") > 0), "license-lines")  # few lines are left
+    counts = F.transform(
+        F.array_distinct("all"), lambda t: F.struct(t.alias("term"), F.size(F.filter("all", lambda x: x == t)).cast("double").alias("tf"))
+    )
+    each = near.select("_line", *keys, F.explode(counts).alias("t")).select("_line", *keys, "t.term", "t.tf")
+    # apart, so that the join can split a term that many lines hold
+    used = materialize(lines_with.join(each.select("term").distinct(), "term"), "license-weights")
+    weight = F.log((1.0 + total) / (1 + F.col("n")))
+    norm = F.sqrt(F.sum(F.col("tf") * F.col("tf") * weight * weight))
+    dots = []
+    for nth, (name, table) in enumerate(counted.items()):
+        parts = {t: float(n) * squares[t] / lengths[name] for t, n in table.items()}
+        dots.append(F.sum(F.col("tf") * F.coalesce(_number(parts, F.col("term")), F.lit(0.0))).alias(f"_dot{nth}"))
+    near = each.join(used, "term").groupBy("_line", *keys).agg(norm.alias("_norm"), *dots)
+    cosines = [
+        F.struct(F.round(F.col(f"_dot{nth}") / F.nullif("_norm", F.lit(0.0)), 6).alias("cosine"), F.lit(-nth).alias("nth"), F.lit(name).alias("license"))
+        for nth, name in enumerate(counted)
+    ]
+    near = near.withColumn("best", F.array_max(F.array(*cosines)))
     hits = near.where(F.col("best.cosine") >= least).select(*keys, "best.cosine", "best.license")
     first = F.min(F.struct((-F.col("cosine")).alias("worse"), "license"))
     return hits.groupBy(*keys).agg(first.alias("b")).select(*keys, "b.license", (-F.col("b.worse")).alias("cosine"))

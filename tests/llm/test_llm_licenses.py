@@ -1,3 +1,7 @@
+import math
+import random
+import re
+
 from forumlens.llm import licenses
 
 MIT, APACHE, GPL = (licenses.TEMPLATES[n] for n in ("MIT", "Apache-2.0", "GPL-3.0"))
@@ -44,3 +48,30 @@ def test_empty_tables_and_no_templates(spark):
     frame = spark.createDataFrame([(1, "a", MIT)], "id long, path string, text string")
     assert licenses.licensed(frame.where("id = 9"), "id").count() == 0
     assert licenses.licensed(frame, "id", templates={}).collect()[0].license is None
+
+
+def plain_cosines(texts):
+    """The best cosine of each text's lines by the definition: the weight of every term is counted."""
+    split = [[re.findall(licenses.TERM, line.lower()) for line in text.split("\n")] for text in texts]
+    lines = [line for held in split for line in held if line]
+    weight = lambda t: math.log((1 + len(lines)) / (1 + sum(t in line for line in lines)))
+    vector = lambda line: {t: line.count(t) * weight(t) for t in set(line)}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    notices = [vector(re.findall(licenses.TERM, n.lower())) for n in licenses.TEMPLATES.values()]
+    cosine = lambda a, b: sum(x * b.get(t, 0) for t, x in a.items()) / ((length(a) * length(b)) or 1)
+    return [max([cosine(vector(line), n) for line in held if line for n in notices], default=0) for held in split]
+
+
+def test_every_terms_weight_is_counted(spark):
+    """Frequent words beside a notice weigh little, as in any corpus; rare ones weigh much."""
+    rng = random.Random(2)
+    common = "see for details of the a is to in file".split()
+    prose = ["\n".join(" ".join(rng.choices(common, k=8)) for _ in range(10)) for _ in range(60)]
+    texts = [
+        "Released under the MIT License; see the file for details.", "released rarely under odd names the mit license quux frob blah zork",
+        "see the MIT License, license, for the details of it", APACHE + " see for details of the file", *prose,
+    ]
+    got = run(spark, [(f"f{i}", t) for i, t in enumerate(texts)])
+    want = plain_cosines(texts)
+    assert want[0] >= licenses.LEAST_COSINE > want[1]
+    assert {i: round(c, 5) for i, c in enumerate(want) if c >= licenses.LEAST_COSINE} == {i: round(r.cosine, 5) for i, r in got.items() if r.origin == "own"}

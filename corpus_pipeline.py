@@ -45,7 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
     ship_package(spark)
-    return packing.digests(docs)
+    return packing.digests(docs, added=packing.ADDED)
 
 
 STAGES = [

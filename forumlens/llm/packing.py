@@ -29,6 +29,7 @@ from forumlens.runtime import materialize
 
 WINDOW = 1024
 RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks: the same ids, faster
+ADDED = {"<|endoftext|>": 50256}  # the added tokens of byte_bpe_50k.json, which match inside a text as well
 CHUNK = 256  # documents whose ids are held at once
 CACHE = 1_000_000  # words whose ids a task remembers
 
@@ -51,13 +52,14 @@ class Words(dict):
 class Encoder:
     """Ids of whole texts.
 
+    ``added`` tokens are found first, the leftmost and longest, and the parts between them are encoded apart.
     The split pattern never joins a space to what stands before it, unless white space does. So a text
     without two white space characters in a row is encoded word by word, each with the space before it.
     """
 
     double_space = re.compile(r"\s\s")
 
-    def __init__(self, ranks: str):
+    def __init__(self, ranks: str, added: dict[str, int] | None = None):
         import public_tokenizers
         import tiktoken
 
@@ -68,8 +70,15 @@ class Encoder:
             "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary, special_tokens={}
         ).encode_ordinary
         self.words = Words(self.encode)
+        self.added = {token: struct.pack("<I", at) for token, at in (added or {}).items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
 
     def __call__(self, text: str) -> bytes:
+        if self.cut is None:
+            return self.ordinary(text)
+        return b"".join(self.added[part] if n % 2 else self.ordinary(part) for n, part in enumerate(self.cut.split(text)))
+
+    def ordinary(self, text: str) -> bytes:
         if self.double_space.search(text):
             ids = self.encode(text)
             return np.array(ids, "<u4").tobytes()
@@ -81,14 +90,14 @@ class Encoder:
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
-def token_pieces(docs: DataFrame, window: int = WINDOW, ranks: str = RANKS) -> DataFrame:
+def token_pieces(docs: DataFrame, window: int = WINDOW, ranks: str = RANKS, added: dict[str, int] | None = None) -> DataFrame:
     """Windows and remainders of each document with their ids: ``doc_id, start, length, doc_tokens, ids``.
 
     ``ids`` are little-endian unsigned 32-bit numbers; the closing id is 0.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks)
+        encoder = Encoder(ranks, added)
         for whole in batches:
             for at in range(0, whole.num_rows, CHUNK):
                 batch = whole.slice(at, CHUNK)
@@ -200,19 +209,19 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     return placed.select(*pieces.columns, "_rank").mapInArrow(place, schema)
 
 
-def digests(docs: DataFrame, window: int = WINDOW, ranks: str = RANKS) -> DataFrame:
+def digests(docs: DataFrame, window: int = WINDOW, ranks: str = RANKS, added: dict[str, int] | None = None) -> DataFrame:
     """Where every piece lies, with the checksum of its ids in place of the ids."""
-    pieces = token_pieces(docs, window, ranks)
+    pieces = token_pieces(docs, window, ranks, added)
     narrow = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return pack(materialize(narrow, "pack-pieces"), window)
 
 
-def sequences(docs: DataFrame, window: int = WINDOW, ranks: str = RANKS) -> DataFrame:
+def sequences(docs: DataFrame, window: int = WINDOW, ranks: str = RANKS, added: dict[str, int] | None = None) -> DataFrame:
     """The packed sequences: ``sequence_id``, their ``pieces`` and their ``ids`` padded with 0 to the window.
 
     Ids are written once with a piece number and brought to their sequence by one shuffle.
     """
-    pieces = materialize(token_pieces(docs, window, ranks).withColumn("piece", F.monotonically_increasing_id()), "pack-ids")
+    pieces = materialize(token_pieces(docs, window, ranks, added).withColumn("piece", F.monotonically_increasing_id()), "pack-ids")
     places = pack(pieces.drop("ids"), window).select("piece", "sequence_id", "offset")
     row = F.struct("offset", "doc_id", "start", "length", "ids")
     rows = pieces.join(places, "piece").groupBy("sequence_id").agg(F.array_sort(F.collect_list(row)).alias("_rows"))

@@ -77,7 +77,7 @@ def op1_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def op7_pack(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.digests(table(spark, sf, "documents"))
+    return packing.digests(table(spark, sf, "documents"), added=packing.ADDED)
 
 
 OP8_SQL = r"""

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -6,7 +7,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from forumlens.llm import packing
+from forumlens.llm.queries import ENTRIES
 
 
 @pytest.fixture(scope="module")
@@ -118,3 +121,36 @@ def test_empty_table_and_clashing_columns(written, documents):
     assert packing.digests(documents(files=1).where("doc_id = 0")).count() == 0
     frame = written([(1, "a b", "x", "y")], "doc_id int, text string, start string, length string")
     assert packing.digests(frame).count() == 1
+
+
+ADDED_TEXTS = ["<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>  b\n", "x<|endoftext|><|endoftext|>y z", "<|endoftext|", "<<|endoftext|>>", " <|endoftext|>"]
+
+
+@pytest.fixture(scope="module")
+def contract():
+    """The tokenizer as it is given: its added tokens match inside texts."""
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_added_tokens_are_the_files():
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
+        assert {t["content"]: t["id"] for t in json.load(file)["added_tokens"]} == packing.ADDED
+
+
+def test_ids_with_added_tokens_are_the_tokenizers(contract):
+    encode = packing.Encoder(packing.RANKS, packing.ADDED)
+    rng = random.Random(6)
+    odd = ["".join(rng.choice(["a", "b ", " ", "\n", "<|endoftext|>", "<", "|", ">", "é", "'s"]) for _ in range(30)) for _ in range(500)]
+    for text in [t or "" for t in TEXTS] + ADDED_TEXTS + odd:
+        assert np.frombuffer(encode(text), "<u4").tolist() == contract.encode(text, add_special_tokens=False).ids
+
+
+def test_query_and_pipeline_find_added_tokens(spark, documents, contract, tmp_path):
+    texts = dict(enumerate(TEXTS + ADDED_TEXTS))
+    frame = documents(*texts.items())
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    by_query = ENTRIES["op7_pack"].run(spark, str(tmp_path)).collect()
+    by_stage = corpus_pipeline.pack_sequences(spark, frame, str(tmp_path)).collect()
+    for rows in (by_query, by_stage):
+        by_doc, _ = held(rows, contract, texts)
+        assert set(by_doc) == set(texts)

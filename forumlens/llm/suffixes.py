@@ -7,6 +7,9 @@ each suffix is compared with its neighbours of other rows, from the 8-gram to th
 once by what follows and once by what precedes, the neighbour with the longest match on a side is next to it.
 A match that adds up to ``MIN_WORDS`` is a span; a row's spans are merged.
 
+The best partner over both sides need not be a neighbour on either. So each window of ``MIN_WORDS`` words whose
+minimiser several rows hold is also compared by its hash with those of all other rows, and is a span if one is equal.
+
 Suffixes are range-partitioned with their row as the last key, so a passage that most rows share is spread over
 tasks; the first and last suffixes of each task (four at most) are compared on the driver.
 
@@ -37,6 +40,7 @@ GRAM = 8
 CHUNK = 256  # documents hashed at once
 
 _ODD = mixed(np.arange(101, 101 + GRAM, dtype=np.uint64)) | np.uint64(1)
+_WINDOW_ODD = mixed(np.arange(201, 201 + MIN_WORDS, dtype=np.uint64)) | np.uint64(1)
 
 
 def _sliding(values: np.ndarray, wide: int, pick: np.ufunc) -> np.ndarray:
@@ -48,12 +52,17 @@ def _sliding(values: np.ndarray, wide: int, pick: np.ufunc) -> np.ndarray:
     return done
 
 
+def _grams(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the word 8-grams."""
+    many = len(hashes) - GRAM + 1
+    return mixed(sum((hashes[k : k + many] * _ODD[k] for k in range(1, GRAM)), hashes[:many] * _ODD[0]))
+
+
 def minimisers(hashes: np.ndarray, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Word positions at which suffixes are kept, and the hashes of the 8-grams there."""
     if len(hashes) < least:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    many, wide = len(hashes) - GRAM + 1, least - GRAM + 1
-    grams = mixed(sum((hashes[k : k + many] * _ODD[k] for k in range(1, GRAM)), hashes[:many] * _ODD[0]))
+    grams, wide = _grams(hashes), least - GRAM + 1
     lowest = _sliding(grams, wide, np.minimum)
     edge = np.zeros(wide - 1, np.uint64)
     reached = _sliding(np.concatenate((edge, lowest, edge)), wide, np.maximum)
@@ -81,18 +90,58 @@ def anchors(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     return found.where("size(at) > 0").withColumn("row", F.monotonically_increasing_id())
 
 
-def suffixes(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """The kept suffixes whose 8-gram occurs in several rows: ``key, row, doc_id, at, right, left``.
-
-    ``right`` are the words after the 8-gram, ``left`` those before it, nearest first; two bytes a word, and
-    as many words as a span may need.
-    """
+def shared_suffixes(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """``row``, ``doc_id``, place and ``s`` (``at`` and ``key``) of the kept suffixes whose 8-gram occurs in several rows."""
     kept = materialize(anchors(docs, least), "suffix-anchors")
     each = kept.select("row", F.explode(F.arrays_zip("keys", "at")).alias("s")).select("row", F.col("s.keys").alias("key"), F.col("s.at").alias("at"))
     shared = each.groupBy("key").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first != last").select("key")
     shared = materialize(shared, "suffix-keys")  # apart from its aggregate, the join can split a key that many rows hold
     wanted = each.join(shared, "key").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("s"))
-    wanted = materialize(wanted.join(kept.select("row", "doc_id", "file", "nth"), "row"), "suffix-wanted")
+    return materialize(wanted.join(kept.select("row", "doc_id", "file", "nth"), "row"), "suffix-wanted")
+
+
+def windows(docs: DataFrame, wanted: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """Spans of ``least`` words that another row holds, found by their hash among the windows with a shared minimiser."""
+    offsets = sorted({*range(0, least - GRAM, GRAM), least - GRAM})  # 8-grams that hold every word
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, CHUNK):
+                batch = whole.slice(start, CHUNK)
+                hashes, begins = words(batch.column(0).to_pylist())
+                bounds, keys = batch.column(2).offsets.to_numpy(), batch.column(2).flatten().to_numpy().view(np.uint64)
+                for n, (a, b) in enumerate(zip(begins[:-1], begins[1:])):
+                    grams, many = _grams(hashes[a:b]), b - a - least + 1
+                    shared = keys[bounds[n] - bounds[0] : bounds[n + 1] - bounds[0]]
+                    at = np.flatnonzero(np.isin(_sliding(grams, least - GRAM + 1, np.minimum), shared))
+                    if len(at):
+                        window = mixed(sum(grams[o : o + many] * _WINDOW_ODD[k] for k, o in enumerate(offsets)))[at]
+                        rows = batch.column(1).take(pa.array(np.full(len(at), n)))
+                        yield pa.RecordBatch.from_arrays([pa.array(window.view(np.int64)), rows, pa.array(at.astype(np.int32))], ["window", "row", "at"])
+
+    texts = docs.select(*locator("file", "nth"), "text").join(wanted, ["file", "nth"])
+    each = texts.select("text", "row", F.col("s.key").alias("keys")).mapInArrow(hashed, "window long, row long, at int")
+    each = materialize(each, "suffix-windows")
+    held = each.groupBy("window").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low != high")
+    held = materialize(held, "suffix-held")  # apart from its aggregate, the join can split a window that many rows hold
+    found = each.join(held, "window").withColumn("other", F.when(F.col("row") == F.col("low"), F.col("high")).otherwise(F.col("low")))
+    # a row's windows that follow on each other with one other row are one span
+    order = Window.partitionBy("row", "other").orderBy("at")
+    runs = found.select("row", "other", "at", (F.col("at") - F.row_number().over(order)).alias("run"))
+    spans = runs.groupBy("row", "other", "run").agg(F.min("at").alias("first"), (F.max("at") + least).alias("last"))
+    spans = materialize(spans, "suffix-window-spans")
+    ids = wanted.select("row", "doc_id")
+    others = ids.select(F.col("row").alias("other"), F.col("doc_id").alias("other_id"))
+    return spans.join(ids, "row").join(others, "other").select("row", "doc_id", "first", "last", "other_id")
+
+
+def suffixes(docs: DataFrame, least: int = MIN_WORDS, wanted: DataFrame | None = None) -> DataFrame:
+    """The kept suffixes whose 8-gram occurs in several rows: ``key, row, doc_id, at, right, left``.
+
+    ``right`` are the words after the 8-gram, ``left`` those before it, nearest first; two bytes a word, and
+    as many words as a span may need.
+    """
+    wanted = shared_suffixes(docs, least) if wanted is None else wanted
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -237,8 +286,9 @@ def _across(found: DataFrame, least: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``doc_id``, ``first_word``, ``n_words`` of each passage that another document repeats, and one such ``other_id``."""
-    kept = materialize(suffixes(docs, least), "suffix-rows")
-    found = neighbours(kept, "right", least).unionByName(neighbours(kept, "left", least))
+    wanted = shared_suffixes(docs, least)
+    kept = materialize(suffixes(docs, least, wanted), "suffix-rows")
+    found = neighbours(kept, "right", least).unionByName(neighbours(kept, "left", least)).unionByName(windows(docs, wanted, least))
     order = Window.partitionBy("row").orderBy("first", "last")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = found.withColumn("fresh", F.when(F.col("first") <= before, 0).otherwise(1)).withColumn("island", F.sum("fresh").over(order))

@@ -4,6 +4,8 @@ from collections import defaultdict
 from llm_helpers import word_list
 
 from forumlens.llm import suffixes
+from forumlens.llm.shingles import words
+from forumlens.llm.suffixes import minimisers
 
 LEAST = suffixes.MIN_WORDS
 
@@ -92,3 +94,24 @@ def test_nulls_empties_long_texts_repeats_and_empty_tables(written, documents):
     assert suffixes.repeated_spans(documents(files=1).where("doc_id = 0")).count() == 0
     frame = written([(1, same, *"abcd"), (2, same, *"abcd")], "doc_id long, text string, row string, key string, at string, file string")
     assert suffixes.repeated_spans(frame).count() == 2
+
+
+def test_best_partner_is_no_neighbour_on_either_side(documents):
+    """A and B share 50 words around their only minimiser; others share more on one side, but too little in all."""
+    rng = random.Random(8)
+    draw = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    stream = draw(50_000)
+    hashes, _ = words([" ".join(stream)])
+    best = int(minimisers(hashes, suffixes.GRAM)[1].argmin())
+    core = stream[best : best + suffixes.GRAM]  # so low that it is the minimiser of every window around it
+    before, after = draw(21), draw(21)
+    a = (draw(21) + before, after + draw(21))
+    docs = [a[0] + core + a[1], draw(21) + before + core + after + draw(21)]
+    for _ in range(30):
+        docs += [draw(42) + core + a[1][:25] + draw(17), draw(17) + a[0][-25:] + core + draw(42)]
+    for w in docs[:2]:
+        assert list(minimisers(words([" ".join(w)])[0])[0]) == [42]
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    want = expected(rows)
+    assert [d for d, _ in want] == ["0", "1"]
+    assert covered(documents(*rows)) == want

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import ann, chat, exactdedup, langid, licenses, linededup, mixing, neardup, packing, suffixes
+from forumlens.llm import ann, chat, exactdedup, langid, licenses, linededup, mixing, neardup, packing, repair, spelling, suffixes, twofit
 from forumlens.llm.common import table
 from forumlens.runtime import ship_package
 
@@ -246,3 +246,18 @@ def op3_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.repeated_spans(table(spark, sf, "documents"))
+
+
+@query()
+def op11_pack_two_fit(spark: SparkSession, sf: str) -> DataFrame:
+    return twofit.digests(table(spark, sf, "documents"), added=packing.ADDED)
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"))
+
+
+@query()
+def op13_repair_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.report(table(spark, sf, "conversations"))

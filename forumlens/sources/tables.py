@@ -119,6 +119,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below a path, none if it does not exist."""
+    fs, hadoop_path = _file_system(spark, path)
+    found = fs.listStatus(hadoop_path) if fs.exists(hadoop_path) else []
+    return sorted(f"{path}/{entry.getPath().getName()}" for entry in found if entry.isDirectory())
+
+
 def newest_partition(spark: SparkSession, path: str, column: str) -> str | None:
     """The largest value of a table's partition column, from its folder names; no file is opened."""
     fs, hadoop_path = _file_system(spark, path)

@@ -303,15 +303,15 @@ _GALLERY_PAGE = """<span class="title_subject">$title</span><span class="gall_co
 _NORMAL = r"trim(regexp_replace(replace(text, chr(160), ' '), '[\s\x0B]+', ' ', 'g'), ' ')"
 
 
-def _layout_sql(remainder: int, posted: str, upvotes: str, downvotes: str) -> str:
+def _layout_sql(posted: str, upvotes: str, downvotes: str) -> str:
     return f"""SELECT doc_id::VARCHAR AS post_id, source || ' & ' || lang AS title, {_NORMAL} AS content, {posted} AS created_at,
         n_chars::INTEGER AS view_count, doc_id::INTEGER AS upvote_count, 2::INTEGER AS comment_count, doc_id AS comment_id, {_NORMAL} AS comment,
         'true' AS is_reply, '2025-02-10T09:00:00' AS commented_at, {upvotes}::INTEGER AS comment_upvotes, {downvotes}::INTEGER AS comment_downvotes
-        FROM documents WHERE doc_id % 3 = {remainder}"""
+        FROM documents"""
 
 
-def _layout(spark, sf, remainder, html_text, layout, parse, **extra):
-    docs = B.table(spark, sf, "documents").where(F.col("doc_id") % 3 == remainder)
+def _layout(spark, sf, html_text, layout, parse, **extra):
+    docs = B.table(spark, sf, "documents")
     saved = docs.select(F.col("doc_id").alias("post_id"), F.lit("https://x/").alias("url"), _frame(html_text).alias("html"))
     posts = jobs.extract_pages(saved.withColumns({k: F.lit(v) for k, v in extra.items()}), layout, parse)
     return posts.select("post_id", "title", "content", "created_at", "view_count", "upvote_count", "comment_count", F.explode("comments").alias("c")).select(
@@ -319,22 +319,22 @@ def _layout(spark, sf, remainder, html_text, layout, parse, **extra):
         F.col("c.created_at").alias("commented_at"), F.col("c.upvote_count").alias("comment_upvotes"), F.col("c.downvote_count").alias("comment_downvotes"))
 
 
-@query("K3 K4 M11 H20", _layout_sql(0, "'2025-02-10T08:25:00'", "3", "NULL"))
+@query("K3 K4 M11 H20", _layout_sql("'2025-02-10T08:25:00'", "3", "NULL"))
 def stacked_pages(spark, sf):
-    """A third of the documents as pages of the first layout: every field and comment is compared."""
-    return _layout(spark, sf, 0, _STACKED_PAGE, pages.STACKED, lambda c: dates.first_two_words(c).try_cast("timestamp_ntz"))
+    """Every document as a page of the first layout: every field and comment is compared."""
+    return _layout(spark, sf, _STACKED_PAGE, pages.STACKED, lambda c: dates.first_two_words(c).try_cast("timestamp_ntz"))
 
 
-@query("K3 K4 M11 H18 H29", _layout_sql(1, "'2025-02-10T08:25:00'", "3", "1"))
+@query("K3 K4 M11 H18 H29", _layout_sql("'2025-02-10T08:25:00'", "3", "1"))
 def profile_pages(spark, sf):
-    return _layout(spark, sf, 1, _PROFILE_PAGE, pages.PROFILE, lambda c: dates.parse_dotted(fields.last_field(c)))
+    return _layout(spark, sf, _PROFILE_PAGE, pages.PROFILE, lambda c: dates.parse_dotted(fields.last_field(c)))
 
 
-@query("K3 K4 M11 H19", _layout_sql(2, "'2025-02-10T07:00:00'", "NULL", "NULL"))
+@query("K3 K4 M11 H19", _layout_sql("'2025-02-10T07:00:00'", "NULL", "NULL"))
 def gallery_pages(spark, sf):
     batch = F.lit("2025-02-11 00:00:00").cast("timestamp_ntz")
     return _layout(
-        spark, sf, 2, _GALLERY_PAGE, pages.GALLERY,
+        spark, sf, _GALLERY_PAGE, pages.GALLERY,
         lambda c: F.coalesce(dates.parse_month_day(c, batch), c.try_cast("timestamp_ntz")), created_at="2025-02-10 07:00:00")
 
 

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from forumlens.runtime import new_path
-from forumlens.streaming import sinks, windows
+from forumlens.streaming import keyed, sinks, windows
 from forumlens.workload import bindings as B
 from forumlens.workload.bindings import with_views
 from forumlens.workload.registry import query
 
 
-def _feed(parts, path, sink, transform=None, mode="append"):
+def _feed(parts, path, sink, transform=None, mode="append", state=None):
     """Each part of the table is added to the source folder and processed by a run of its own."""
     spark = parts[0].sparkSession
     offsets = new_path(spark, "offsets")
     for part in parts:
         part.write.mode("append").parquet(path)
         stream = spark.readStream.schema(part.schema).parquet(path)
-        sinks.run_available(transform(stream) if transform else stream, sink, offsets, mode)
+        sinks.run_available(transform(stream) if transform else stream, sink, offsets, mode, state)
 
 
 @query("L1", with_views(
@@ -41,7 +43,7 @@ def stream_first_seen(spark, sf):
     """The same sources come in every part; each is passed on once."""
     out, ledger = new_path(spark, "first"), new_path(spark, "ledger")
     docs = B.table(spark, sf, "documents").select(F.col("source").alias("id"), "lang")
-    english = F.col("lang") == "en"
+    english = F.col("lang").eqNullSafe("en")
     _feed([docs.where(english), docs.where(~english)], new_path(spark, "posts"), sinks.first_seen(out, ledger))
     return spark.read.parquet(out).select("id")
 
@@ -55,3 +57,24 @@ def stream_delta(spark, sf):
     snapshots = [B.snapshot(spark, sf, time) for time in (B.BEFORE_TIME, B.BATCH_TIME)]
     _feed(snapshots, new_path(spark, "snapshots"), sinks.stream_delta(out, new_path(spark, "state"), ["id"]))
     return spark.read.parquet(out).select("id", "extracted_at", "v_view_count")
+
+
+_COUNTERS = ["view_count", "upvote_count", "downvote_count", "comment_count"]
+
+
+def _change(counter: str) -> str:
+    return f"CASE WHEN b.{counter} IS NULL THEN a.{counter} ELSE a.{counter} - b.{counter} END AS v_{counter}"
+
+
+@query("L3", with_views(
+    f"""SELECT id, extracted_at, {", ".join(f"{c} AS v_{c}" for c in _COUNTERS)} FROM before UNION ALL
+    SELECT a.id, a.extracted_at, {", ".join(map(_change, _COUNTERS))} FROM after a LEFT JOIN before b USING (id)""", "before", "after"))
+def stream_delta_state(spark, sf):
+    """Two snapshots a day apart, each in a run of its own that starts again from the checkpoint; the newer one comes twice."""
+    out = new_path(spark, "moves")
+    before, after = (B.snapshot(spark, sf, time) for time in (B.BEFORE_TIME, B.BATCH_TIME))
+    _feed(
+        [before, after, after], new_path(spark, "snapshots"), sinks.versioned(out),
+        lambda stream: keyed.snapshot_changes(stream, ["id"], timedelta(days=1)), state=sinks.ON_DISK,
+    )
+    return spark.read.parquet(out).select("id", "extracted_at", *[f"v_{c}" for c in _COUNTERS])

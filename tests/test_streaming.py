@@ -1,15 +1,15 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from forumlens.streaming import sinks, windows
+from forumlens.streaming import keyed, sinks, windows
 
 T = [datetime(2025, 2, d) for d in (10, 11, 12)]
 
 
-def feed(spark, folder, batches, columns, sink, transform=lambda stream: stream):
+def feed(spark, folder, batches, columns, sink, transform=lambda stream: stream, state=None):
     for rows in batches:
         spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(columns).parquet(f"{folder}/in")
-        sinks.run_available(transform(stream), sink, f"{folder}/offsets")
+        sinks.run_available(transform(stream), sink, f"{folder}/offsets", state=state)
 
 
 def test_first_seen_passes_each_id_once(spark, folder):
@@ -53,3 +53,61 @@ def test_closed_windows_are_emitted_once_and_late_rows_dropped(spark, folder):
     # noon belongs to the buckets ending at noon up to 14:30, a microsecond later to 12:30 up to 15:00
     assert got[at[0]] == (1, 4.0) and got[datetime(2025, 2, 10, 12, 30)] == (2, 6.0)
     assert got[datetime(2025, 2, 10, 15)] == (1, 8.0) and len(got) == 7
+
+
+def test_a_new_run_keeps_the_outputs_of_the_others_and_goes_on_from_them(spark, folder):
+    columns = "id string, extracted_at timestamp_ntz, view_count int"
+    for run, batches in (("1", [[("a", T[0], 5)], [("a", T[1], 7)]]), ("2", [[("a", T[2], 20)]])):
+        sink = sinks.stream_delta(f"{folder}/out", f"{folder}/state", ["id"], run=run)
+        for number, rows in enumerate(batches):
+            sink(spark.createDataFrame(rows, columns), number)
+    got = sorted((r.extracted_at, r.v_view_count) for r in spark.read.parquet(f"{folder}/out").collect())
+    assert got == [(T[0], 5), (T[1], 2), (T[2], 13)]
+    means = "bucket_end timestamp_ntz, id string, deltas long"
+    for run, deltas in (("1", 4), ("2", 9)):
+        sinks.versioned(f"{folder}/means", run)(spark.createDataFrame([(T[0], "a", deltas)], means), 0)
+    table = spark.read.parquet(f"{folder}/means")
+    assert table.count() == 2 and sinks.newest_versions(table, ["bucket_end", "id"]).collect()[0].deltas == 9
+
+
+SNAPSHOT = "id string, extracted_at timestamp_ntz, view_count int, likes long"
+
+
+def changes(spark, folder, batches, late="1 second"):
+    transform = lambda stream: keyed.snapshot_changes(stream, ["id"], timedelta(days=1), late)
+    feed(spark, folder, batches, SNAPSHOT, sinks.versioned(f"{folder}/out"), transform, sinks.ON_DISK)
+    return sorted(((r.extracted_at, r.id, r.v_view_count, r.v_likes) for r in spark.read.parquet(f"{folder}/out").collect()), key=str)
+
+
+def test_keyed_changes_start_again_from_the_checkpoint(spark, folder):
+    """Each batch is a query of its own; an id that skips a snapshot is new in the next, nulls stay as they are."""
+    large = 1 << 60
+    batches = [[("a", T[0], 5, large), ("b", T[0], 1, None)], [("b", T[1], 4, 2)], [("a", T[2], 9, large + 1), ("b", T[2], None, 5), (None, T[2], 1, 1)]]
+    got = changes(spark, folder, batches)
+    assert got == sorted([
+        (T[0], "a", 5, large), (T[0], "b", 1, None), (T[1], "b", 3, 2), (T[2], "a", 9, large + 1), (T[2], "b", None, 3), (T[2], None, 1, 1),
+    ], key=str)
+
+
+def test_keyed_changes_of_several_snapshots_in_one_batch_and_one_over_several(spark, folder):
+    batches = [[("a", T[1], 7, 1), ("a", T[0], 5, 1), ("a", T[1], 7, 1)], [("b", T[1], 2, 0)], [("a", T[2], 8, 1), ("b", T[2], 2, 0)]]
+    got = changes(spark, folder, batches, "2 days")
+    assert got == [(T[0], "a", 5, 1), (T[1], "a", 2, 0), (T[1], "b", 2, 0), (T[2], "a", 1, 0), (T[2], "b", 0, 0)]
+
+
+def test_late_snapshots_and_repeats_change_nothing(spark, folder):
+    batches = [[("a", T[1], 7, 0)], [("a", T[0], 5, 0), ("b", T[0], 5, 0)], [("a", T[1], 7, 0)], [("a", T[2], 8, 0)]]
+    got = changes(spark, folder, batches, "5 days")
+    # within the watermark the late row of another id counts; behind its own newest row nothing does
+    assert got == [(T[0], "b", 5, 0), (T[1], "a", 7, 0), (T[2], "a", 1, 0)]
+    assert changes(spark, f"{folder}/strict", [[("a", T[1], 7, 0)], [("c", T[2], 1, 0)], [("b", T[0], 5, 0)], [("a", T[2], 8, 0)]]) == [
+        (T[1], "a", 7, 0), (T[2], "a", 1, 0), (T[2], "c", 1, 0),
+    ]
+
+
+def test_state_goes_when_an_id_skips_a_snapshot(spark, folder):
+    far = datetime(2025, 3, 1)
+    batches = [[("a", T[0], 5, 0), ("b", T[0], 5, 0)], [("b", T[1], 6, 0)], [("b", far, 1, 0)], [("b", far + timedelta(days=1), 1, 0)]]
+    changes(spark, folder, batches)
+    left = spark.read.format("statestore").option("stateVarName", "last").load(f"{folder}/offsets")
+    assert [r.key[0] for r in left.collect()] == ['{"id":"b"}']

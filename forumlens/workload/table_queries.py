@@ -101,24 +101,31 @@ def community_from_path(spark, sf):
     return B.table(spark, sf, "documents").select("doc_id", raw.community_from_path(path).alias("community"))
 
 
-@query("B25", """SELECT CASE WHEN doc_id % 5 < 3 THEN doc_id::VARCHAR END AS post_id, CASE WHEN doc_id % 5 < 3 AND doc_id % 3 = 0 THEN 7 END::INTEGER AS views,
-    CASE WHEN doc_id % 5 < 3 THEN CASE WHEN doc_id % 2 = 0 THEN doc_id::BIGINT END END AS comment_id, doc_id % 5 < 3 AS good FROM documents""")
+@query("B25 A1", """WITH d AS (SELECT doc_id, doc_id % 5 AS kind FROM documents)
+    SELECT CASE WHEN kind < 3 THEN doc_id::VARCHAR END AS post_id, CASE WHEN kind < 3 AND doc_id % 3 = 0 THEN 7 END::INTEGER AS views,
+    CASE WHEN kind < 3 THEN CASE WHEN doc_id % 2 = 0 THEN doc_id::BIGINT END END AS comment_id, CASE WHEN kind < 3 THEN 2 END::INTEGER AS comments,
+    CASE kind WHEN 3 THEN 'no object' WHEN 4 THEN 'malformed' END AS reason, NULL AS odd FROM d
+    UNION ALL SELECT doc_id::VARCHAR, NULL, NULL, NULL, 'comment', '5' FROM d WHERE kind < 3 AND doc_id % 7 = 0""")
 def corrupt_records(spark, sf):
-    """Two documents in five are JSON null or cut off; others have counters out of range and ids of no number."""
+    """Two documents in five are JSON null or cut off; others have counters out of range and ids of no number, or a comment that is none."""
     path = new_path(spark, "mixed")
-    odd = F.col("doc_id") % 2 != 0
-    comment = F.struct(F.when(odd, "none").otherwise(F.col("doc_id").cast("string")).alias("comment_id"), F.lit("x").alias("content"))
-    views = F.when(F.col("doc_id") % 3 == 0, F.lit(7).cast("long")).otherwise(F.lit(7 << 40))
-    whole = F.to_json(F.struct(F.col("doc_id").alias("post_id"), F.col("text").alias("content"), views.alias("view_count"), F.array(comment).alias("comments")))
-    kind = F.col("doc_id") % 5
+    number = F.col("doc_id")
+    comment = F.to_json(F.struct(F.when(number % 2 != 0, "none").otherwise(number.cast("string")).alias("comment_id"), F.lit("x").alias("content")))
+    between = F.when(number % 7 == 0, ",5,").otherwise(",")
+    views = F.when(number % 3 == 0, F.lit(7).cast("long")).otherwise(F.lit(7 << 40))
+    post = F.to_json(F.struct(number.alias("post_id"), F.col("text").alias("content"), views.alias("view_count")))
+    whole = F.concat(F.rtrim(post, F.lit("}")), F.lit(',"comments":['), comment, between, comment, F.lit("]}"))
+    kind = number % 5
     line = F.when(kind == 3, "null").when(kind == 4, F.substring(whole, 1, 12)).otherwise(whole)
     lines = B.table(spark, sf, "documents").select(line.alias("value"), F.col("source").alias("community"))
     lines.write.partitionBy("community").text(path)
     posts, rejects = raw.read_raw_posts(spark, path, one_per_file=False, glob="*.txt")
-    good = posts.select("post_id", F.col("view_count").alias("views"), F.col("comments")[0]["comment_id"].alias("comment_id"), F.lit(True).alias("good"))
-    assert good.count() == posts.count()
-    none = [F.lit(None).cast(t).alias(n) for n, t in (("post_id", "string"), ("views", "int"), ("comment_id", "long"))]
-    return good.unionByName(rejects.select(*none, F.lit(False).alias("good")))
+    first = F.col("comments")[0]["comment_id"]
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("views", "int"), ("comment_id", "long"), ("comments", "int"))]
+    good = posts.select(
+        "post_id", F.col("view_count").alias("views"), first.alias("comment_id"), F.size("comments").alias("comments"),
+        F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("odd"))
+    return good.unionByName(rejects.select("post_id", *none, "reason", F.when(F.col("reason") == "comment", F.col("document")).alias("odd")))
 
 
 @query("A4 A5", "SELECT DISTINCT source AS id FROM documents UNION SELECT 'doc_' || doc_id FROM documents")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forumlens import schemas
 from forumlens.operators.posts import conform
+from forumlens.sources.isolated import ERROR, FILE, read_isolated
 
 
 def read_optional(spark: SparkSession, *paths: str) -> DataFrame | None:
@@ -82,25 +83,21 @@ def rewrite_prefix(
 ) -> int:
     """Rewrite every Parquet file below one prefix to another in one job (A11); how many files gave no row.
 
-    A file that is not Parquet does not stop the others; with ``schema`` no file is opened to find
-    the columns. Files that gave no row, damaged or empty, are listed in ``skipped`` with their
-    size, by default beside the target.
+    Each file is read by itself: one that is cut off, damaged anywhere or of other types gives none of its rows and
+    stops no other. Such files, and those without rows, are listed in ``skipped`` with the reason, by default beside
+    the target. A task reads one file, so a narrow ``transform`` gives one output for each input. The list is taken from the
+    written pass itself; it holds a row per unreadable file. Without ``schema`` the readable files tell the columns.
     """
-    below = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
-    files = spark.read.options(**below)
-    files = files.schema(schema) if schema else files
-    rows = files.option("ignoreCorruptFiles", True).parquet(source)
-    transform(rows).write.mode("overwrite").parquet(target)
-    listed = spark.read.options(**below).format("binaryFile").load(source).select(_plain("path").alias("path"), "length")
-    read = rows.select(_plain("_metadata.file_path").alias("path")).distinct()
-    skipped = skipped or f"{target}.skipped"
-    listed.join(read, "path", "left_anti").write.mode("overwrite").parquet(skipped)
-    return spark.read.parquet(skipped).count()
-
-
-def _plain(path: str) -> Column:
-    """A file path without its scheme, which readers write in different ways."""
-    return F.regexp_replace(F.url_decode(F.col(path)), "^[a-z0-9]+:/+", "/")
+    if schema is None:
+        below = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet", "ignoreCorruptFiles": "true"}
+        schema = spark.read.options(**below).parquet(source).schema
+    failed = Observation()
+    damaged = F.when(F.col(ERROR).isNotNull(), F.struct(F.col(FILE).alias("path"), F.col(ERROR).alias("reason")))
+    read = read_isolated(spark, source, schema).observe(failed, F.collect_set(damaged).alias("files"))
+    transform(read.where(F.col(ERROR).isNull()).select(*schema.names)).write.mode("overwrite").parquet(target)
+    files = [(r["path"], r["reason"]) for r in failed.get["files"]]
+    spark.createDataFrame(files, "path string, reason string").write.mode("overwrite").parquet(skipped or f"{target}.skipped")
+    return len(files)
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyarrow.fs import FileSelector
 from pyspark.sql import functions as F
 
 from forumlens.functions import fields, lexicon, text
 from forumlens.operators import sentences as S
 from forumlens.operators import sentiment
 from forumlens.plans import jobs
-from forumlens.sources import tables
+from forumlens.sources import isolated, tables
 from forumlens.runtime import new_path
 from forumlens.workload import bindings as B
 from forumlens.workload.bindings import with_views
@@ -182,12 +183,26 @@ def sentiment_counts(spark, sf):
     return sentiment.sentiment_counts(sentence_sentiment(spark, sf))
 
 
-@query("A11 M5", with_views(f"SELECT id, {_score_sql()} AS sentiment FROM sentence", "sentence"))
+def _damage(spark, folder):
+    """Beside a good Parquet file of the folder: one cut off, one with other bytes in a page, one without any."""
+    system, root = isolated.opened(folder)
+    good = next(f.path for f in system.get_file_info(FileSelector(root, recursive=True)) if f.path.endswith(".parquet"))
+    whole = system.open_input_file(good).read()
+    page = whole[:200] + bytes(byte ^ 255 for byte in whole[200:260]) + whole[260:]
+    for name, content in (("cut", whole[: len(whole) // 2]), ("page", page), ("empty", b"")):
+        with system.open_output_stream(f"{root}/{name}.parquet") as out:
+            out.write(content)
+
+
+@query("A11 M5", with_views(f"SELECT id, {_score_sql()} AS sentiment FROM sentence UNION ALL SELECT 'files left out', 3", "sentence"))
 def rewrite_prefix(spark, sf):
+    """Three damaged files lie among the good ones; they are listed and stop none."""
     source, target = new_path(spark, "sentence"), new_path(spark, "sentiment")
     _sentences(spark, sf).write.parquet(f"{source}/part")
+    _damage(spark, source)
     jobs.run_sentiment(spark, source, target, sentiment.word_scorer(B.POSITIVE, B.NEGATIVE))
-    return spark.read.parquet(target).select("id", "sentiment")
+    listed = spark.read.parquet(f"{target}.skipped").agg(F.lit("files left out").alias("id"), F.count("*").cast("int").alias("sentiment"))
+    return spark.read.parquet(target).select("id", "sentiment").unionByName(listed)
 
 
 @query("H41", f"""SELECT doc_id, array_to_string(list_transform({B.split_sql('text')}, lambda s, i: i || '번째 문장 >> "' || s || '"'), chr(10)) AS request FROM documents""")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.functions.inverted import tagger
 from forumlens.functions.lexicon import Lexicon, tag_keywords
 from forumlens.functions.text import clean_text, is_from_post, is_long_enough, split_sentences
 
@@ -75,3 +76,14 @@ def keyword_rows(sentences: DataFrame, lexicon: Lexicon, distinct: bool = False)
     """One row per tag; sentences without a tag vanish."""
     tags = tag_keywords(F.col("sentence"), lexicon, distinct)
     return sentences.select(F.col("id").alias("sentence_id"), F.inline(tags))
+
+
+def inverted_keyword_rows(sentences: DataFrame, lexicon: Lexicon, distinct: bool = False) -> DataFrame:
+    """The rows of ``keyword_rows`` for lexicons of thousands of entries.
+
+    ``keyword_rows`` is an expression that looks for every entry in every sentence, so its cost grows with their
+    product; here substrings are looked up among the entries, at one cost for any number of them. The caller
+    chooses: the expression is faster up to a few hundred entries.
+    """
+    upper = sentences.select(F.col("id").alias("sentence_id"), F.upper("sentence").alias("upper"))
+    return upper.mapInArrow(tagger(lexicon, distinct), "sentence_id string, category string, keyword string")

@@ -19,8 +19,13 @@ LEXICON = {
     "price": ["HEIT", "KEIT", "LICH", "HEIT"],
     "fault": ["AS", "ESC", "CIÓN"],
 }
-# A long lexicon by rule: every consonant with every vowel and ending.
-LONG_LEXICON = {f"c{vowel}": [c + vowel + end for c in "BCDFHLMNPRST" for end in ("", "N")] for vowel in "AEIOU"}
+# A lexicon of 5,000 entries by rule: consonants around every vowel, with and without endings.
+_CONSONANTS = "BCDFGHLMNPRSTV"
+LONG_LEXICON = {
+    f"c{vowel}": [a + vowel + end for a in "BCDFHLMNPRST" for end in ("", "N")]
+    + [a + vowel + b + end for a in _CONSONANTS for b in _CONSONANTS for end in ("", "A", "E", "I", "O")]
+    for vowel in "AEIOU"
+}
 BATCH_TIME = datetime(2024, 1, 16)
 BEFORE_TIME = datetime(2024, 1, 15)
 POSITIVE, NEGATIVE = ["ation", "heit", "ment", "ción"], ["ed ", "schaft", "aux", "ada"]

@@ -145,7 +145,7 @@ def keyword_counts(spark, sf):
     f"""SELECT category, keyword, count(*) AS tags FROM sentence JOIN (VALUES {B.lexicon_sql(B.LONG_LEXICON)}) l(ord, category, keyword)
     ON contains(upper(replace(sentence, 'ß', 'SS')), keyword) GROUP BY 1, 2""", "sentence"))
 def long_lexicon_counts(spark, sf):
-    return S.keyword_rows(_sentences(spark, sf), B.LONG_LEXICON).groupBy("category", "keyword").agg(F.count(F.lit(1)).alias("tags"))
+    return S.inverted_keyword_rows(_sentences(spark, sf), B.LONG_LEXICON).groupBy("category", "keyword").agg(F.count(F.lit(1)).alias("tags"))
 
 
 @query("B17", "SELECT id, title FROM (" + B.SQL["posts"] + ") WHERE contains(title, 'ation') OR contains(title, 'heit') OR contains(title, 'ment')")

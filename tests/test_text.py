@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from forumlens.functions import lexicon, text
+from forumlens.functions import inverted, lexicon, text
 from forumlens.operators import sentences as S
 from pyspark.sql import functions as F
 
@@ -131,6 +131,42 @@ def test_long_lexicons_are_tagged_as_short_ones(spark):
     assert tags == [("a", c, w) for c, listed in words.items() for w in listed if w in upper]
 
 
+WORDS = {"one": ["AS", "GAS", "AS"], "two": ["디자인", "자", "😀x", "x😀"], "three": ["A", "AA", "AAA", "GAS 디"], "four": [], "five": ["a", "SS"]}
+TEXTS = ["gas 디자인 tank", "", None, "aaaa", "straße", "😀x😀X x😀", "as", "a\nas " * 3, "자", "ga" + "s"]
+
+
+@pytest.mark.parametrize("segment", [inverted.SEGMENT, 3, 1])
+@pytest.mark.parametrize("distinct", [False, True])
+def test_inverted_lexicons_find_what_the_expression_finds(spark, segment, distinct, monkeypatch):
+    df = spark.createDataFrame([(str(n), t) for n, t in enumerate(TEXTS)], "id string, sentence string").coalesce(1)
+    want = [tuple(r) for r in S.keyword_rows(df, WORDS, distinct).collect()]
+    assert [tuple(r) for r in S.inverted_keyword_rows(df, WORDS, distinct).collect()] == want
+    monkeypatch.setattr(inverted, "SEGMENT", segment)
+    built = inverted.InvertedLexicon(WORDS, distinct)
+    upper = [r[0] for r in df.select(F.upper("sentence")).collect()]
+    text, entry = built.find(upper)
+    assert [(str(t), *built.entries[e]) for t, e in zip(text, entry)] == want
+
+
+def test_inverted_lexicons_compare_words_of_one_hash(monkeypatch):
+    monkeypatch.setattr(inverted, "_BASE", 1)  # a word and its anagrams have one hash
+    built = inverted.InvertedLexicon({"c": ["AB", "BA", "ABC", "CAB", "BCA"]})
+    text, entry = built.find(["xBAx", "BCAB", "AAB", "", "CB"])
+    assert [(t, built.entries[e][1]) for t, e in zip(text, entry)] == [(0, "BA"), (1, "AB"), (1, "CAB"), (1, "BCA"), (2, "AB")]
+
+
+def test_inverted_lexicons_without_entries_and_of_thousands(spark):
+    df = spark.createDataFrame([(str(n), f"Text number W{n} ends.") for n in range(300)], "id string, sentence string")
+    assert S.inverted_keyword_rows(df, {}).count() == 0 and S.inverted_keyword_rows(df.limit(0), WORDS).count() == 0
+    many = {"n": [f"W{n}" for n in range(4000)]}
+    got = sorted((r.sentence_id, r.keyword) for r in S.inverted_keyword_rows(df, many).collect())
+    assert got == sorted((str(n), f"W{m}") for n in range(300) for m in {int(str(n)[:k]) for k in range(1, len(str(n)) + 1)})
+
+
 def test_an_empty_keyword_is_refused():
     with pytest.raises(ValueError, match="empty keyword in two"):
         lexicon.lexicon_entries({"one": ["A"], "two": ["B", ""]})
+    with pytest.raises(ValueError, match="empty keyword in two"):
+        inverted.tagger({"one": ["A"], "two": ["B", ""]})
+    with pytest.raises(ValueError, match="empty keyword in two"):
+        lexicon.lexicon_entries({"one": ["A"], "two": ["B", ""]})

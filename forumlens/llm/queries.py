@@ -137,10 +137,9 @@ template_terms AS (
   SELECT count(*) AS n FROM (SELECT DISTINCT doc_id, path, nth FROM line_terms)
 ), vocabulary AS (
   SELECT v.term, ln((1 + (SELECT n FROM total))::DOUBLE / (1 + count(t.term))) AS w
-  FROM (SELECT DISTINCT term FROM template_terms) v LEFT JOIN line_terms t ON t.term = v.term GROUP BY v.term
+  FROM (SELECT term FROM template_terms UNION SELECT term FROM line_terms) v LEFT JOIN line_terms t ON t.term = v.term GROUP BY v.term
 ), norms AS (
-  SELECT doc_id, path, nth, sqrt(sum(tf * tf * power(coalesce(w, ln((1 + (SELECT n FROM total))::DOUBLE)), 2))) AS norm
-  FROM line_terms LEFT JOIN vocabulary USING (term) GROUP BY ALL
+  SELECT doc_id, path, nth, sqrt(sum(tf * tf * w * w)) AS norm FROM line_terms JOIN vocabulary USING (term) GROUP BY ALL
 ), template_norms AS (
   SELECT license, sqrt(sum(tf * tf * w * w)) AS norm FROM template_terms JOIN vocabulary USING (term) GROUP BY license
 ), cosines AS (

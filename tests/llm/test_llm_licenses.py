@@ -25,9 +25,24 @@ def test_own_lines_and_nearest_directories(spark):
     assert got[5].from_path == "a/b/c/copying.txt" and got[6].cosine == 1.0
 
 
+#: Ordinary lines, in which the words that notices share with any text are as common as they are in any corpus.
+PROSE = "the work of a public house is under way\nthis version of the idea is general and for the most part subject to the forms of use\nfishing is licensed in the lake\n" + FILLER
+
+
 def test_texts_that_only_share_words_are_left_alone(spark):
-    got = run(spark, [("a/x", "the work is under a public version of the general idea of licensed fishing"), ("a/y", "License"), ("a/z", FILLER)] + [(f"n/{i}", FILLER) for i in range(40)])
-    assert {r.license for r in got.values()} == {None}
+    shared = "the work is under a public version of the general idea of licensed fishing"
+    texts = [shared, "License", FILLER, GPL, *[PROSE] * 40]
+    got = run(spark, [(f"a/{n}", t) for n, t in enumerate(texts)])
+    assert {n for n, r in got.items() if r.license} == {3} and got[3].license == "GPL-3.0"
+    assert plain_cosines(texts)[0] < 0.5
+
+
+def test_words_no_other_line_holds_weigh_as_much_as_the_definition_says(spark):
+    """Among lines without any of its words a text is near a notice by the words it shares: the weights are those of the corpus."""
+    texts = ["the work is under a public version of the general idea of licensed fishing", "License", *[FILLER] * 41]
+    got = run(spark, [(f"a/{n}", t) for n, t in enumerate(texts)])
+    want = plain_cosines(texts)
+    assert {n: round(r.cosine, 5) for n, r in got.items() if r.license} == {n: round(c, 5) for n, c in enumerate(want) if c >= licenses.LEAST_COSINE}
 
 
 def test_changed_notices_are_still_found(spark):

@@ -38,13 +38,13 @@ def scan_raw_posts(
     rest of its post stays, whichever columns a query reads. The same holds for a comment: one that is no object
     is set aside and its neighbours stay. What is no post is kept as text with the reason.
     """
-    reader = spark.read.option("wholetext", one_per_file).option("pathGlobFilter", glob)
+    reader = spark.read.format("text").option("wholetext", one_per_file).option("pathGlobFilter", glob)
     if base:
         reader = reader.option("basePath", base)
-    read = reader.text(path)
+    read = reader.load(path)
     file = F.col("_metadata.file_path")
     if "community" not in read.columns:
-        flat = reader.option("recursiveFileLookup", True).text(path)
+        flat = reader.option("recursiveFileLookup", True).load(path)
         read = flat.withColumns({"community": community_from_path(file), "car_id": car_from_path(file)})
     lines = read.withColumn("path", file)
     return _typed(lines if one_per_file else lines.where(F.trim("value") != ""))

@@ -110,9 +110,10 @@ def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seen_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").where("doc_id % 4 = 0").select(
-        F.concat("source", F.lit("_post_"), "doc_id").alias("id")
-    )
+    """Every fourth post and the first comment of others are known."""
+    docs = table(spark, sf, "documents")
+    known = docs.where("doc_id % 4 = 0").select(F.concat("source", F.lit("_post_"), "doc_id").alias("id"))
+    return known.unionByName(docs.where("doc_id % 4 = 1").select(F.concat("source", F.lit("_comment_"), F.col("doc_id") * 100000).alias("id")))
 
 
 def snapshot(spark: SparkSession, sf: str, until: datetime) -> DataFrame:
@@ -179,7 +180,8 @@ SQL = {
         CASE WHEN i % 3 <> 0 THEN i::INTEGER END AS upvote_count, 0 AS downvote_count
         FROM (SELECT *, unnest(lines[2:]) AS line, unnest(range(len(lines) - 1)) AS i
               FROM (SELECT *, string_split(content, chr(10)) AS lines FROM raw_posts))""",
-    "seen_ids": "SELECT source || '_post_' || doc_id AS id FROM documents WHERE doc_id % 4 = 0",
+    "seen_ids": """SELECT source || '_post_' || doc_id AS id FROM documents WHERE doc_id % 4 = 0
+        UNION ALL SELECT source || '_comment_' || doc_id * 100000 FROM documents WHERE doc_id % 4 = 1""",
     "snapshots": """SELECT 'post_' || user_id AS id, t AS extracted_at,
         count(*) FILTER (event_type = 'view')::INTEGER AS view_count,
         count(*) FILTER (event_type = 'purchase')::INTEGER AS upvote_count,

@@ -59,13 +59,15 @@ def unseen_posts(spark, sf):
     return _combined(spark, sf)["post_static"]
 
 
-@query("C7 D13 M1", with_views("SELECT DISTINCT id, post_id, content, is_reply, created_at FROM raw_comments", "raw_comments"))
+@query("C7 D13 M1", with_views(
+    """SELECT DISTINCT id, post_id, content, is_reply, created_at FROM raw_comments c
+    WHERE NOT EXISTS (SELECT 1 FROM seen_ids s WHERE s.id = c.id)""", "raw_comments", "seen_ids"))
 def unseen_comments(spark, sf):
     return _combined(spark, sf)["comment_static"]
 
 
 @query("A5 M1", with_views(
-    "SELECT DISTINCT id FROM raw_posts WHERE id NOT IN (SELECT id FROM seen_ids) UNION ALL SELECT DISTINCT id FROM raw_comments",
+    "SELECT DISTINCT id FROM (SELECT id FROM raw_posts UNION ALL SELECT id FROM raw_comments) WHERE id NOT IN (SELECT id FROM seen_ids)",
     "raw_posts", "raw_comments", "seen_ids"))
 def new_ids(spark, sf):
     return _combined(spark, sf)["new_ids"]

@@ -41,8 +41,7 @@ STATES = 4
 FAR = 1 << 40  # no way
 NEXT = np.array([USER, USER, ASSISTANT, USER])  # the state that a row of the role wanted next leads to
 ENDING = np.array([0, 2 * INSERT, INSERT, 0])  # cost to the end behind the last row
-#: Letters of the edits; lower case where the role is an assistant's. ``audit`` folds them.
-CODES = "DIiKRr"
+#: Letters of the edits in ASCII order; lower case where the role is an assistant's. ``audit`` folds them.
 LETTER_RANK = {"D": 1, "I": 2, "i": 2, "K": 3, "R": 4, "r": 4}
 BLANKS = r"[\x20\x09-\x0D]"
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 URL = (r"https?://\S+", "<URL>")
 HANDLE = (r"(?<=\s|^)@[A-Za-z0-9_가-힣\-]+", "<USER>")
 EMAIL = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<EMAIL>")
-LAUGHS = "ㅋㅋㅋㅋ"
+HANGUL_SENTENCE_END = (r"([가-힣][.?!])(?=[가-힣0-9a-zA-Z])", "$1 ")
+LAUGHS = (r"ㅋ{4,}", "ㅋㅋㅋㅋ")
 MIN_SENTENCE_LENGTH = 6
 
 # Text without any of these passes the masking rules unchanged; one scan for them is cheaper than
@@ -17,8 +18,6 @@ MIN_SENTENCE_LENGTH = 6
 _MASKABLE = r"[@\xa0]|://|&nbsp;"
 # Runs that are not already one space. Matching only those leaves the common case uncopied.
 _WHITESPACE_RUN = r"\s\s+|[\t\n\x0B\f\r]"
-# A space goes in between a Hangul sentence end and the text that follows it.
-_HANGUL_SENTENCE_END = r"(?<=[가-힣][.?!])(?=[가-힣0-9a-zA-Z])"
 _SENTENCE_BREAK = r"(?<=[.!?]) +"
 
 
@@ -49,12 +48,13 @@ def collapse_whitespace(text: Column) -> Column:
 
 
 def space_sentence_ends(text: Column) -> Column:
-    return F.regexp_replace(text, _HANGUL_SENTENCE_END, " ")
+    """A space between a Hangul sentence end and the text that follows it."""
+    return _replace(text, HANGUL_SENTENCE_END)
 
 
 def cap_laughs(text: Column) -> Column:
     """No more than four in a row."""
-    return F.regexp_replace(text, f"{LAUGHS}ㅋ+", LAUGHS)
+    return _replace(text, LAUGHS)
 
 
 def clean_text(text: Column, strict: bool = False) -> Column:

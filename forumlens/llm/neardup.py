@@ -11,7 +11,9 @@ candidates are still in different components, every member outside the leaf's la
 members sent there. Links are joined to components by star contraction.
 
 A node that does not get small in ``LEVELS`` levels holds members alike in that many tokens. It is cut into leaves by
-hash, and a few of its members are pivots in all of them, so that the parts stay connected.
+hash, and a few of its members are pivots in all of them, which joins a family of near copies in one pass. What is
+then still outside the node's largest component meets every member: both sides are dealt in parts, and each pair of
+parts is a leaf. So no pair of a cut node is left out; the work is the members outside times all members, in blocks.
 
 Cases: A-Z are lower-cased; null texts and texts without words have no shingles, are linked with nothing, and
 are their own component if their ``doc_id`` is null too. Rows repeated share a component. A null ``doc_id`` is
@@ -107,8 +109,8 @@ def _branch(members: DataFrame) -> DataFrame:
     return members.select("node", "row", "tokens").mapInArrow(step, "node long, row long")
 
 
-def leaves(signed: DataFrame, left_out: DataFrame, trees: int = TREES) -> DataFrame:
-    """``node`` and ``row`` of every leaf of at least two members.
+def leaves(signed: DataFrame, left_out: DataFrame, trees: int = TREES) -> tuple[DataFrame, DataFrame | None]:
+    """``node`` and ``row`` of every leaf of at least two members, and of the nodes that were cut into leaves, if any.
 
     ``signed`` has ``row`` and ``tokens``; the rows in ``left_out`` are dropped as narrow members, which spares
     a shuffle of the tokens.
@@ -124,10 +126,10 @@ def leaves(signed: DataFrame, left_out: DataFrame, trees: int = TREES) -> DataFr
         done = small if done is None else done.unionByName(small)
         members = members.where(F.col("size") > LEAF)
         if members.isEmpty():
-            return done
+            return done, None
         if level < LEVELS:
             members = materialize(_branch(members.join(signed.select("row", "tokens"), "row")), "path-members")
-    return done.unionByName(_cut(members))
+    return done.unionByName(_cut(members)), members.select("node", "row")
 
 
 def _cut(members: DataFrame) -> DataFrame:
@@ -141,6 +143,32 @@ def _cut(members: DataFrame) -> DataFrame:
     return dealt.select(F.xxhash64("node", "part").alias("node"), "row")
 
 
+def across(deep: DataFrame, roots: DataFrame) -> DataFrame:
+    """Leaves (``node``, ``row``, ``root``) in which members of cut nodes outside the largest component meet all members.
+
+    Half a leaf are members outside, half are any members; every pair of such halves is a leaf of its own.
+    """
+    rooted = deep.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    rooted = materialize(rooted, "path-deep")
+    by_root = rooted.groupBy("node", "root").agg(F.count("*").alias("n"))
+    largest = by_root.groupBy("node").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size")).where("main.n < size")
+    half = LEAF // 2
+    # one row per cut node, written apart so that the join can split a node
+    largest = materialize(
+        largest.select("node", F.col("main.root").alias("main"), F.ceil((F.col("size") - F.col("main.n")) / half).alias("asking"), F.ceil(F.col("size") / half).alias("asked")),
+        "path-largest",
+    )
+    members = rooted.join(largest, "node")
+    own = F.xxhash64("row", "node")
+
+    def dealt(rows: DataFrame, mine: str, other: str) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
+        return rows.select("node", "row", "root", F.pmod(own, F.col(mine)).alias(mine), each)
+
+    met = dealt(members, "asked", "asking").unionByName(dealt(members.where("root != main"), "asking", "asked"))
+    return met.select(F.xxhash64("node", "asking", "asked").alias("node"), "row", "root").distinct()
+
+
 def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Sorted batches (``node`` first), cut so that no node is split."""
     held: list[pa.RecordBatch] = []
@@ -273,7 +301,8 @@ def classes_of(docs: DataFrame, trees: int = TREES, percent: int = SIMILARITY) -
     narrow = signed.select("row", "doc_id", "file", "at", *keys).join(first, keys, "left")
     narrow = materialize(narrow.select("row", "doc_id", "file", "at", "n_shingles", F.coalesce("class", "row").alias("class")), "path-classes")
     copies = narrow.where("row != class or n_shingles = 0").select("row")
-    found = materialize(leaves(signed, copies, trees), "path-leaves")
+    small, deep = leaves(signed, copies, trees)
+    found = materialize(small, "path-leaves")
     places = narrow.select("row", "file", "at")
 
     alone = found.withColumn("root", F.col("row"))
@@ -293,13 +322,22 @@ def classes_of(docs: DataFrame, trees: int = TREES, percent: int = SIMILARITY) -
     if not open_rows.isEmpty():
         both = open_rows.select("node", "row").unionByName(open_rows.select("node", F.col("other").alias("row"))).distinct()
         again = both.join(still, ["node", "row"]).join(grams, "row")  # all of them were candidates before
-        further = materialize(confirmed(again, percent), "path-links")
-        roots = materialize(components(links.unionByName(further)), "path-roots")
+        links = links.unionByName(materialize(confirmed(again, percent), "path-links"))
+        roots = materialize(components(links), "path-roots")
+    if deep is not None:
+        met = materialize(across(deep, roots), "path-across")
+        pairs = materialize(candidates(met, signed).select("node", "row", "other"), "path-across-candidates")
+        if not pairs.isEmpty():
+            both = pairs.select("node", "row").unionByName(pairs.select("node", F.col("other").alias("row"))).distinct()
+            unread = both.select("row").distinct().join(grams.select("row"), "row", "left_anti")
+            grams = grams.unionByName(materialize(sets(docs, places.join(unread, "row")), "path-sets"))
+            links = links.unionByName(materialize(confirmed(both.join(met, ["node", "row"]).join(grams, "row"), percent), "path-links"))
+            roots = materialize(components(links), "path-roots")
 
     named = narrow.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     named = materialize(named.select("row", "file", "at", "doc_id", "n_shingles", "root"), "path-named")
     order = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    leads = named.groupBy("root").agg(order.alias("lead"))
+    leads = materialize(named.groupBy("root").agg(order.alias("lead")), "path-leads")  # apart, so that the join can split a component
     return named.join(leads, "root").select(
         "file", "at", "doc_id", "n_shingles", F.col("lead.doc_id").alias("component_id"), (F.col("row") == F.col("lead.row")).alias("stays")
     )

@@ -87,6 +87,36 @@ def test_nodes_that_stay_large_are_cut_and_tied_by_pivots(documents, monkeypatch
     assert found(documents(*texts.items())) == expected(texts)
 
 
+def test_no_link_is_lost_in_a_node_that_stays_large(documents, monkeypatch):
+    """A family whose members share a long template (similarity 0.70 each), with pairs in it at 0.77."""
+    monkeypatch.setattr(neardup, "LEAF", 128)
+    template = [f"t{i}" for i in range(504)]  # 500 shingles; an own part of k words adds k more
+    texts = {}
+    for i in range(2400):
+        texts[i] = " ".join(template + [f"own{i}x{j}" for j in range(107)])
+    for i in range(0, 600, 2):  # the second of a pair shares 46 words of the first's own part
+        first = texts[i].split()
+        texts[i + 1] = " ".join(first[:550] + [f"own{i + 1}x{j}" for j in range(61)])
+    sets = {i: shingles(texts[i]) for i in range(6)}
+    assert 0.69 < len(sets[0] & sets[2]) / len(sets[0] | sets[2]) < 0.72
+    assert 0.75 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.83
+    got = found(documents(*texts.items(), files=4))
+    assert {i: root for i, (_, root) in got.items()} == {i: i - 1 if i % 2 and i < 600 else i for i in texts}
+
+
+def test_members_outside_the_largest_component_meet_all_members(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "LEAF", 8)
+    deep = spark.createDataFrame([(1, i) for i in range(50)] + [(2, i) for i in range(20)], "node long, row long")
+    roots = spark.createDataFrame([(i, 0) for i in range(40)], "node long, root long")
+    together = {}
+    for r in neardup.across(deep, roots).collect():
+        assert r.root == (0 if r["row"] < 40 else r["row"])
+        together.setdefault(r.node, set()).add(r["row"])
+    met = {(a, b) for rows in together.values() for a in rows for b in rows if a < b}
+    assert met >= {(a, b) for a in range(50) for b in range(40, 50) if a < b}
+    assert max(map(len, together.values())) < 30  # the node of one component needs no leaf
+
+
 def test_repeated_rows_null_ids_and_one_of_each(documents):
     rows = [(7, "the same words in this text here")] * 3 + [(None, "the same words in this text here"), (9, "alone stands this other short text"), (None, None), (8, None)]
     frame = documents(*rows)

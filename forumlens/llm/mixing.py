@@ -6,12 +6,13 @@ the order of their keys, as long as their summed sizes stay within the rest. The
 taken if that ends nearer the target.
 
 The sum over a source's order is taken in levels: words are summed by key cell, the cell in which the rest
-ends is cut finer, and only the documents of that last cell are sorted. So a source that holds most rows
-is never brought into one task, and only the cells of a source are summed in order.
+ends is cut finer, and only the places (key, id and size) of that last cell are sorted, each once with its number
+of rows. So a source that holds most rows is never brought into one task, nor is a place that holds them.
 
 Cases: a null text has no words, a null source is a source (last in order), a null ``doc_id`` has the key of
-the empty string. Equal rows share a key and are taken together. Sources without words have target 0. Columns
-of the input other than those named are not looked at.
+the empty string. Equal rows share a place; if the rest ends among them, as many of them are taken as end nearest
+the target, those with the smallest hash of their columns first. Sources without words have target 0. Columns of the
+input other than those named are not looked at.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def _cell(cells: int) -> Column:
 
 
 def cuts(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Where each source's last epoch ends: ``epochs``, the fine ``cell`` and the ``last`` row taken in it."""
+    """Where each source's last epoch ends: ``epochs``, the fine ``cell``, the ``last`` place taken in it, how many rows of that (``some`` of ``rows``)."""
     epochs = F.coalesce(F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))), F.lit(0))
     plan = wanted.withColumn("epochs", epochs.cast("long")).withColumn(
         "rest", F.col("target") - F.col("epochs") * F.col("source_size")
@@ -90,13 +91,16 @@ def cuts(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     coarse = materialize(_border(sizes, plan.withColumn("before", F.lit(0).cast("long")), COARSE), "mix-coarse")
     inside = _in_cell(sizes, coarse, COARSE)
     fine = materialize(_border(inside, coarse.drop("cell"), FINE), "mix-fine")
-    place = F.struct("key", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size")
-    order = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    border = _in_cell(sizes, fine, FINE).withColumn("place", place).withColumn("upto", F.sum("size").over(order))
-    taken = border.where(F.col("before") + F.col("upto") - F.col("size") / 2 <= F.col("rest"))
-    last = taken.groupBy("source").agg(F.max("place").alias("last")).withColumnRenamed("source", "_source")
+    order = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    border = _in_cell(sizes, fine, FINE).groupBy("source", "before", "rest", _place().alias("place")).agg(F.count("*").alias("rows"))
+    words = F.col("place.size")
+    short = F.col("rest") - F.col("before") - F.coalesce(F.sum(F.col("rows") * words).over(order), F.lit(0))
+    # the n-th of equal rows is taken if the sum up to its middle stays within the rest
+    some = F.when(words == 0, F.col("rows")).otherwise(F.least(F.floor(short / words + 0.5), F.col("rows")))
+    taken = border.withColumn("some", some.cast("long")).where("some > 0")
+    last = taken.groupBy("source").agg(F.max(F.struct("place", "some", "rows")).alias("at")).withColumnRenamed("source", "_source")
     found = fine.join(last, fine["source"].eqNullSafe(last["_source"]), "left")
-    return materialize(found.select("source", "source_size", "target", "epochs", "cell", "last"), "mix-cuts")
+    return materialize(found.select("source", "source_size", "target", "epochs", "cell", F.col("at.place").alias("last"), "at.some", "at.rows"), "mix-cuts")
 
 
 def _border(rows: DataFrame, plan: DataFrame, cells: int) -> DataFrame:
@@ -118,21 +122,47 @@ def _in_cell(rows: DataFrame, plan: DataFrame, cells: int) -> DataFrame:
     return rows.join(own, rows["source"].eqNullSafe(own["_source"]) & (_cell(cells) == own["cell"])).drop("_source", "cell")
 
 
+def _place() -> Column:
+    return F.struct("key", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size")
+
+
+def _split() -> Column:
+    """Whether the rest ends among the rows of this place."""
+    return F.coalesce((F.col("some") < F.col("rows")) & (_place() == F.col("last")), F.lit(False))
+
+
 def _copies() -> Column:
-    place = F.struct("key", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size")
     at = _cell(FINE)
-    within = F.coalesce(at < F.col("cell"), F.lit(True)) | F.coalesce((at == F.col("cell")) & (place <= F.col("last")), F.lit(False))
+    within = F.coalesce(at < F.col("cell"), F.lit(True)) | F.coalesce((at == F.col("cell")) & (_place() <= F.col("last")), F.lit(False))
     # no cell: the whole rest is below it, which is a source without words
     return F.col("epochs") + F.when((F.col("size") > 0) & within & F.col("cell").isNotNull(), 1).otherwise(0)
 
 
+def _decided(rows: DataFrame, cut: DataFrame, by: list[Column]) -> DataFrame:
+    """``rows`` with the columns of ``cut`` and ``copies``; the equal rows among which a rest ends are numbered in the order of ``by``.
+
+    Only those rows are ranked, over all sources at once and by range, so their number does not matter. What a
+    source's rows begin with is one row per source.
+    """
+    cut = cut.withColumnRenamed("source", "_source")
+    found = rows.join(cut, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_among", _split())
+    plain = found.where(~F.col("_among")).withColumn("copies", _copies())
+    if cut.where("some < rows").isEmpty():
+        return plain
+    among = ranked(found.where("_among"), [F.col("_source").asc_nulls_last(), *by], "mix-equal", "_nth")
+    first = among.groupBy("_source").agg(F.min("_nth").alias("_first")).withColumnRenamed("_source", "_of")
+    among = among.join(first, F.col("_source").eqNullSafe(F.col("_of"))).withColumn(
+        "copies", F.when(F.col("_nth") - F.col("_first") < F.col("some"), _copies()).otherwise(F.col("epochs"))
+    )
+    return plain.unionByName(among.drop("_nth", "_of", "_first"))
+
+
 def mix(docs: DataFrame, **share) -> DataFrame:
     """One row per document: ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken``."""
     sizes = materialize(sizes_and_keys(docs), "mix-sizes")
-    cut = cuts(sizes, targets(sizes, **share)).withColumnRenamed("source", "_source")
-    found = sizes.join(cut, sizes["source"].eqNullSafe(cut["_source"]))
+    found = _decided(sizes, cuts(sizes, targets(sizes, **share)), [F.col("doc_id")])
     return found.select(
-        "doc_id", "source", "size", "source_size", "target", _copies().alias("copies"), (_copies() * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
@@ -141,9 +171,8 @@ def mixed(docs: DataFrame, **share) -> DataFrame:
     names = docs.columns
     sizes = materialize(sizes_and_keys(docs), "mix-sizes")
     cut = cuts(sizes, targets(sizes, **share))
-    cut = cut.select(F.col("source").alias("_source"), F.struct("epochs", "cell", "last").alias("_cut"))
     rows = docs.select(F.struct(*[docs[n] for n in names]).alias("_doc"), "doc_id", "source", "text")
-    rows = _keyed(rows).join(cut, F.col("source").eqNullSafe(F.col("_source")))
-    rows = rows.select("_doc", "doc_id", "size", "key", "_cut.*").withColumn("_copies", _copies().cast("int"))
-    taken = rows.where("_copies > 0").select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("_copies"))))
+    # rows that share a place differ in other columns only, or not at all
+    rows = _decided(_keyed(rows).withColumn("_whole", F.xxhash64("_doc")), cut, [F.col("_whole")])
+    taken = rows.where("copies > 0").select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return taken.select("_doc.*")

@@ -62,6 +62,19 @@ def test_nulls_empty_texts_repeats_and_long_texts(documents):
     assert next(r["size"] for r in found if r.doc_id == 5 and r.source == "long") == 100_000
 
 
+def test_a_rest_that_ends_among_equal_rows_takes_some_of_them(documents):
+    rows = [(1, "four words are here", "en", "a")] * 375 + [(i, f"word {i}", "en", "b") for i in range(2, 40)] + [(None, "no id " * 3, "en", None)] * 60
+    frame = documents(*rows)
+    found = checked(mixing.mix(frame))
+    assert len({r.copies for r in found if r.source == "a"}) == 2
+    decided = Counter()
+    for r in found:
+        decided[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in mixing.mixed(frame).collect()) == +decided
+    again = mixing.mix(frame.repartition(5)).collect()
+    assert Counter((r.doc_id, r.taken) for r in found) == Counter((r.doc_id, r.taken) for r in again)
+
+
 def test_sizes_follow_the_word_rule(documents):
     texts = ["a b c", "x\x0by\x0cz", "\x1f", "é è", "tab\tnew\nline"]
     found = mixing.mix(documents(*[(i, t, "en", "s") for i, t in enumerate(texts)])).collect()

@@ -8,10 +8,11 @@ The centroids are fitted on a bounded sample; every row is indexed. Rows are dea
 into blocks of bounded size, queries into chunks, and each block and chunk are compared as matrices, so no
 pair is ever a row and a common vector or cell is split. A block gives at most ``k`` rows a query.
 
-Cases: vectors that are null, zero, hold null or non-finite components, or are shorter than the longest
-take no part, neither as queries nor as candidates. Rows with the query's ``vec_id`` are not its candidates.
-Ties go to the smaller ``vec_id``; rows repeated are found as often. Null ids take no part. With few rows all
-are looked at. An empty table gives no rows.
+Cases: vectors that are null, zero, hold null or non-finite components, or are not of the commonest length (of
+equally common ones the longest) take no part, neither as queries nor as candidates. Rows with the query's
+``vec_id`` are not its candidates. Ties go to the smaller ``vec_id``; rows repeated are found as often, but ask
+once: an id asks with its vector, or with the first in order if its rows differ. Null ids take no part. With few
+rows all are looked at. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     odd = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & ~odd & F.exists("vector", lambda x: x != 0))
-    longest = rows.agg(F.max(F.size("vector"))).first()[0]
-    return rows.where(F.size("vector") == (longest or 0))
+    # one row per length is counted, and only the commonest comes back
+    commonest = rows.groupBy(F.size("vector").alias("wide")).agg(F.count("*").alias("n")).agg(F.max(F.struct("n", "wide"))).first()[0]
+    return rows.where(F.size("vector") == (commonest["wide"] if commonest else 0))
 
 
 def centroids(half: np.ndarray, many: int, rounds: int = 10) -> np.ndarray:
@@ -106,7 +108,8 @@ def search(
     total, tiles = int(held.sum()), held.sum(axis=1)
     blocks = np.maximum(-(-tiles // BLOCK_ROWS), 1)
     wanted = min(total, max(share * total, LEAST_ROWS))
-    chosen = indexed.where(F.col("vec_id") % every == 0)
+    # an id that is repeated asks once; the aggregate keeps one vector a task and id
+    chosen = indexed.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     chunks = max(-(-chosen.count() // CHUNK_QUERIES), 1)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 from llm_helpers import SF
@@ -10,10 +11,15 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
 def brute(rows, k=10):
-    wide = max((len(v) for _, v in rows if v), default=0)
-    ok = [(i, np.array(v, float)) for i, v in rows if i is not None and v and len(v) == wide and all(x is not None and math.isfinite(x) for x in v) and any(v)]
-    out = {}
+    ok = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    lengths = Counter(len(v) for _, v in ok)
+    wide = max(lengths, key=lambda n: (lengths[n], n), default=0)
+    ok = [(i, np.array(v, float)) for i, v in ok if len(v) == wide]
+    asking = {}
     for i, v in ok:
+        asking[i] = min(asking.get(i, v), v, key=tuple)
+    out = {}
+    for i, v in asking.items():
         if i % 100 == 0:
             near = sorted((float(np.sqrt(((v - w) ** 2).sum())), j) for j, w in ok if j != i)
             out[i] = near[:k]
@@ -47,6 +53,14 @@ def test_vectors_that_take_no_part(written):
     assert {q: [j for _, j in near] for q, near in got.items()} == {0: [1, 2]}
 
 
+def test_one_longer_vector_and_repeated_queries(written):
+    rows = vectors(300, 5) + [(7777, [1.0] * 6), (7800, [1.0] * 6)]
+    rows += [rows[0]] * 3 + [rows[7]] * 2 + [(100, [0.5, -0.5, 0.25, 1.0, 2.0])]
+    got, want = found(written([(i, v, 0) for i, v in rows], SCHEMA)), brute(rows)
+    assert set(got) == {0, 100, 200} and all(len(near) == 10 for near in got.values())
+    assert {q: [j for _, j in near] for q, near in got.items()} == {q: [j for _, j in near] for q, near in want.items()}
+
+
 def test_ties_copies_and_one_hot_cell(written, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 64)
     monkeypatch.setattr(ann, "CHUNK_QUERIES", 2)

@@ -112,16 +112,24 @@ class Model:
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
-    """Up to ``rows`` labelled texts, evenly over the languages, those with the smallest hash of their id."""
+    """Up to ``rows`` labelled texts, evenly over the languages, those with the smallest hash of their id.
+
+    Rows are numbered, not ids: of an id that is repeated as many texts are taken as have a place, and no more
+    than ``rows`` texts reach the driver however often an id occurs.
+    """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    # the hash of the text lets any scan order the rows of an id alike
+    labelled = labelled.select("doc_id", "lang", "text", F.xxhash64("text").alias("digest"))
     languages = labelled.agg(F.count_distinct("lang")).first()[0]
     if not languages:
         return []
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang", F.row_number().over(order).alias("nth")).where(F.col("nth") <= max(rows // languages, 1))
-    # at most ``rows`` ids, so they are broadcast to the scan of the texts
-    found = labelled.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id").select("lang", "text")
-    return sorted((r["lang"], r["text"]) for r in found.collect())
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "digest")
+    chosen = labelled.select("doc_id", "lang", "digest", F.row_number().over(order).alias("nth")).where(F.col("nth") <= max(rows // languages, 1))
+    chosen = chosen.groupBy("lang", "doc_id", "digest").agg(F.count("*").alias("places"))
+    # at most ``rows`` rows, so they are broadcast to the scan of the texts; repeated rows shrink to one before they move
+    texts = labelled.join(F.broadcast(chosen), ["lang", "doc_id", "digest"])
+    found = texts.groupBy("lang", "doc_id", "digest", "places").agg(F.min("text").alias("text"))
+    return sorted((r["lang"], r["text"]) for r in found.collect() for _ in range(r["places"]))
 
 
 def fit(labelled: list[tuple[str, str]]) -> Model | None:

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -32,6 +33,15 @@ def test_held_out_texts_are_recognised(documents, langs):
     assert len(held) > 5 and np.mean(held) > 0.97
 
 
+def test_the_sample_is_bounded_in_rows_however_often_an_id_occurs(documents):
+    rows = corpus(["aa", "bb"], each=20) + [(4, f"lorem {i % 7}", "aa", "s") for i in range(3000)]
+    assert not out(4)
+    got = langid.sample(documents(*rows), rows=30)
+    assert len(got) <= 30 and {lang for lang, _ in got} == {"aa", "bb"}
+    everything = langid.sample(documents(*rows), rows=10**6)
+    assert Counter(everything) == Counter((r[2], r[1]) for r in rows if not out(r[0]))
+
+
 def test_no_letter_null_long_and_unlabelled_texts(documents):
     rows = corpus(["aa", "bb"]) + [(-1, None, "aa", "s"), (-2, "", "aa", "s"), (-3, "123 ½ Ⅷ ! \n", "bb", "s"), (-4, "lorem ipsum " * 50_000, None, None), (None, "drei größer", "aa", None)]
     found = {r.doc_id: r for r in langid.identify(documents(*rows)).collect()}

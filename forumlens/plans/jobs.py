@@ -70,26 +70,29 @@ def run_combine(
     one_per_file: bool = True,
     base: str | None = None,
     keep_repeats: bool = False,
-) -> None:
+) -> dict[str, int]:
     """Read, combine and write one batch; the ledger grows only after the statics are written.
 
     The JSON is parsed once; the five tables read the columns they need from the written posts.
-    Running a batch again replaces its outputs and its part of the ledger.
+    Running a batch again replaces its outputs and its part of the ledger. Returns the rows of every
+    output, rejects too, counted while they are written.
     """
     scanned = materialize(raw.scan_raw_posts(spark, raw_path, one_per_file, base=base), "raw")
     posts, rejects = raw.split_rejects(scanned)
-    rejects.write.mode("overwrite").parquet(f"{out}/rejects")
+    counts = {"rejects": tables.write_counted(rejects, f"{out}/rejects", "rejects", "overwrite")}
     statics = {name: f"{batch}-{name}" for name in ("post_static", "comment_static")}
     seen = ledger.read_ledger(spark, ledger_path, tuple(statics.values()))
     made = combine_batch(posts, seen, batch_time, keep_repeats)
     for name in (*statics, "post_dynamic", "comment_dynamic", "post_car"):
         schema, _ = schemas.LOAD_KEYS[name]
-        tables.write_table(made[name], f"{out}/{name}", schema, mode="overwrite")
-        log.info("%s: %d rows", name, spark.read.parquet(f"{out}/{name}").count())
+        counts[name] = tables.write_table(made[name], f"{out}/{name}", schema, mode="overwrite")
     for name in (n for n in made if n.endswith("_rejects")):
-        made[name].write.mode("overwrite").parquet(f"{out}/{name}")
+        counts[name] = tables.write_counted(made[name], f"{out}/{name}", name, "overwrite")
+    for name, rows in counts.items():
+        log.info("%s: %d rows", name, rows)
     for name, part in statics.items():
         ledger.append_ledger(spark.read.parquet(f"{out}/{name}"), ledger_path, part)
+    return counts
 
 
 def transform_static(

@@ -46,11 +46,12 @@ def write_table(
     mode: str = "append",
     partition_by: list[str] | None = None,
     rows_per_file: int | None = None,
-) -> None:
+) -> int:
     """Write under a fixed schema; overwriting replaces only the partitions that are written.
 
     Partitioned output is rebalanced by its partition values first, so that a value has few files;
-    adaptive execution splits a value that holds most of the rows over several tasks.
+    adaptive execution splits a value that holds most of the rows over several tasks. Returns the
+    number of rows, observed during the write itself.
     """
     if schema is not None:
         extra = [c for c in partition_by or [] if c not in schema.names]
@@ -63,6 +64,8 @@ def write_table(
                 for c in df.columns
             ]
         )
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
@@ -71,6 +74,7 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+    return seen.get.get("rows", 0)
 
 
 def rewrite_prefix(

@@ -30,6 +30,34 @@ def sliding_means(
     )
 
 
+def slot_means(
+    deltas: DataFrame,
+    width: str = "3 hours",
+    step: str = "30 minutes",
+    slot: str = "30 minutes",
+    late: str = "3 hours",
+    anchor: str = "0 seconds",
+) -> DataFrame:
+    """``sliding_means`` as two aggregations in one stream: deltas to slots, closed slots to windows (L1).
+
+    A slot must divide the width and the step. However many deltas an id has, a slot keeps one row
+    for it, and a window takes in slots, not deltas. A row behind the watermark is dropped. The
+    output is appended: a window comes once, when the watermark has passed its end.
+    """
+    inside = F.timestamp_add("MICROSECOND", F.lit(-1), F.col("extracted_at").cast("timestamp"))
+    slots = (
+        deltas.withColumn("_inside", inside)
+        .withWatermark("_inside", late)
+        .groupBy(F.window("_inside", slot, startTime=anchor).alias("_slot"), "id")
+        .agg(F.count("v_view_count").alias("_deltas"), F.sum("v_view_count").alias("_views"))
+    )
+    return (
+        slots.groupBy(F.window(F.window_time("_slot"), width, step, anchor).alias("_window"), "id")
+        .agg(F.sum("_deltas").alias("deltas"), (F.sum("_views") / F.nullif(F.sum("_deltas"), F.lit(0))).alias("mean_view"))
+        .select(F.col("_window.end").cast("timestamp_ntz").alias("bucket_end"), "id", "deltas", "mean_view")
+    )
+
+
 def first_seen_within(stream: DataFrame, key: str, time: str, late: str) -> DataFrame:
     """First row per key inside the watermark (L2).
 

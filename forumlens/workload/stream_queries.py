@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from forumlens.runtime import new_path
-from forumlens.streaming import keyed, sinks, windows
+from forumlens.streaming import keyed, progress, sinks, windows
 from forumlens.workload import bindings as B
 from forumlens.workload.bindings import with_views
 from forumlens.workload.registry import query
@@ -38,6 +38,19 @@ def stream_sliding_means(spark, sf):
     return sinks.newest_versions(spark.read.parquet(out), ["bucket_end", "id"]).withColumn("mean_view", F.round("mean_view", 6))
 
 
+@query("L1", with_views(
+    """SELECT bucket_end, id, count(v_view_count) AS deltas, round(avg(v_view_count), 6) AS mean_view
+    FROM deltas, (SELECT unnest(range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', INTERVAL 30 MINUTE)) AS bucket_end) b
+    WHERE extracted_at <= bucket_end AND extracted_at > bucket_end - INTERVAL 3 HOUR GROUP BY 1, 2""", "deltas"))
+def stream_slot_means(spark, sf):
+    """Earlier days, then the rest, then a row of another month that closes all windows, then late copies of all rows, which are dropped."""
+    out, rows = new_path(spark, "slots"), B.deltas(spark, sf).select("id", "extracted_at", "v_view_count")
+    early = F.col("extracted_at") < B.ts(B.BEFORE_TIME)
+    closing = rows.agg(F.lit("closing").alias("id"), (F.max("extracted_at") + F.expr("INTERVAL 60 DAYS")).alias("extracted_at"), F.lit(0).cast(rows.schema["v_view_count"].dataType).alias("v_view_count"))
+    _feed([rows.where(early), rows.where(~early), closing, rows], new_path(spark, "slot_stream"), sinks.versioned(out), windows.slot_means)
+    return spark.read.parquet(out).where("id != 'closing'").select("bucket_end", "id", "deltas", F.round("mean_view", 6).alias("mean_view"))
+
+
 @query("L2", "SELECT source AS id FROM documents GROUP BY 1")
 def stream_first_seen(spark, sf):
     """The same sources come in every part; each is passed on once."""
@@ -48,6 +61,26 @@ def stream_first_seen(spark, sf):
     return spark.read.parquet(out).select("id")
 
 
+@query("D12 L1 L2 L3", with_views(
+    """SELECT 'documents' AS stream, count(*) AS rows_in FROM documents UNION ALL SELECT 'deltas', count(*) FROM deltas
+    UNION ALL SELECT 'snapshots', (SELECT count(*) FROM before) + (SELECT count(*) FROM after)""", "deltas", "before", "after"))
+def stream_row_counts(spark, sf):
+    """The rows that each of the three streams took in, as their micro-batches reported them."""
+    docs = B.table(spark, sf, "documents").select(F.col("source").alias("id"), "lang")
+    snapshots = [B.snapshot(spark, sf, time) for time in (B.BEFORE_TIME, B.BATCH_TIME)]
+    with progress.row_counts(spark) as counts:
+        _feed([docs], new_path(spark, "posts"), sinks.first_seen(new_path(spark, "first"), new_path(spark, "ledger")), lambda s: progress.counted(s, "documents"))
+        _feed(
+            [B.deltas(spark, sf)], new_path(spark, "delta_stream"), sinks.versioned(new_path(spark, "means")),
+            lambda s: windows.sliding_means(progress.counted(s, "deltas")), "update",
+        )
+        _feed(
+            snapshots, new_path(spark, "snapshots"), sinks.stream_delta(new_path(spark, "moves"), new_path(spark, "state"), ["id"]),
+            lambda s: progress.counted(s, "snapshots"),
+        )
+    return spark.createDataFrame(sorted(counts.rows.items()), "stream string, rows_in long")
+
+
 @query("L3", with_views(
     """SELECT id, extracted_at, view_count AS v_view_count FROM before UNION ALL
     SELECT a.id, a.extracted_at, a.view_count - coalesce(b.view_count, 0) FROM after a LEFT JOIN before b USING (id)""", "before", "after"))

@@ -323,6 +323,17 @@ def counted_writes(spark, sf):
     return read.groupBy("source").agg(F.count(F.lit(1)).alias("rows_written"))
 
 
+@query("D12 M1", with_views(
+    """SELECT 'post_static' AS output, count(DISTINCT id) AS rows_written FROM raw_posts WHERE id NOT IN (SELECT id FROM seen_ids)
+    UNION ALL SELECT 'comment_static', count(DISTINCT id) FROM raw_comments c WHERE NOT EXISTS (SELECT 1 FROM seen_ids s WHERE s.id = c.id)""",
+    "raw_posts", "raw_comments", "seen_ids"))
+def combine_counts(spark, sf):
+    """Rows of the statics of a batch, observed by the write of each."""
+    made, out = _combined(spark, sf), new_path(spark, "combined")
+    counts = [(name, tables.write_table(made[name], f"{out}/{name}", schemas.LOAD_KEYS[name][0])) for name in ("post_static", "comment_static")]
+    return spark.createDataFrame(counts, "output string, rows_written long")
+
+
 @query("A12 M6", with_views("SELECT id, url, coalesce(title, '') AS title, content, created_at FROM posts", "posts"))
 def reload_batch(spark, sf):
     """Two batches are loaded, the first of them twice."""

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from forumlens.streaming import keyed, sinks, windows
+from forumlens.streaming import keyed, progress, sinks, windows
 
 T = [datetime(2025, 2, d) for d in (10, 11, 12)]
 
@@ -19,6 +19,39 @@ def test_first_seen_passes_each_id_once(spark, folder):
     assert got == [("a", 1), ("b", 1), ("c", 1)]
 
 
+def test_slots_then_windows_give_each_window_once(spark, folder):
+    at = [datetime(2025, 2, 10, h, m) for h, m in ((1, 0), (1, 10), (1, 30), (4, 0))]
+    end = datetime(2025, 2, 20)
+    batches = [
+        [("a", at[0], 4), ("a", at[1], 8), ("b", at[2], None)],
+        [("a", at[3], 1), ("a", at[0], 2)],  # the second one is within the watermark's three hours
+        [("z", end, 0)],
+        [("a", at[0], 1000)],  # late
+    ]
+    feed(spark, folder, batches, "id string, extracted_at timestamp_ntz, v_view_count int", sinks.versioned(f"{folder}/out"), windows.slot_means)
+    rows = [r for r in spark.read.parquet(f"{folder}/out").collect() if r.id != "z"]
+    got = {(r.bucket_end, r.id): (r.deltas, r.mean_view) for r in rows}
+    assert len(got) == len(rows)
+    want = {}
+    values = [("a", at[0], 4), ("a", at[1], 8), ("b", at[2], None), ("a", at[3], 1), ("a", at[0], 2)]
+    for n in range(2, 16):
+        bucket = datetime(2025, 2, 10) + timedelta(minutes=30 * n)
+        for key in "ab":
+            inside = [v for i, t, v in values if i == key and bucket - timedelta(hours=3) < t <= bucket]
+            known = [v for v in inside if v is not None]
+            if inside:
+                want[bucket, key] = (len(known), sum(known) / len(known) if known else None)
+    assert got == want
+
+
+def test_rows_of_streams_are_counted_by_their_micro_batches(spark, folder):
+    batches = [[("a", 1), ("a", 2)], [("b", 1)], [("c", 1), ("c", 2), ("c", 3)]]
+    with progress.row_counts(spark) as counts:
+        feed(spark, folder, batches, "id string, n int", sinks.versioned(f"{folder}/out"), lambda s: progress.counted(s, "all").where("n > 1"))
+    assert counts.rows == {"all": 6} and sorted(counts.inputs.values()) == [1, 2, 3]
+    assert spark.read.parquet(f"{folder}/out").count() == 3
+
+
 def test_replayed_batch_gives_the_same_rows(spark, folder):
     sink = sinks.first_seen(f"{folder}/out", f"{folder}/ledger")
     batch = spark.createDataFrame([("a", 1), ("b", 1)], "id string, n int")

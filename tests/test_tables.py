@@ -133,7 +133,8 @@ def test_combine_writes_tables_and_ledger(spark, raw_folder, folder):
     for number in (1, 1, 2):
         out = f"{folder}/combined-{number}"
         read = f"{folder}/raw.out"
-        jobs.run_combine(spark, read, f"{folder}/ledger", out, str(number), F.lit("2025-02-10 00:30:00").cast("timestamp_ntz"), one_per_file=False)
+        counts = jobs.run_combine(spark, read, f"{folder}/ledger", out, str(number), F.lit("2025-02-10 00:30:00").cast("timestamp_ntz"), one_per_file=False)
+        assert counts == {name: spark.read.parquet(f"{out}/{name}").count() for name in counts} and len(counts) == 11
     first, second = f"{folder}/combined-1", f"{folder}/combined-2"
     assert rows(spark.read.parquet(f"{first}/post_static").select("id")) == [("alpha_post_1",), ("alpha_post_2",), ("beta_post_1",)]
     assert rows(spark.read.parquet(f"{first}/comment_static").select("id")) == [("alpha_comment_1",)]

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.lexicon import read_lexicon
-from forumlens.plans import jobs
+from forumlens.plans import extraction, jobs
 from forumlens.plans.batch import Folders, Settings, run_batch
 from forumlens.runtime import drop_materialized, ship_package
 
@@ -55,6 +55,31 @@ def _parser() -> argparse.ArgumentParser:
     trend.add_argument("--time", required=True, type=datetime.fromisoformat, help="local time shown in alerts")
     trend.add_argument("--threshold", type=float, default=2.0)
     trend.add_argument("--footer")
+
+    combine = chosen.add_parser("combine", help="raw posts to flat tables, and the ledger of ids")
+    for name in ("raw", "ledger", "out", "batch"):
+        combine.add_argument(f"--{name}", required=True)
+    combine.add_argument("--base", help="folder whose partition folders count, above a globbed path")
+    combine.add_argument("--time", required=True, type=datetime.fromisoformat, help="local time of the counters")
+    combine.add_argument("--lines", action="store_true", help="a document is a line, not a file")
+    combine.add_argument("--keep-repeats", action="store_true")
+
+    sentiment = chosen.add_parser("sentiment", help="score every sentence file below a prefix")
+    for name in ("source", "target", "scorer"):
+        sentiment.add_argument(f"--{name}", required=True)
+
+    extract = chosen.add_parser("extract", help="saved pages to raw posts and run results")
+    for name in ("pages", "out", "results"):
+        extract.add_argument(f"--{name}", required=True)
+    extract.add_argument("--layout", required=True, action="append", metavar="COMMUNITY=KIND", help=f"one of {', '.join(extraction.KINDS)}")
+    extract.add_argument("--time", required=True, type=datetime.fromisoformat, help="run time in UTC")
+
+    report = chosen.add_parser("report", help="run results to the report message")
+    for name in ("results", "out"):
+        report.add_argument(f"--{name}", required=True)
+    report.add_argument("--communities", nargs="+", required=True)
+    for name in ("time", "started", "ended"):
+        report.add_argument(f"--{name}", required=True, type=datetime.fromisoformat, help="in UTC")
     return parser
 
 
@@ -79,6 +104,17 @@ def main(arguments: list[str] | None = None) -> None:
             jobs.run_transform_static(spark, args.posts, args.comments, args.out, read_lexicon(spark, args.lexicon), **_options(args))
         elif args.job == "delta":
             jobs.run_delta(spark, args.before, args.after, args.out, args.keys)
+        elif args.job == "combine":
+            now = F.lit(args.time.isoformat(sep=" ")).cast("timestamp_ntz")
+            jobs.run_combine(
+                spark, args.raw, args.ledger, args.out, args.batch, now, not args.lines, args.base, keep_repeats=args.keep_repeats)
+        elif args.job == "sentiment":
+            jobs.run_sentiment(spark, args.source, args.target, _named(args.scorer))
+        elif args.job == "extract":
+            layouts = {name: extraction.KINDS[kind] for name, kind in (pair.split("=", 1) for pair in args.layout)}
+            extraction.run_extract(spark, spark.read.parquet(args.pages), args.out, args.results, layouts, args.time)
+        elif args.job == "report":
+            extraction.run_report(spark, args.results, args.out, args.communities, args.time, args.started, args.ended)
         else:
             now = F.lit(args.time.isoformat(sep=" ")).cast("timestamp_ntz")
             alerts = jobs.run_trend(spark, args.warehouse, now, k=args.threshold, footer=args.footer)

@@ -242,15 +242,20 @@ def extraction_report(results: DataFrame, communities: DataFrame | None = None)
     return rated.withColumn("line", line)
 
 
-def extract_pages(
+def page_posts(
     saved: DataFrame,
     layout: pages.PageLayout,
     dates: Callable[[Column], Column],
     start: Column | None = None,
     end: Column | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Saved pages (``post_id, url, html``) to raw posts whose date lies in the range."""
-    cut = pages.page_fields(saved, layout).where("parsed")
+    """Saved pages (``post_id, url, html`` and those to ``keep``) as raw posts with their ``status``.
+
+    ``saved`` if the date lies in the range, or there is none; ``skipped`` outside of it; ``failed`` without text or, given
+    a range, without a date.
+    """
+    cut = pages.page_fields(saved, layout)
     columns = cut.columns
 
     def raw_text(name: str) -> Column:
@@ -261,10 +266,11 @@ def extract_pages(
         return digits.try_cast("int").alias(name)
 
     posted = cut.withColumn("_posted", dates(raw_text("created_at")))
-    if start is not None and end is not None:
-        posted = posted.where(F.col("_posted").between(start, end))
+    within = F.lit(True) if start is None or end is None else F.col("_posted").between(start, end)
+    status = F.when(~F.coalesce("parsed", F.lit(False)) | within.isNull(), "failed").when(within, "saved").otherwise("skipped")
     clean_title = F.trim(F.split_part(raw_text("title"), F.lit("["), F.lit(1)))
     return posted.select(
+        *keep,
         F.col("post_id").cast("string").alias("post_id"),
         F.col("url").alias("post_url"),
         clean_title.alias("title"),
@@ -272,9 +278,21 @@ def extract_pages(
         iso_text(F.col("_posted")).alias("created_at"),
         *[number(n) for n in ("view_count", "upvote_count", "downvote_count", "comment_count")],
         pages.typed_comments(F.col("comments"), dates).alias("comments"),
+        status.alias("status"),
     )
 
 
+def extract_pages(
+    saved: DataFrame,
+    layout: pages.PageLayout,
+    dates: Callable[[Column], Column],
+    start: Column | None = None,
+    end: Column | None = None,
+) -> DataFrame:
+    """Saved pages (``post_id, url, html``) to raw posts whose date lies in the range."""
+    return page_posts(saved, layout, dates, start, end).where("status = 'saved'").drop("status")
+
+
 def batch_ledger(spark: SparkSession, path: str, current: DataFrame) -> DataFrame:
     """Append the current batch to the list and return it with its predecessor.
 

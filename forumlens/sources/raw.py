@@ -107,10 +107,13 @@ def read_raw_posts(spark: SparkSession, path: str | list[str], **options) -> tup
     return split_rejects(scan_raw_posts(spark, path, **options))
 
 
-def write_raw_posts(raw: DataFrame, path: str, mode: str = "append") -> None:
+def write_raw_posts(raw: DataFrame, path: str, mode: str = "append", dynamic: bool = False) -> None:
     """Posts as JSON lines under ``car_id=/date=/batch=/community=``.
 
     Rows are rebalanced by folder to keep files few; adaptive execution splits a folder that gets
-    most of the posts over several tasks.
+    most of the posts over several tasks. ``dynamic`` overwrites only the folders that get posts.
     """
-    raw.hint("rebalance", *LAYOUT).write.partitionBy(*LAYOUT).mode(mode).option("ignoreNullFields", True).json(path)
+    writer = raw.hint("rebalance", *LAYOUT).write.partitionBy(*LAYOUT).mode(mode).option("ignoreNullFields", True)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.json(path)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
-from forumlens.functions import dates, fields
+from forumlens.functions import dates, fields, messages
 from forumlens.operators import batches
 from forumlens.operators import report as R
-from forumlens.plans import jobs
-from forumlens.sources import pages
+from forumlens.plans import extraction, jobs
+from forumlens.runtime import new_path
+from forumlens.sources import pages, raw
 from forumlens.workload import bindings as B
 from forumlens.workload.bindings import with_views
 from forumlens.workload.registry import query
@@ -39,6 +42,49 @@ def extraction_report(spark, sf):
     return jobs.extraction_report(B.results(spark, sf)).select("community", "line")
 
 
+def _marked_sql(*texts):
+    return "json_array(" + ", ".join(f"json_object('type', 'mrkdwn', 'text', {t})" for t in texts) + ")"
+
+
+def _titled_sql(text, *fields):
+    more = f", 'fields', {_marked_sql(*fields)}" if fields else ""
+    return f"json_object('type', 'section', 'text', json_object('type', 'mrkdwn', 'text', {text}){more})"
+
+
+def _filled(form, value):
+    """A fixed text with ``%s`` as a SQL expression."""
+    before, after = form.replace("\n", "' || chr(10) || '").split("%s")
+    return f"'{before}' || {value} || '{after}'"
+
+
+_LINE_SQL = rf"""'*' || upper(community) || '*' || chr(10) || '시도: `' || format('{{:,}}', attempted) || '건` | 성공: `' || format('{{:,}}', extracted)
+    || '건` | ' || CASE WHEN success_rate < 70 THEN '🔴' WHEN success_rate < 90 THEN '🟡' ELSE '🟢' END || ' 성공률: `' || printf('%.1f%%', success_rate) || '`'"""
+
+
+_RATED_ALL_SQL = """SELECT m.nth, m.community, coalesce(a, 0) AS attempted, coalesce(e, 0) AS extracted, CASE WHEN a > 0 THEN 100.0::DOUBLE * e / a ELSE 0 END AS success_rate
+    FROM (VALUES (0, 'view'), (1, 'purchase'), (2, 'error'), (3, 'click'), (4, 'signup'), (5, 'closed')) m(nth, community)
+    LEFT JOIN (SELECT community, sum(attempted_posts_count)::BIGINT AS a, sum(extracted_posts_count)::BIGINT AS e FROM results GROUP BY 1) r USING (community)"""
+_TIMES_SQL = """SELECT max(ts) + INTERVAL 9 HOUR AS run, epoch(date_trunc('second', max(ts)) - date_trunc('second', min(ts)))::BIGINT AS s,
+    min(ts) + INTERVAL 9 HOUR AS began FROM events"""
+
+
+@query("M10 D6 D7 H32 H33 H38", with_views(f"""SELECT '{{"blocks":[' ||
+    json_object('type', 'header', 'text', json_object('type', 'plain_text', 'text', '{messages.REPORT_HEADER}', 'emoji', true)) || ',{{"type":"divider"}},' ||
+    {_titled_sql(f"'{messages.REPORT_SCHEDULE}'", _filled(messages.REPORT_DATE, "strftime(run, '%Y-%m-%d')"), _filled(messages.REPORT_TIME, "strftime(run, '%H:%M:%S')"),
+                 _filled(messages.REPORT_BATCH, "(hour(run) * 60 + minute(run))"))} || ',' ||
+    {_titled_sql(f"'{messages.REPORT_RUN}'", _filled(messages.REPORT_START, "strftime(began, '%Y-%m-%d %H:%M:%S')"),
+                 _filled(messages.REPORT_ELAPSED, "printf('%02d:%02d:%02d', s // 3600, s % 3600 // 60, s % 60)"))} || ',' ||
+    {_titled_sql(f"'{messages.REPORT_COUNTS}'")} || ',' || lines || ',{{"type":"divider"}},' ||
+    json_object('type', 'context', 'elements', {_marked_sql(f"'{messages.REPORT_FOOTER}'")}) || ']}}' AS payload
+    FROM (SELECT string_agg({_titled_sql(_LINE_SQL)}::VARCHAR, ',' ORDER BY nth) AS lines FROM ({_RATED_ALL_SQL})), ({_TIMES_SQL})""", "results"))
+def report_message(spark, sf):
+    """The whole message: the events' last time is the run, their first its start; one community has no results."""
+    first, last = B.table(spark, sf, "events").select(F.min("ts").cast("string"), F.max("ts").cast("string")).first()
+    started, ended = (F.lit(t).cast("timestamp_ntz") for t in (first, last))
+    cut = F.date_trunc("second", started).cast("timestamp_ntz"), F.date_trunc("second", ended).cast("timestamp_ntz")
+    return extraction.report_message(B.results(spark, sf), _COMMUNITIES, ended, *cut)
+
+
 @query("D9", "SELECT 'car' || (user_id % 3) AS car_id, count(*) AS attempted, count(*) FILTER (value < 100) AS extracted FROM events GROUP BY 1")
 def keyword_totals(spark, sf):
     runs = B.results(spark, sf).withColumnsRenamed({"attempted_posts_count": "attempted", "extracted_posts_count": "extracted"})
@@ -338,6 +384,25 @@ def gallery_pages(spark, sf):
         lambda c: F.coalesce(dates.parse_month_day(c, batch), c.try_cast("timestamp_ntz")), created_at="2025-02-10 07:00:00")
 
 
+_PAGES_SQL = f"""SELECT doc_id::VARCHAR AS post_id, 'c' || doc_id % 2 AS car_id, kind AS community, source || ' & ' || lang AS title, {_NORMAL} AS content, n_chars::INTEGER AS view_count, 1::BIGINT AS comments
+    FROM (SELECT *, CASE lang WHEN 'de' THEN 'stacked' WHEN 'fr' THEN 'profile' ELSE 'gallery' END AS kind FROM documents)"""
+
+
+@query("M11 A19 A1 K3 K4 D14", _PAGES_SQL)
+def pages_to_raw_posts(spark, sf):
+    """Every document as a saved page of its community, extracted, written as raw posts and read back from there."""
+    docs = B.table(spark, sf, "documents")
+    kind = F.when(F.col("lang") == "de", "stacked").when(F.col("lang") == "fr", "profile").otherwise("gallery")
+    html = F.when(kind == "stacked", _frame(_STACKED_PAGE)).when(kind == "profile", _frame(_PROFILE_PAGE)).otherwise(_frame(_GALLERY_PAGE))
+    saved = docs.select(
+        F.concat(F.lit("c"), F.col("doc_id") % 2).alias("car_id"), kind.alias("community"), F.col("doc_id").alias("post_id"), F.lit("https://x/").alias("url"),
+        html.alias("html"), F.lit("2025-02-10 07:00:00").alias("created_at"))
+    out, results = new_path(spark, "raw"), new_path(spark, "results")
+    extraction.run_extract(spark, saved, out, results, extraction.KINDS, datetime(2025, 2, 10, 2, 0))
+    posts, _ = raw.read_raw_posts(spark, out, one_per_file=False)
+    return posts.select("post_id", "car_id", "community", "title", "content", "view_count", F.size("comments").cast("long").alias("comments"))
+
+
 _LISTED_ROW = """<tr class="ub-content us-post"><td class="gall_date" title="%s"></td><td class="gall_tit ub-word"><a class='x' href='/view?p=1&amp;No=%s'>t</a></td></tr>"""
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,7 +83,8 @@ def run_combine(
     posts, rejects = raw.split_rejects(scanned)
     counts = {"rejects": tables.write_counted(rejects, f"{out}/rejects", "rejects", "overwrite")}
     statics = {name: f"{batch}-{name}" for name in ("post_static", "comment_static")}
-    seen = ledger.read_ledger(spark, ledger_path, tuple(statics.values()))
+    ids = [made.select("id") for made in (P.post_static(posts), P.comment_static(posts))]
+    seen = ledger.read_ledger(spark, ledger_path, tuple(statics.values()), ids[0].unionByName(ids[1]))
     made = combine_batch(posts, seen, batch_time, keep_repeats)
     for name in (*statics, "post_dynamic", "comment_dynamic", "post_car"):
         schema, _ = schemas.LOAD_KEYS[name]
@@ -150,6 +153,28 @@ def run_transform_static(
     return True
 
 
+@contextmanager
+def persisted(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
+    """Frames that several outputs read, kept on the executors' disks and given back in any case.
+
+    The alternative to a written table where the frame is cheap to make again: a lost executor costs a recomputation
+    of its blocks, and nothing is left in the shared folder.
+    """
+    kept = tuple(f.persist(StorageLevel.DISK_ONLY) for f in frames)
+    try:
+        yield kept
+    finally:
+        for frame in kept:
+            frame.unpersist()
+
+
+def run_tags(posts: DataFrame | None, comments: DataFrame | None, out: str, lexicon: Lexicon, distinct: bool = False) -> None:
+    """Sentences and keyword tags of statics that are clean already, both written from one persisted frame."""
+    with persisted(explode_sentences(union_sources(posts, comments))) as (sentence,):
+        sentence.write.mode("overwrite").parquet(f"{out}/sentence")
+        keyword_rows(sentence, lexicon, distinct).write.mode("overwrite").parquet(f"{out}/keyword_category")
+
+
 def run_delta(spark: SparkSession, before: str | None, after: str, out: str, keys: list[str]) -> bool:
     """Delta of one table for all cars at once; False when there is no newer snapshot (M4, A10)."""
     new = tables.read_optional(spark, after)

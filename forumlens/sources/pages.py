@@ -210,6 +210,23 @@ def _row(row, layout: ListingLayout) -> dict:
     return {"href": links[0].get("href") if links else None, "date": date}
 
 
+def listing_function(layout: ListingLayout):
+    """The rows of a listing page (``href``, ``date``) as a table function over its ``html`` (K5).
+
+    For ``lateralJoin``, or under a name for SQL: ``spark.udtf.register("listed", listing_function(GALLERY_LIST))``,
+    then ``FROM pages, LATERAL listed(html)``. A page goes in and its rows come out as they are found.
+    """
+
+    @F.udtf(returnType="href string, date string", useArrow=True)
+    class Listing:
+        def eval(self, text: str):
+            for row in html.select(html.parse(text or ""), layout.row):
+                found = _row(row, layout)
+                yield found["href"], found["date"]
+
+    return Listing
+
+
 def listing_rows(
     pages: DataFrame,
     layout: ListingLayout,
@@ -224,11 +241,8 @@ def listing_rows(
     ``link_id`` and ``posted`` turn the URL and the date text into their values.
     """
 
-    @F.pandas_udf("array<struct<href:string,date:string>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: [_row(r, layout) for r in html.select(html.parse(text or ""), layout.row)])
-
-    rows = pages.select(F.explode(cut("html")).alias("row")).where("row.href IS NOT NULL")
+    listed = listing_function(layout)
+    rows = pages.lateralJoin(listed(F.col("html").outer())).select(F.struct("href", "date").alias("row")).where("row.href IS NOT NULL")
     url = resolve_href(F.col("row.href"), F.lit(base))
     found = rows.select(link_id(url).alias("id"), url.alias("url"), posted(F.col("row.date")).alias("date"))
     inside = found.where(F.col("date").between(start, end))

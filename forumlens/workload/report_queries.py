@@ -416,3 +416,27 @@ def listing_rows(spark, sf):
     listed = docs.select(F.concat(F.lit("<table>"), row, row, F.lit("</table>")).alias("html"))
     start, end = (F.lit(f"2025-02-10 {t}:00").cast("timestamp_ntz") for t in ("00:10", "01:00"))
     return pages.listing_rows(listed, pages.GALLERY_LIST, "https://h", fields.query_id, lambda c: c.try_cast("timestamp_ntz"), start, end)
+
+
+# the row of each listing layout, and the date text it shows
+_LISTED = {
+    "stacked": (pages.STACKED_LIST, """<div class="list_item symph_row"><a class="subject_fixed" href="/view?p=1&amp;No=%s">t</a><span class="timestamp">%s</span></div>"""),
+    "profile": (pages.PROFILE_LIST, """<div class="search_Community"><ul><li><dl><dt><a href="https://h/view?p=1&amp;No=%s">t</a></dt><dd class="path"><span>board</span><span>%s</span></dd></dl></li></ul></div>"""),
+    "gallery": (pages.GALLERY_LIST, """<table><tr class="ub-content us-post"><td class="gall_tit ub-word"><a href='/view?p=1&amp;No=%s'>t</a></td><td class="gall_date" title="%s"></td></tr></table>"""),
+}
+
+
+@query("K5 B15 H22", """SELECT layout, doc_id AS id, 'https://h/view?p=1&No=' || doc_id AS href, TIMESTAMP '2025-02-10' + to_minutes(doc_id % 97) AS date
+    FROM documents, (VALUES ('stacked'), ('profile'), ('gallery')) l(layout) WHERE source IS NOT NULL""")
+def listing_layouts(spark, sf):
+    """Every document listed in each of the three layouts; the table functions are named and used from SQL."""
+    posted = F.lit("2025-02-10").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("doc_id") % 97).cast("int"))
+    docs = B.table(spark, sf, "documents").where("source IS NOT NULL")
+    parts = []
+    for name, (layout, row) in _LISTED.items():
+        spark.udtf.register(f"listed_{name}", pages.listing_function(layout))
+        html = F.format_string(row, F.col("doc_id").cast("string"), posted.cast("string"))
+        rows = spark.sql(f"SELECT l.href, l.date FROM {{pages}} p, LATERAL listed_{name}(p.html) l", pages=docs.select(html.alias("html")))
+        url = fields.resolve_href(F.col("href"), F.lit("https://h"))
+        parts.append(rows.select(F.lit(name).alias("layout"), fields.query_id(url).alias("id"), url.alias("href"), F.col("date").try_cast("timestamp_ntz").alias("date")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

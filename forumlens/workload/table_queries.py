@@ -142,6 +142,20 @@ def ledger_roundtrip(spark, sf):
     return ledger.read_ledger(spark, path)
 
 
+@query("A4 A5 C7", with_views("SELECT DISTINCT id FROM raw_posts WHERE id NOT IN (SELECT id FROM seen_ids)", "raw_posts", "seen_ids"))
+def ledger_compacted(spark, sf):
+    """Known ids of many batches, folded but for one that runs again; then a batch reads the buckets of its ids."""
+    path, seen = new_path(spark, "ledger"), B.seen_ids(spark, sf)
+    batch = F.pmod(F.xxhash64("id"), F.lit(4))
+    for n in range(4):
+        ledger.append_ledger(seen.where(batch == n), path, f"b{n}")
+    ledger.compact(spark, path, ["b0", "b1", "b2"])
+    posts = P.post_static(B.raw_posts(spark, sf)).select("id")
+    ledger.append_ledger(seen.where(batch == 1).unionByName(posts), path, "b1")  # known by mistake, and taken back by a rerun
+    ledger.append_ledger(seen.where(batch == 1), path, "b1")
+    return P.first_unseen(posts, ledger.read_ledger(spark, path, only=posts))
+
+
 @query("A6", with_views("SELECT id, url, coalesce(title, '') AS title, content, created_at FROM posts", "posts"))
 def typed_write(spark, sf):
     path = new_path(spark, "typed")
@@ -368,3 +382,15 @@ def range_class(spark, sf):
     text = F.when(F.col("event_type") == "error", "not a date").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     start, end = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-10 00:00:00", "2024-01-12 00:00:00"))
     return B.table(spark, sf, "events").select("event_id", dates.range_class(text, start, end).alias("range_class"))
+
+
+@query("J2 M2", with_views("""SELECT 'sentence' AS output, count(*) AS n FROM sentence
+    UNION ALL SELECT 'keyword_category', sum(n)::BIGINT FROM (SELECT count(*) AS n FROM sentence s, LATERAL (SELECT unnest(%s) AS k) WHERE contains(upper(s.sentence), k))""" % [
+    k for keywords in B.LEXICON.values() for k in keywords], "sentence"))
+def persisted_tags(spark, sf):
+    """One frame, read once from the source, for two outputs; the rows of each are counted."""
+    out = new_path(spark, "tags")
+    source = jobs.transform_static(B.posts(spark, sf), B.comments(spark, sf), B.LEXICON)
+    jobs.run_tags(source["post_static"], source["comment_static"], out, B.LEXICON)
+    made = [spark.read.parquet(f"{out}/{n}").agg(F.count("*").alias("n")).select(F.lit(n).alias("output"), "n") for n in ("sentence", "keyword_category")]
+    return made[0].unionByName(made[1])

@@ -115,3 +115,19 @@ def test_links_in_any_writing(spark):
     body = """<a class="x" href='/a?b=1&amp;c=2'>1</a><A HREF=/d>2</A><a href="//o/e">3</a><a>none</a><a href="/d">again</a><!-- <a href="/no"> -->"""
     df = spark.createDataFrame([(1, "https://h/p", body), (2, "https://h/q", None)], "page_id int, url string, html string")
     assert [r.url for r in pages.page_links(df).collect()] == ["https://h/a?b=1&c=2", "https://h/d", "https://o/e"]
+
+
+def test_listings_as_table_functions(spark):
+    """Rows without a link or a date, empty pages and null pages."""
+    layouts = {
+        "stacked": (pages.STACKED_LIST, '<div class="list_item symph_row"><a class="subject_fixed" href="/1">t</a><span class="timestamp">d1</span></div><div class="list_item symph_row"></div>'),
+        "profile": (pages.PROFILE_LIST, '<div class="search_Community"><ul><li><dl><dt><a href="/2">t</a></dt><dd class="path"><span>b</span><span>d2</span></dd></dl></li></ul></div>'),
+        "gallery": (pages.GALLERY_LIST, '<tr class="ub-content us-post"><td class="gall_tit ub-word"><a href="/3">t</a></td><td class="gall_date" title="d3">x</td></tr>'),
+    }
+    got = {}
+    for name, (layout, page) in layouts.items():
+        spark.udtf.register(f"rows_{name}", pages.listing_function(layout))
+        saved = spark.createDataFrame([(1, page), (2, ""), (3, None)], "n int, html string")
+        found = spark.sql(f"SELECT p.n, l.href, l.date FROM {{saved}} p, LATERAL rows_{name}(p.html) l", saved=saved)
+        got[name] = sorted(map(tuple, found.collect()), key=str)
+    assert got == {"stacked": [(1, "/1", "d1"), (1, None, None)], "profile": [(1, "/2", "d2")], "gallery": [(1, "/3", "d3")]}

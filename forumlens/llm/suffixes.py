@@ -7,8 +7,10 @@ each suffix is compared with its neighbours of other rows, from the 8-gram to th
 once by what follows and once by what precedes, the neighbour with the longest match on a side is next to it.
 A match that adds up to ``MIN_WORDS`` is a span; a row's spans are merged.
 
-The best partner over both sides need not be a neighbour on either. So each window of ``MIN_WORDS`` words whose
-minimiser several rows hold is also compared by its hash with those of all other rows, and is a span if one is equal.
+The neighbour that follows a suffix furthest to the right and the one that follows it furthest to the left bound
+what any partner can share. Where the two matches cover all of that, or it is too short for a span, the suffix is settled.
+Otherwise, as when the best partner over both sides is a neighbour on neither, all suffixes of that 8-gram begin anew at
+each word before it: their first ``MIN_WORDS`` words are compared by hash, each with those of all other rows. So are suffixes of a row that repeats an 8-gram across the end of a task.
 
 Suffixes are range-partitioned with their row as the last key, so a passage that most rows share is spread over
 tasks; the first and last suffixes of each task (four at most) are compared on the driver.
@@ -100,8 +102,16 @@ def shared_suffixes(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     return materialize(wanted.join(kept.select("row", "doc_id", "file", "nth"), "row"), "suffix-wanted")
 
 
+def open_suffixes(wanted: DataFrame, reach: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """``wanted`` with the suffixes of unsettled keys only."""
+    keys = materialize(unsettled(reach, least), "suffix-open")
+    each = wanted.select("row", "doc_id", "file", "nth", F.explode("s").alias("s")).withColumn("key", F.col("s.key"))
+    left = each.join(keys, "key").groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("file").alias("file"), F.first("nth").alias("nth"), F.collect_list("s").alias("s"))
+    return materialize(left, "suffix-again")
+
+
 def windows(docs: DataFrame, wanted: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """Spans of ``least`` words that another row holds, found by their hash among the windows with a shared minimiser."""
+    """Spans of ``least`` words that another row holds, found by their hash among the windows whose minimiser is a suffix of ``wanted``."""
     offsets = sorted({*range(0, least - GRAM, GRAM), least - GRAM})  # 8-grams that hold every word
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,14 +194,17 @@ def _common(a: list[bytes], b: list[bytes]) -> np.ndarray:
 SPANS = "row long, doc_id long, first int, last int, other_id long"
 
 
-def _matches(rows: dict[str, np.ndarray], one: np.ndarray, two: np.ndarray, least: int) -> pa.RecordBatch:
-    """Spans of the suffixes ``one`` matched with the suffixes ``two``."""
+def _pairs(rows: dict[str, np.ndarray], one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Those of the pairs that have the 8-gram in common and lie in different rows, and the words in common from it on and before it."""
     alike = (rows["key"][one] == rows["key"][two]) & (rows["row"][one] != rows["row"][two])
     one, two = one[alike], two[alike]
-    after = _common(rows["right"][one], rows["right"][two]) + GRAM
-    before = _common(rows["left"][one], rows["left"][two])
-    long = after + before >= least
-    one, two, after, before = one[long], two[long], after[long], before[long]
+    return one, two, _common(rows["right"][one], rows["right"][two]) + GRAM, _common(rows["left"][one], rows["left"][two])
+
+
+def _spans(rows: dict[str, np.ndarray], pairs: tuple[np.ndarray, ...], least: int) -> pa.RecordBatch:
+    """Spans of the first suffixes of ``pairs`` that are long enough with the second."""
+    long = pairs[2] + pairs[3] >= least
+    one, two, after, before = (x[long] for x in pairs)
     at = rows["at"][one]
     columns = (rows["row"][one], at - before, at + after)
     ids = [pa.array(rows["doc_id"][i], pa.int64()) for i in (one, two)]
@@ -201,6 +214,33 @@ def _matches(rows: dict[str, np.ndarray], one: np.ndarray, two: np.ndarray, leas
     )
 
 
+#: A reach is ``_STEP`` times the words matched on the sorted side, and one more than those on the other if both make a span.
+_STEP = 128
+
+
+def _reaches(rows: dict[str, np.ndarray], pairs: list[tuple[np.ndarray, ...]], by: str, least: int) -> np.ndarray:
+    """For each suffix how far its best neighbour follows it on the side ``by``; 0 where none shares the 8-gram."""
+    reach = np.zeros(len(rows["key"]), np.int32)
+    for one, _, after, before in pairs:
+        near, far = (after, before) if by == "right" else (before, after)
+        np.maximum.at(reach, one, (near * _STEP + np.where(after + before >= least, far + 1, 0)).astype(np.int32))
+    return reach
+
+
+def unsettled(reach: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """The keys of which some suffix may share more with another row than its two neighbours show.
+
+    ``reach`` has ``key``, ``row``, ``at``, ``by`` and ``reach`` of every suffix from either order.
+    """
+    best = {by: F.coalesce(F.max(F.when(F.col("by") == by, F.col("reach"))), F.lit(0)) for by in ("right", "left")}
+    each = reach.groupBy("row", "at").agg(F.first("key").alias("key"), *[v.alias(by) for by, v in best.items()])
+    after, before = (F.floor(F.col(by) / _STEP) for by in ("right", "left"))
+    # the words before, and after, that the best match on the other side has as well; 0 if that is no span
+    with_before, with_after = F.col("right") % _STEP, F.col("left") % _STEP
+    settled = (with_before > before) | (with_after > after) | ((with_before > 0) & (with_after > 0))
+    return each.where((after + before >= least) & ~settled).select("key").distinct()
+
+
 def _rows(table: pa.Table) -> dict[str, np.ndarray]:
     out = {n: table[n].to_numpy() for n in ("key", "row", "at")}
     for n in ("right", "left", "doc_id"):
@@ -216,8 +256,8 @@ def _runs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return starts[run], np.concatenate((starts[1:], [len(run)]))[run] - 1
 
 
-def neighbours(suffix_rows: DataFrame, by: str, least: int = MIN_WORDS) -> DataFrame:
-    """Spans found between neighbours in the order of the key and the words on one side (``right`` or ``left``)."""
+def neighbours(suffix_rows: DataFrame, by: str, least: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+    """Spans found between neighbours in the order of the key and the words on one side (``right`` or ``left``), and all reaches."""
     spark = suffix_rows.sparkSession
     edge_columns = ["key", "row", "doc_id", "at", "right", "left"]
 
@@ -226,6 +266,7 @@ def neighbours(suffix_rows: DataFrame, by: str, least: int = MIN_WORDS) -> DataF
         held: pa.Table | None = None
         head: pa.Table | None = None
         tail: pa.Table | None = None
+        ending: tuple = ()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -234,61 +275,90 @@ def neighbours(suffix_rows: DataFrame, by: str, least: int = MIN_WORDS) -> DataF
             rows = _rows(table)
             first, last = _runs(rows)
             index = np.arange(len(first))
+            pairs = []
             for one, two in ((index, first - 1), (index, last + 1)):
                 there = (two >= 0) & (two < len(index))
-                found = _matches(rows, one[there], two[there], least)
-                yield _with_edges(found, None, task)
+                pairs.append(_pairs(rows, one[there], two[there]))
+                yield _with(task, found=_spans(rows, pairs[-1], least))
+            reach = _reaches(rows, pairs, by, least)
             edges = np.unique(np.concatenate((first, last)))
             if head is None:
                 head = table.take(edges[:3])
+                # inside a run at the end of a task, suffixes do not see the row beyond it
+                reach[1 : last[0]] = least * _STEP
+            yield _with(task, reach=(rows, reach))
+            ending = (rows, np.arange(first[-1] + 1, last[-1]))
             tail = table.take(edges[-3:])
             # the last run and the suffix before it meet the next batch
             held = table.slice(max(first[-1] - 1, 0))
         if head is not None:
+            rows, inside = ending
+            yield _with(task, reach=({n: rows[n][inside] for n in ("key", "row", "at")}, np.full(len(inside), least * _STEP, np.int32)))
             for side, kept in (("head", head), ("tail", tail)):
-                yield _with_edges(None, kept, task, side)
+                yield _with(task, edges=kept, side=side)
 
-    schema = SPANS + ", task int, side string, edge struct<key: long, row: long, doc_id: long, at: int, right: binary, left: binary>"
+    schema = SPANS + ", task int, side string, edge struct<key: long, row: long, doc_id: long, at: int, right: binary, left: binary>, key long, at int, reach int"
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", by, "row", "at"]
     found = materialize(
-        suffix_rows.select(*edge_columns).repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(compare, schema), "suffix-spans"
+        suffix_rows.select(*edge_columns).repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(compare, schema), f"suffix-{by}"
     )
-    return found.where("side is null").select("row", "doc_id", "first", "last", "other_id").unionByName(_across(found, least))
-
-
-def _with_edges(found: pa.RecordBatch | None, kept: pa.Table | None, task: int, side: str | None = None) -> pa.RecordBatch:
-    fields = [("key", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()), ("right", pa.binary()), ("left", pa.binary())]
-    names = ["row", "doc_id", "first", "last", "other_id"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-    many = found.num_rows if found is not None else kept.num_rows
-    columns = found.columns if found is not None else [pa.nulls(many, k) for k in kinds]
-    edge = pa.nulls(many, pa.struct(fields)) if kept is None else pa.array(kept.to_pylist(), pa.struct(fields))
-    return pa.RecordBatch.from_arrays([*columns, pa.array([task] * many, pa.int32()), pa.array([side] * many, pa.string()), edge], [*names, "task", "side", "edge"])
-
-
-def _across(found: DataFrame, least: int) -> DataFrame:
-    """Spans between the last suffixes of a task and the first of the next that has any."""
-    edges = found.where("side is not null").select("task", "side", "edge.*").collect()  # six rows a task at most
+    spans, reaches = _across(found, by, least)
+    reach = found.where("side = 'reach'").select("key", "row", "at", "reach").unionByName(reaches).withColumn("by", F.lit(by))
+    return found.where("side is null").select("row", "doc_id", "first", "last", "other_id").unionByName(spans), reach
+
+
+_EDGE = [("key", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()), ("right", pa.binary()), ("left", pa.binary())]
+_REACH = "key long, row long, at int, reach int"
+
+
+def _with(task: int, found: pa.RecordBatch | None = None, reach: tuple | None = None, edges: pa.Table | None = None, side: str | None = None) -> pa.RecordBatch:
+    """Spans, reaches or edges as rows of one table."""
+    names = ["row", "doc_id", "first", "last", "other_id", "task", "side", "edge", "key", "at", "reach"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.struct(_EDGE), pa.int64(), pa.int32(), pa.int32()]
+    filled: dict = {}
+    if found is not None:
+        many = found.num_rows
+        filled = dict(zip(found.schema.names, found.columns))
+    elif reach is not None:
+        rows, values = reach
+        many, side = len(values), "reach"
+        filled = {"row": pa.array(rows["row"]), "key": pa.array(rows["key"]), "at": pa.array(rows["at"]), "reach": pa.array(values)}
+    else:
+        many = edges.num_rows
+        filled = {"edge": pa.array(edges.to_pylist(), pa.struct(_EDGE))}
+    filled |= {"task": pa.repeat(pa.scalar(task, pa.int32()), many), "side": pa.repeat(pa.scalar(side, pa.string()), many)}
+    return pa.RecordBatch.from_arrays([filled.get(n, pa.nulls(many, k)).cast(k) for n, k in zip(names, kinds)], names)
+
+
+def _across(found: DataFrame, by: str, least: int) -> tuple[DataFrame, DataFrame]:
+    """Spans and reaches between the last suffixes of a task and the first of the next that has any."""
+    edges = found.where("side in ('head', 'tail')").select("task", "side", "edge.*").collect()  # six rows a task at most
     ends: dict[int, dict[str, list]] = {}
     for e in edges:
         ends.setdefault(e["task"], {"head": [], "tail": []})[e["side"]].append(e)
-    out, tasks = [], sorted(ends)
+    out, reaches, tasks = [], [], sorted(ends)
     for task, after in zip(tasks, tasks[1:]):
-        rows = ends[task]["tail"] + ends[after]["head"]
-        table = pa.Table.from_pylist([{n: r[n] for n in ("key", "row", "doc_id", "at", "right", "left")} for r in rows])
-        pairs = [(i, j) for i in range(len(ends[task]["tail"])) for j in range(len(ends[task]["tail"]), len(rows))]
+        held = ends[task]["tail"] + ends[after]["head"]
+        rows = _rows(pa.Table.from_pylist([{n: r[n] for n in ("key", "row", "doc_id", "at", "right", "left")} for r in held]))
+        pairs = [(i, j) for i in range(len(ends[task]["tail"])) for j in range(len(ends[task]["tail"]), len(held))]
         one, two = (np.array(p) for p in zip(*pairs))
-        for x, y in ((one, two), (two, one)):
-            out += [tuple(r.values()) for r in _matches(_rows(table), x, y, least).to_pylist()]
-    return found.sparkSession.createDataFrame(out, SPANS)
+        both = [_pairs(rows, x, y) for x, y in ((one, two), (two, one))]
+        for x in both:
+            out += [tuple(r.values()) for r in _spans(rows, x, least).to_pylist()]
+        reaches += zip(*[rows[n].tolist() for n in ("key", "row", "at")], _reaches(rows, both, by, least).tolist())
+    spark = found.sparkSession
+    return spark.createDataFrame(out, SPANS), spark.createDataFrame(reaches, _REACH)
 
 
 def repeated_spans(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``doc_id``, ``first_word``, ``n_words`` of each passage that another document repeats, and one such ``other_id``."""
     wanted = shared_suffixes(docs, least)
     kept = materialize(suffixes(docs, least, wanted), "suffix-rows")
-    found = neighbours(kept, "right", least).unionByName(neighbours(kept, "left", least)).unionByName(windows(docs, wanted, least))
+    right, after = neighbours(kept, "right", least)
+    left, before = neighbours(kept, "left", least)
+    again = open_suffixes(wanted, after.unionByName(before), least)
+    found = right.unionByName(left).unionByName(windows(docs, again, least))
     order = Window.partitionBy("row").orderBy("first", "last")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = found.withColumn("fresh", F.when(F.col("first") <= before, 0).otherwise(1)).withColumn("island", F.sum("fresh").over(order))

@@ -13,6 +13,9 @@ from forumlens.runtime import materialize
 
 _RANGE, _LOCAL, _BEFORE, _TOTAL, _TIE = "_range", "_local", "_before", "_total", "_tie"
 
+#: Tasks at most unless the caller or the session asks for more: each sends the driver its report, whatever it holds.
+MOST_TASKS = 1000
+
 
 @F.pandas_udf(T.LongType())
 def _running_in_partition(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -82,12 +85,14 @@ def balance_by_length(
 
     ``partition_id`` is a logical number that grows with the data. The rows go to ``tasks``
     partitions that hold the same number of characters each, up to one row. By default there is
-    one per ``limit`` characters, whatever the session's settings, so a task holds less than
-    ``limit`` characters and one row more; give ``tasks`` to choose another number.
+    one per ``limit`` characters, so a task holds less than ``limit`` characters and one row more,
+    up to ``MOST_TASKS`` of them, or as many as the session's shuffle partitions if those are more:
+    beyond, a task holds its equal share of several limits. Give ``tasks`` to choose another number.
     """
     ranged, totals = _ranges(df, order_by, F.length(text), ranges)
     if tasks is None:
-        tasks = (totals.agg(F.sum("_sum")).first()[0] or 0) // limit + 1
+        most = max(MOST_TASKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        tasks = min((totals.agg(F.sum("_sum")).first()[0] or 0) // limit + 1, most)
     cumulative = F.col(_LOCAL) + F.col(_BEFORE)
     start = cumulative - F.coalesce(F.col("_value"), F.lit(0))
     task = F.least(F.floor(start * tasks / F.greatest(F.col(_TOTAL), F.lit(1))), F.lit(tasks - 1))

@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from forumlens.operators.balance import balance_by_length, prefix_sum
+from forumlens.operators.balance import MOST_TASKS, balance_by_length, prefix_sum
 
 
 def test_prefix_sum_over_ranges(spark):
@@ -59,3 +59,14 @@ def test_balance_of_copies(spark):
     counts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert sorted(counts) == [250] * 4
     assert out.count() == 1000
+
+
+def test_tasks_do_not_grow_with_the_limits_of_a_large_table(spark):
+    # 3,000 limits: a report of every task goes to the driver
+    df = spark.createDataFrame([(f"k{i:05d}", "x" * 10) for i in range(6000)], "id string, content string")
+    out = balance_by_length(df, "content", ["id"], limit=20, ranges=4)
+    assert out.rdd.getNumPartitions() == MOST_TASKS
+    placed = out.withColumn("task", F.spark_partition_id()).collect()
+    load = Counter(r.task for r in placed)
+    assert len(placed) == 6000 and set(load.values()) == {6}
+    assert {r.id: r.partition_id for r in placed} == {f"k{i:05d}": (i + 1) * 10 // 20 for i in range(6000)}

@@ -6,10 +6,9 @@ typing, dating and filtering are Spark expressions on its output.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,22 +97,22 @@ def _text(element, where: str | tuple[str, int]) -> str | None:
     return html.text_of(found[position]) if len(found) > position else None
 
 
-def _comment(row, layout: CommentLayout, replies: set[int]) -> dict:
+def _comment(row, layout: CommentLayout, replies: set[int]) -> tuple:
+    """The values of ``_COMMENT``."""
     classes = row.get("class", "").split()
     holder = html.select(row, layout.id_at)[:1] if layout.id_at else [row]
-    return {
-        "comment_id": holder[0].get(layout.id_attribute) if holder else None,
-        "content": _text(row, layout.content),
-        "is_reply": layout.reply_class in classes or id(row) in replies,
-        "created_at": _text(row, layout.created_at),
-        "upvotes": _text(row, layout.upvotes),
-        "downvotes": _text(row, layout.downvotes),
-        "dropped": any(c in classes for c in layout.drop_classes)
-        or bool(layout.deleted and html.select(row, layout.deleted)),
-    }
-
-
-def _comments(page, layout: CommentLayout) -> list[dict]:
+    return (
+        holder[0].get(layout.id_attribute) if holder else None,
+        _text(row, layout.content),
+        layout.reply_class in classes or id(row) in replies,
+        _text(row, layout.created_at),
+        _text(row, layout.upvotes),
+        _text(row, layout.downvotes),
+        any(c in classes for c in layout.drop_classes) or bool(layout.deleted and html.select(row, layout.deleted)),
+    )
+
+
+def _comments(page, layout: CommentLayout) -> list[tuple]:
     inner = html.select(page, layout.reply_rows) if layout.reply_rows else []
     replies = {id(row) for row in inner}
     return [_comment(row, layout, replies) for row in html.select(page, layout.row)]
@@ -122,24 +121,20 @@ def _comments(page, layout: CommentLayout) -> list[dict]:
 def page_fields(pages: DataFrame, layout: PageLayout, html_column: str = "html") -> DataFrame:
     """Every page with ``fields`` (map of raw texts) and ``comments`` (K3, K4).
 
-    One pass over Arrow batches, a page at a time; a page that cannot be parsed gives null fields.
+    A page at a time; a page that cannot be parsed gives null fields. Rows are pickled, a hundred at once: Arrow would hold
+    thousands of pages in each worker, as texts and as trees' texts, whatever their length.
     """
     names = list(layout.fields)
     texts = "".join(f"{name}:string," for name in names)
     schema = f"struct<{texts}comments:array<{_COMMENT}>,parsed:boolean>"
 
-    @F.pandas_udf(schema)
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            rows = []
-            for text in texts:
-                record = {**dict.fromkeys(names), "comments": [], "parsed": bool(text)}
-                if text:
-                    page = html.parse(text)
-                    record.update({n: _text(page, where) for n, where in layout.fields.items()})
-                    record["comments"] = _comments(page, layout.comments) if layout.comments else []
-                rows.append(record)
-            yield pd.DataFrame(rows, columns=[*names, "comments", "parsed"])
+    @F.udf(schema, useArrow=False)
+    def cut(text: str | None) -> tuple:
+        if not text:
+            return (*[None] * len(names), [], False)
+        page = html.parse(text)
+        fields = [_text(page, where) for where in layout.fields.values()]
+        return (*fields, _comments(page, layout.comments) if layout.comments else [], True)
 
     return pages.withColumn("page", cut(F.col(html_column))).select(*pages.columns, "page.*")
 
@@ -174,9 +169,9 @@ def page_links(pages: DataFrame, base: Column | None = None, html_column: str =
     """
     root = base if base is not None else F.regexp_extract("url", r"^https?://[^/]+", 0)
 
-    @F.pandas_udf("array<string>")
-    def hrefs(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: [a.get("href") for a in html.select(html.parse(text or ""), "a") if a.get("href")])
+    @F.udf("array<string>", useArrow=False)  # a hundred pages at once, as in page_fields
+    def hrefs(text: str | None) -> list[str]:
+        return [a.get("href") for a in html.select(html.parse(text or ""), "a") if a.get("href")]
 
     found = pages.select("page_id", root.alias("root"), F.explode(F.array_distinct(hrefs(F.col(html_column)))).alias("href"))
     url = resolve_href(F.col("href"), F.col("root"))

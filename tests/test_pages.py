@@ -131,3 +131,20 @@ def test_listings_as_table_functions(spark):
         found = spark.sql(f"SELECT p.n, l.href, l.date FROM {{saved}} p, LATERAL rows_{name}(p.html) l", saved=saved)
         got[name] = sorted(map(tuple, found.collect()), key=str)
     assert got == {"stacked": [(1, "/1", "d1"), (1, None, None)], "profile": [(1, "/2", "d2")], "gallery": [(1, "/3", "d3")]}
+
+
+def test_pages_reach_python_in_small_batches(spark):
+    """Not by Arrow, whose batches hold thousands of pages; the fields stay those of each page."""
+    saved = spark.range(0, 400, 1, 1).select(
+        F.col("id").alias("page_id"), F.lit("https://h/p").alias("url"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("<h1>t"), "id", F.lit("</h1><nav><li><a href='/"), "id", F.lit("'>x</a></li></nav>"))).alias("html"))
+    layout = pages.PageLayout({"title": "h1", "none": "h2"}, pages.CommentLayout(row="nav li", content="a", created_at="time", id_attribute="href", id_at="a"))
+    cut, links = pages.page_fields(saved, layout), pages.page_links(saved)
+    for made in (cut, links):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    for row in cut.collect():
+        there = row.page_id % 7 != 0
+        assert (row.title, row.none, row.parsed) == (f"t{row.page_id}" if there else None, None, there)
+        assert [tuple(c) for c in row.comments] == ([(f"/{row.page_id}", "x", False, None, None, None, False)] if there else [])
+    assert links.count() == sum(n % 7 != 0 for n in range(400))

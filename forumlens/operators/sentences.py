@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +40,16 @@ def union_sources(*tables: DataFrame | None) -> DataFrame:
 def plugin_splitter(factory: SplitterFactory) -> Callable[[Column], Column]:
     """A splitter column from a Python sentence model, built once per task (K1).
 
-    The model sees Arrow batches and holds one row at a time; the split itself is spread by Spark.
+    The model sees one text at a time; the split itself is spread by Spark. Rows are pickled, a hundred at once:
+    Arrow would hold thousands of texts and all their sentences in each worker.
     """
+    built: list[Callable[[str], list[str]]] = []  # empty in the copy that each task unpickles
 
-    @F.pandas_udf("array<string>")
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = factory()
-        for texts in batches:
-            yield texts.map(lambda text: model(text) if text else [])
+    @F.udf("array<string>", useArrow=False)
+    def split(text: str | None) -> list[str]:
+        if not built:
+            built.append(factory())
+        return built[0](text) if text else []
 
     return split
 

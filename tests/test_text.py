@@ -1,4 +1,6 @@
+import os
 import re
+import uuid
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -123,6 +125,22 @@ def test_plugin_splitter_builds_one_model_per_task(spark):
     assert [r[0] for r in df.coalesce(1).select(S.plugin_splitter(factory)(F.col("t"))).collect()] == [["a", "b"], []]
 
 
+def test_plugin_splitter_takes_small_batches(spark, folder):
+    """Not by Arrow, whose batches hold thousands of texts; still one model for each task."""
+
+    def factory():
+        with open(f"{folder}/{uuid.uuid4().hex}", "w"):
+            pass
+        return lambda value: value.split("|")
+
+    df = spark.range(0, 900, 1, 3).select(F.concat("id", F.lit("|x")).alias("t"))
+    made = df.select(S.plugin_splitter(factory)(F.col("t")).alias("s"))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert sorted(r.s[0] for r in made.collect()) == sorted(str(n) for n in range(900))
+    assert len(os.listdir(folder)) == 3
+
+
 def test_long_lexicons_are_tagged_as_short_ones(spark):
     words = {"one": ["AS", "GAS", "AS"], "two": ["디자인"], "three": [c + d for c in "ABCDEFGH" for d in "AEIOUNRS"]}
     df = spark.createDataFrame([("a", "gas 디자인 tank"), ("b", ""), ("c", None)], "id string, sentence string")

@@ -3,6 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from forumlens.operators.balance import MOST_TASKS, balance_by_length, prefix_sum
+from forumlens.plans import jobs
 
 
 def test_prefix_sum_over_ranges(spark):
@@ -70,3 +71,12 @@ def test_tasks_do_not_grow_with_the_limits_of_a_large_table(spark):
     load = Counter(r.task for r in placed)
     assert len(placed) == 6000 and set(load.values()) == {6}
     assert {r.id: r.partition_id for r in placed} == {f"k{i:05d}": (i + 1) * 10 // 20 for i in range(6000)}
+
+
+def test_balanced_sentences_of_many_limits(spark):
+    """The sentences of a table of thousands of limits come from a bounded number of tasks, none lost."""
+    rows = spark.range(1500).select(F.concat(F.lit("p"), "id").alias("id"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("title"),
+                                    F.lit("One sentence here. Another sentence.").alias("content"), F.lit("2025-02-10").cast("timestamp_ntz").alias("created_at"))
+    sentence = jobs.transform_static(rows, None, {"one": ["SENT"]}, balance_chars=20)["sentence"]
+    assert sentence.rdd.getNumPartitions() == MOST_TASKS
+    assert sentence.count() == sentence.select("id").distinct().count() == 3000

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import locator
+from forumlens.llm.common import locator, probably_in
 from forumlens.llm.shingles import mixed, words
 from forumlens.runtime import materialize
 
@@ -110,6 +110,11 @@ def open_suffixes(wanted: DataFrame, reach: DataFrame, least: int = MIN_WORDS) -
     return materialize(left, "suffix-again")
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Place and text of the rows of ``wanted`` and of few others: the join with ``wanted`` need not move all texts."""
+    return probably_in(docs.select(*locator("file", "nth"), "text"), wanted, ["file", "nth"])
+
+
 def windows(docs: DataFrame, wanted: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """Spans of ``least`` words that another row holds, found by their hash among the windows whose minimiser is a suffix of ``wanted``."""
     offsets = sorted({*range(0, least - GRAM, GRAM), least - GRAM})  # 8-grams that hold every word
@@ -129,7 +134,7 @@ def windows(docs: DataFrame, wanted: DataFrame, least: int = MIN_WORDS) -> DataF
                         rows = batch.column(1).take(pa.array(np.full(len(at), n)))
                         yield pa.RecordBatch.from_arrays([pa.array(window.view(np.int64)), rows, pa.array(at.astype(np.int32))], ["window", "row", "at"])
 
-    texts = docs.select(*locator("file", "nth"), "text").join(wanted, ["file", "nth"])
+    texts = texts_of(docs, wanted).join(wanted, ["file", "nth"])
     each = texts.select("text", "row", F.col("s.key").alias("keys")).mapInArrow(hashed, "window long, row long, at int")
     each = materialize(each, "suffix-windows")
     held = each.groupBy("window").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low != high")
@@ -173,7 +178,7 @@ def suffixes(docs: DataFrame, least: int = MIN_WORDS, wanted: DataFrame | None =
                     ["key", "row", "doc_id", "at", "right", "left"],
                 )
 
-    texts = docs.select(*locator("file", "nth"), "text").join(wanted, ["file", "nth"])
+    texts = texts_of(docs, wanted).join(wanted, ["file", "nth"])
     texts = texts.select("text", "row", "doc_id", F.col("s.at").alias("at"), F.col("s.key").alias("keys"))
     return texts.mapInArrow(cut, "key long, row long, doc_id long, at int, right binary, left binary")
 

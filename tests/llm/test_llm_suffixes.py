@@ -1,9 +1,12 @@
 import random
 from collections import defaultdict
 
+import pytest
 from llm_helpers import word_list
+from pyspark.sql import functions as F
 
 from forumlens.llm import suffixes
+from forumlens.llm.common import locator, probably_in
 from forumlens.llm.shingles import words
 from forumlens.llm.suffixes import minimisers
 
@@ -115,3 +118,31 @@ def test_best_partner_is_no_neighbour_on_either_side(documents):
     want = expected(rows)
     assert [d for d, _ in want] == ["0", "1"]
     assert covered(documents(*rows)) == want
+
+
+@pytest.mark.parametrize("chosen", [0, 1, 40, 5000])
+def test_rows_are_chosen_without_a_join_of_all(spark, chosen):
+    """All that are asked for, and few others; several maps of bits, negative hashes and null keys among them."""
+    rows = spark.range(60_000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("a"), F.concat(F.lit("f"), "id").alias("b"), "id")
+    found = {r.id for r in probably_in(rows, rows.where(F.col("id") < chosen), ["a", "b"]).select("id").collect()}
+    assert found >= set(range(chosen)) and len(found) <= chosen + 60_000 / 15
+
+
+def test_texts_of_rows_without_suffixes_are_not_moved(spark, documents, capsys):
+    """With the joins held from broadcasting, the texts that are shuffled are those with suffixes to compare and few others."""
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"w{rng.randrange(10**7)}" for _ in range(n))
+    shared = text(60)
+    docs = documents(*[(i, text(60)) for i in range(1500)], *[(5000 + i, f"{text(9)} {shared} {text(9)}") for i in range(12)], files=3)
+    wanted = suffixes.shared_suffixes(docs)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = suffixes.texts_of(docs, wanted)
+        places = {(r.file, r.nth) for r in docs.where("doc_id >= 5000").select(*locator("file", "nth")).collect()}
+        found = {(r.file, r.nth) for r in moved.collect()}
+        assert places <= found and len(found) < 200
+        suffixes.suffixes(docs, LEAST, wanted).explain()
+        assert "BroadcastHashJoin" in capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
